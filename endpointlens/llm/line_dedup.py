@@ -215,7 +215,7 @@ def rebuilt(text: pd.Series, drops: pd.Series, least: int) -> pd.DataFrame:
         stay = [line for line, k in zip(lines, places) if k not in gone]
         n.append(len(lines) - len(stay))
         kept.append("\n".join(stay))
-    return pd.DataFrame({"n_dropped": n, "kept": kept})
+    return pd.DataFrame({"n_dropped": n, "kept": pd.Series(kept, dtype=object)})
 
 
 def apply_drops(docs: DataFrame, drops: DataFrame, least: int, doc_id: str, text: str) -> DataFrame:

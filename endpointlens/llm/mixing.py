@@ -136,7 +136,7 @@ def mix(
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
-    rows_a_salt: int = 4096,
+    rows_a_salt: int = 1000,
 ) -> tuple[DataFrame, DataFrame]:
     """(decisions, pieces).
 

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quality, toxicity
 from .common import fold_of, read
 from .line_dedup import dedup_lines
 from .mixing import mix
+from .nearest import nearest
 from .packing import pack
 from .simhash import near_duplicates
 from .url_filter import filter_urls, url_host, url_path
@@ -29,6 +31,23 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def judged(spark: SparkSession, sf_dir: str, judge, label: str, threshold: float) -> DataFrame:
+    """Scores of all documents; only labels outside the held-out fifth are learned from, and only text is an input."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    known = read(spark, sf_dir, "labels").where(fold_of(F.col("doc_id"), 5) != 0)
+    return judge(docs, known, label).select(
+        "doc_id", (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(spark, sf_dir, quality.judge, "quality", 0.3)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(spark, sf_dir, toxicity.judge, "toxic", 0.5)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -56,17 +75,25 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decisions.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op4_url_filter": op4_url_filter,
     "op5_mixing": op5_mixing,
+    "op6_nearest": op6_nearest,
     "op7_simhash": op7_simhash,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
