@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, written
@@ -69,26 +69,44 @@ def fingerprints(docs: DataFrame, text: str = "text", words: int = 3, seed: int
     return docs.withColumn("fp", fp(text)).drop(text)
 
 
-def embed(fp: Column) -> list[Column]:
-    """The bit count of each segment."""
-    return [F.bit_count(F.shiftrightunsigned(fp, s * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1))).cast("long") for s in range(SEGMENTS)]
+def embed(fps: np.ndarray) -> np.ndarray:
+    """The bit count of each segment: fingerprints x SEGMENTS."""
+    counts = np.array([bin(k).count("1") for k in range(1 << WIDTH)], np.int64)
+    shifts = np.arange(SEGMENTS, dtype=np.uint64) * np.uint64(WIDTH)
+    return counts[((fps.view(np.uint64)[:, None] >> shifts) & np.uint64((1 << WIDTH) - 1)).astype(np.int64)]
 
 
-def grid_cells(fps: DataFrame) -> DataFrame:
-    """(fp, cell): the own cell of each fingerprint and the cells one step away. Coordinates take 3 bits of a cell."""
-    point = embed(F.col("fp"))
-    own = sum((F.shiftleft(c, 3 * s) for s, c in enumerate(point)), F.lit(0).cast("long"))
-    placed = fps.select("fp", own.alias("_own"), *[c.alias(f"_c{s}") for s, c in enumerate(point)])
-    steps = [F.col("_own")]
-    for s in range(SEGMENTS):
-        step = F.lit(1 << (3 * s)).cast("long")
-        steps += [F.when(F.col(f"_c{s}") < WIDTH, F.col("_own") + step), F.when(F.col(f"_c{s}") > 0, F.col("_own") - step)]
-    return placed.select("fp", F.explode(F.array_compact(F.array(*steps))).alias("cell"))
+def cells_of(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the fingerprint, cell): the own cell and the cells one step away; a coordinate takes 3 bits of a cell."""
+    point, steps = embed(fps), np.int64(1) << (3 * np.arange(SEGMENTS, dtype=np.int64))
+    own = point @ steps
+    every = np.concatenate([own[:, None], np.where(point < WIDTH, own[:, None] + steps, -1), np.where(point > 0, own[:, None] - steps, -1)], 1)
+    row, column = np.nonzero(every >= 0)
+    return row, every[row, column]
+
+
+def flips_of(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, fingerprint within one bit): itself and its 64 neighbours."""
+    masks = np.append(np.uint64(0), np.uint64(1) << np.arange(64, dtype=np.uint64)).view(np.int64)
+    return np.repeat(np.arange(len(fps)), len(masks)), (fps[:, None] ^ masks).ravel()
+
+
+def spread_by(fps: DataFrame, places, name: str) -> DataFrame:
+    """(fp, name): the rows that `places` makes of each fingerprint."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = np.asarray(b.column(0), np.int64)
+            for k in range(0, len(own), 4096):
+                row, value = places(own[k : k + 4096])
+                yield pa.RecordBatch.from_arrays([pa.array(own[k : k + 4096][row]), pa.array(value.astype(np.int64))], names=["fp", name])
+
+    return fps.select("fp").mapInArrow(spread, f"fp long, {name} long")
 
 
 def hamming_links(fps: DataFrame, crowd: int = 32) -> DataFrame:
     """(a, b): links among distinct fingerprints that keep every component of "2 or fewer differing bits" whole."""
-    cells = grid_cells(fps)
+    cells = spread_by(fps, cells_of, "cell")
     met = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
     members = written(cells.join(met, "cell"), "cells")
     few = members.where(F.col("n") <= crowd)
@@ -97,8 +115,7 @@ def hamming_links(fps: DataFrame, crowd: int = 32) -> DataFrame:
         few.alias("a").join(few.alias("b"), F.col("a.cell") == F.col("b.cell")).where((F.col("a.fp") < F.col("b.fp")) & close)
         .select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
     )
-    flips = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63)).cast("long")) for b in range(64)])
-    near = members.where(F.col("n") > crowd).select("fp").distinct().select("fp", F.explode(flips).alias("z"))
+    near = spread_by(members.where(F.col("n") > crowd).select("fp").distinct(), flips_of, "z")
     heads = near.groupBy("z").agg(F.min("fp").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
     stars = near.join(heads, "z").where("fp <> head").select(F.col("head").alias("a"), F.col("fp").alias("b"))
     return pairs.unionByName(stars).distinct()
