@@ -14,6 +14,7 @@ from .mixing import mix
 from .nearest import nearest
 from .packing import pack
 from .simhash import near_duplicates
+from .suffix_tree import score_texts
 from .url_filter import filter_urls, url_host, url_path
 
 URL_RULES = [
@@ -85,6 +86,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return score_texts(docs, fold_of(F.col("doc_id"), 10) == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_nearest": op6_nearest,
     "op7_simhash": op7_simhash,
     "op8_toxicity": op8_toxicity,
+    "op10_language_model": op10_language_model,
 }
 
 ORACLE_SQL: dict[str, str] = {}
