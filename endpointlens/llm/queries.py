@@ -11,8 +11,10 @@ from . import quality, toxicity
 from .common import fold_of, read
 from .line_dedup import dedup_lines
 from .mixing import mix
+from .media import picture_copies
 from .nearest import nearest
 from .packing import pack
+from .pictures import render
 from .simhash import near_duplicates
 from .suffix_tree import score_texts
 from .url_filter import filter_urls, url_host, url_path
@@ -86,6 +88,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return picture_copies(render(read(spark, sf_dir, "embeddings")))
+
+
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return score_texts(docs, fold_of(F.col("doc_id"), 10) == 0)
@@ -100,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_nearest": op6_nearest,
     "op7_simhash": op7_simhash,
     "op8_toxicity": op8_toxicity,
+    "op9_media_copies": op9_media_copies,
     "op10_language_model": op10_language_model,
 }
 
