@@ -12,7 +12,7 @@ may split; nothing gathers the lines of one key.
 
 Defined results: null or empty text is one empty line; lines with keys under `least` code points always stay.
 Repeated rows with one id are one document: they never make a line shared, and each row keeps its lines.
-Extra columns are kept.
+Extra columns are kept; columns named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -225,6 +225,7 @@ def apply_drops(docs: DataFrame, drops: DataFrame, least: int, doc_id: str, text
     def rebuild(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
         return rebuilt(texts, gone, least)
 
+    docs = docs.drop("n_lines", "n_dropped", "kept_text")
     out = docs.withColumn("_th", F.xxhash64(text)).join(
         drops.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th2"), "drops"),
         (F.col(doc_id) == F.col("_id")) & (F.col("_th") == F.col("_th2")),
@@ -247,7 +248,6 @@ def dedup_lines(
 
     An index over docs is built and asked at once; LineIndex keeps it for later batches.
     """
-    docs = docs.drop("n_lines", "n_dropped", "kept_text")
     held = written(holders(docs, least, doc_id, text), "lines")
     refs = written(references(held).where(SHARED), "line-refs")
     shards = max(1, -(-refs.count() // keys_a_shard))
