@@ -78,7 +78,7 @@ def run_summary(runs: DataFrame, run_status: DataFrame, daily: DataFrame, quaran
     """One row: latest run, runs tracked, its status counts, active quarantines, top reasons of rejected days."""
     latest = runs.orderBy(F.col("run_date").desc(), F.col("run_started_at").desc()).limit(1).select("run_date", "run_id")
     counted = run_status.join(F.broadcast(latest.select("run_id")), "run_id").agg(*[F.count_if(F.col("status") == s).alias(f"{s}_count") for s in ("accepted", "candidate", "rejected")])
-    active = quarantine.join(F.broadcast(latest.select(F.col("run_date").alias("_d"))), F.col("retry_after") > F.col("_d")).agg(F.count("*").alias("quarantined_count"))
+    active = quarantine.where(F.col("retry_after") > latest.select("run_date").scalar()).agg(F.count("*").alias("quarantined_count"))
     reasons = daily.where("day_status = 'rejected'").select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
     top = reasons.orderBy(F.col("n").desc(), "reason").limit(k).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "reason"))), lambda r: F.concat(r["reason"], F.lit("="), (-r["m"]).cast("string"))), ",").alias("top_reasons")
@@ -99,7 +99,7 @@ def seen_in_last_n(daily: DataFrame, days: tuple[int, ...] = (7, 14, 30)) -> Dat
     """(days, n_keys): keys with any row in the last n days up to the newest; a key is reduced to its newest day first."""
     last = daily.groupBy("resolver_key").agg(F.max("run_date").alias("d"))
     newest = last.agg(F.max("d").alias("m"))
-    age = last.join(F.broadcast(newest)).select(F.datediff("m", "d").alias("age"))
+    age = last.select(F.datediff(newest.scalar(), "d").alias("age"))
     counts = age.agg(*[F.count_if(F.col("age") < n).alias(f"d{n}") for n in days])
     return counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("days"), F.col(f"d{n}").alias("n_keys")) for n in days])).alias("r")).select("r.*")
 
