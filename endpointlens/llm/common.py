@@ -53,11 +53,6 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def spread(df: DataFrame, mb: int = 8) -> DataFrame:
-    """More partitions where a scan has fewer than the session's cores; never fewer."""
-    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism * 2, 1)) if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism else df
-
-
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's decimal text, modulo the number of folds; 0 is held out."""
     return (F.crc32(doc_id.cast("string").cast("binary")) % folds).cast("int")
