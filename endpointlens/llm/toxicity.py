@@ -75,10 +75,11 @@ def smallest_shingle(texts: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="int64")
 
 
-def mine_terms(rows: DataFrame, least: int, most: int) -> pd.DataFrame:
+def mine_terms(rows: DataFrame, least: int, most: int, evidence: float = 30.0) -> pd.DataFrame:
     """(term, toxic, clean): documents of either class that have a term, for terms that lean to toxic texts.
 
-    rows: _text, y. Counted per task, then summed; the sample bounds the number of terms.
+    A term must be in `least` toxic texts, and the likelihood ratio against equal use in both classes must be
+    `evidence` or more: of a million terms that mean nothing, none is likely to reach 30. rows: _text, y. Counted per task, then summed; the sample bounds the number of terms.
     """
 
     def count(batches):
@@ -92,17 +93,28 @@ def mine_terms(rows: DataFrame, least: int, most: int) -> pd.DataFrame:
     # copies of one text are one witness: rows of a class whose smallest shingle hash is the same count once
     rows = rows.withColumn("_sig", smallest_shingle("_text")).dropDuplicates(["_sig", "y"])
     counts = rows.select("_text", "y").mapInPandas(count, "term string, c long, t long").groupBy("term").agg(F.sum("t").alias("toxic"), F.sum("c").alias("clean"))
-    lean = F.col("toxic") / F.sqrt(F.col("clean") * 25 + F.col("toxic"))
-    return counts.where((F.col("toxic") >= least) & (F.col("toxic") > 3 * F.col("clean"))).orderBy(lean.desc(), "term").limit(most).toPandas()
+    sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    share = sizes.get(1, 0) / max(1, sum(sizes.values()))
+    both = F.col("toxic") + F.col("clean")
+    part = lambda n, p: F.when(n > 0, n * F.log(n / (both * p))).otherwise(0.0)
+    ratio = 2 * (part(F.col("toxic"), share) + part(F.col("clean"), 1 - share))
+    found = counts.where((F.col("toxic") >= least) & (F.col("toxic") > both * share)).withColumn("ratio", ratio)
+    return found.where(F.col("ratio") >= evidence).orderBy(F.col("ratio").desc(), "term").limit(most).toPandas()
 
 
 def without_twins(mined: pd.DataFrame) -> pd.DataFrame:
-    """Drops terms that a shorter beginning of them matches count for count: they stand in the same documents."""
+    """Of nested terms, the shorter stays unless a longer one is in fewer clean texts and in most of its toxic ones."""
     counts = {t: (x, c) for t, x, c in zip(mined["term"], mined["toxic"], mined["clean"])}
-    own = [t.lstrip("=") for t in mined["term"]]
-    shorter = [[w[:k] for k in range(SHORT, len(w) + (t[0] == "="))] for t, w in zip(mined["term"], own)]
-    keep = [all(counts.get(b) != counts[t] for b in beginnings) for t, beginnings in zip(mined["term"], shorter)]
-    return mined[keep].reset_index(drop=True)
+    gone = set()
+    for t, (toxic, clean) in counts.items():
+        w = t.lstrip("=")
+        for k in range(SHORT, len(w) + (t[0] == "=")):
+            shorter = counts.get(w[:k])
+            if shorter and shorter[1] <= clean:
+                gone.add(t)
+            elif shorter and toxic >= 0.7 * shorter[0]:
+                gone.add(w[:k])
+    return mined[[t not in gone for t in mined["term"]]].reset_index(drop=True)
 
 
 class LabelModel:
@@ -111,13 +123,13 @@ class LabelModel:
     def __init__(self, prior: float, alike: float = 0.3):
         self.prior, self.alike = prior, alike
 
-    def fit(self, votes: np.ndarray, known: np.ndarray, start: tuple[np.ndarray, np.ndarray], rounds: int = 30) -> "LabelModel":
-        """known: the label of each row, nan where only the votes tell."""
+    def fit(self, votes: np.ndarray, known: np.ndarray, weight: np.ndarray, start: tuple[np.ndarray, np.ndarray], rounds: int = 30) -> "LabelModel":
+        """known: the label of each row, nan where only the votes tell; weight: what a row counts."""
         self.a, self.b = start
         self.share = np.ones(votes.shape[1])
         for k in range(rounds):
             p = np.where(np.isnan(known), self.posterior(votes), known)
-            for name, w in (("a", p), ("b", 1 - p)):
+            for name, w in (("a", p * weight), ("b", (1 - p) * weight)):
                 setattr(self, name, np.clip((w @ votes + 0.5) / (w.sum() + 1), 1e-5, 1 - 1e-5))
             if k % 5 == 4:
                 self.share = self._shares(votes, p)
@@ -138,24 +150,31 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def linear_fit(places: list[np.ndarray], width: int, target: np.ndarray, weight: np.ndarray, ridge: float = 0.03, rounds: int = 500) -> np.ndarray:
-    """Weights of a logistic classifier over present terms, and the intercept last, by accelerated gradient steps."""
-    rows = np.repeat(np.arange(len(places)), [len(p) for p in places])
-    cols = np.concatenate(places).astype(np.int64) if len(rows) else np.zeros(0, np.int64)
+def linear_fit(places: list[np.ndarray], width: int, target: np.ndarray, weight: np.ndarray, ridge: float = 0.03, rounds: int = 1500) -> np.ndarray:
+    """Weights of a logistic classifier over present terms, and the intercept last, by accelerated gradient steps.
+
+    Texts have few terms each, so products with the term matrix are sums over its set places.
+    """
     n = len(places)
-    x = np.zeros((n, width + 1), np.float32)
-    x[rows, cols] = 1
-    x[:, -1] = 1
-    beta = look = np.zeros(width + 1, np.float64)
-    v = np.ones(width + 1)
+    rows = np.repeat(np.arange(n), [len(p) for p in places])
+    cols = np.concatenate(places).astype(np.int64) if n else np.zeros(0, np.int64)
+
+    def times(beta: np.ndarray) -> np.ndarray:
+        return np.bincount(rows, beta[cols], n) + beta[-1]
+
+    def back(x: np.ndarray) -> np.ndarray:
+        return np.append(np.bincount(cols, x[rows], width), x.sum())
+
+    v, size = np.ones(width + 1), 1.0
     for _ in range(20):  # the largest eigenvalue bounds the step
-        v = x.T @ (weight * (x @ v))
-        size = np.linalg.norm(v)
+        v = back(weight * times(v))
+        size = float(np.linalg.norm(v))
         v = v / size
     bound = 0.3 * size / n + ridge / n
+    beta = look = np.zeros(width + 1)
     for k in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ look, -30, 30)))
-        gradient = x.T @ (weight * (p - target)) / n + np.append(look[:-1] * ridge / n, 0)
+        p = 1 / (1 + np.exp(-np.clip(times(look), -30, 30)))
+        gradient = back(weight * (p - target)) / n + np.append(look[:-1] * ridge / n, 0)
         new = look - gradient / bound
         look = new + k / (k + 3) * (new - beta)
         beta = new
@@ -187,9 +206,9 @@ class ToxicityModel:
 
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
-    sample: int = 4000, voters: int = 192, terms: int = 2048, least: int = 4, seed: int = 5,
+    sample: int = 4000, voters: int = 192, terms: int = 2048, least: int = 4, seed: int = 5, guessed: float = 0.1,
 ) -> ToxicityModel:
-    """Learn from the labelled rows given (doc_id, label in 0/1) and unlabelled text of docs."""
+    """Learn from the labelled rows given (doc_id, label in 0/1) and unlabelled text of docs, a row of which counts `guessed`."""
     counts = {r["y"]: r["n"] for r in labels.groupBy(F.col(label).cast("int").alias("y")).agg(F.count("*").alias("n")).where("y in (0, 1)").collect()}
     total = sum(counts.values())
     if len(counts) < 2:
@@ -228,9 +247,10 @@ def fit(
     learn = known[known["part"] < 7]
     everything = [np.asarray(p, np.int64) for p in [*unknown["p"], *learn["p"]]]
     votes, told = matrix(everything), np.append(np.full(len(unknown), np.nan), learn["y"].to_numpy(float))
-    model = LabelModel(min(max(share, 1e-4), 1 - 1e-4)).fit(votes, told, start)
-    posterior = model.posterior(votes)
-    weights = linear_fit(everything, width, posterior, np.ones(len(everything)))
+    counts_as = np.where(np.isnan(told), guessed, 1.0)
+    model = LabelModel(min(max(share, 1e-4), 1 - 1e-4)).fit(votes, told, counts_as, start)
+    posterior = np.where(np.isnan(told), model.posterior(votes), told)
+    weights = linear_fit(everything, width, posterior, counts_as)
     rest = known[known["part"] >= 7]
     margin = np.array([weights[np.asarray(p, np.int64)].sum() + weights[-1] for p in rest["p"]])
     y = rest["y"].to_numpy(float)
