@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, checkpointed
 
 #: Second-level labels under which a registry sells names, so that the suffix has two labels.
 REGISTRY_LABELS = ("ac", "co", "com", "edu", "gov", "net", "org")
@@ -87,38 +87,37 @@ def _strength(n: Column, bad: Column, prior: Column, low: float, high: float) ->
 
 def host_reputation(
     outcomes: DataFrame, z: float = 1.645, low: float = 2.0, high: float = 200.0
-) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Posterior tables (corpus, suffixes, domains, hosts) from rows `host`, `bad` (0 or 1).
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Posterior tables (suffixes, domains, hosts) from rows `host`, `bad` (0 or 1).
 
     Every table has n, bad_rate (posterior mean) and lower (mean - z standard deviations). Counting is one partial
     aggregate per host; the upper levels aggregate the host table, which no hot host can skew.
     """
     seen = outcomes.where(F.col("bad").isNotNull() & F.col("host").isNotNull())
-    hosts = with_levels(
-        seen.groupBy(F.col("host").alias("_host")).agg(F.count("*").cast("double").alias("n"), F.sum("bad").cast("double").alias("b"))
-    )
+    counted = seen.groupBy(F.col("host").alias("_host")).agg(F.count("*").cast("double").alias("n"), F.sum("bad").cast("double").alias("b"))
+    hosts = checkpointed(with_levels(counted))
     domains = hosts.groupBy("_suffix", "_domain").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
     suffixes = domains.groupBy("_suffix").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
-    total = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0.0)).alias("n"), F.coalesce(F.sum("b"), F.lit(0.0)).alias("b"))
-    corpus = total.select("n", ((F.col("b") + 0.5) / (F.col("n") + 1.0)).alias("mean"), (F.col("n") + 1.0).alias("weight"))
-
-    # the corpus row is one row: a scalar subquery by a constant key keeps every join an equi-join
-    top = F.broadcast(corpus.select(F.lit(1).alias("_one"), F.col("mean").alias("_p")))
+    total = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0.0)).alias("n"), F.coalesce(F.sum("b"), F.lit(0.0)).alias("b")).first()
+    overall = (total["b"] + 0.5) / (total["n"] + 1.0)
 
     def shrunk(level: DataFrame, parent: list[str]) -> DataFrame:
-        """level has n, b and the prior mean _p; the strength is shared by all rows of one parent."""
+        """level has n, b, the prior mean _p and the weight _w of that mean.
+
+        The strength is shared by all rows of one parent, and no prior counts for more pages than its mean rests on.
+        """
         strength = level.groupBy(*parent).agg(_strength(F.col("n"), F.col("b"), F.col("_p"), low, high).alias("_m"))
-        out = level.join(strength, parent)
+        out = level.join(strength, parent).withColumn("_m", F.least("_m", "_w"))
         alpha, weight = F.col("b") + F.col("_m") * F.col("_p"), F.col("n") + F.col("_m")
         mean = alpha / weight
         return out.withColumns(
-            {"mean": mean, "lower": F.greatest(mean - z * F.sqrt(mean * (1 - mean) / (weight + 1)), F.lit(0.0))}
-        ).drop("_m", "_p")
+            {"mean": mean, "weight": weight, "lower": F.greatest(mean - z * F.sqrt(mean * (1 - mean) / (weight + 1)), F.lit(0.0))}
+        ).drop("_m", "_p", "_w")
 
-    suffix_post = shrunk(suffixes.withColumn("_one", F.lit(1)).join(top, "_one"), ["_one"]).drop("_one")
-    domain_post = shrunk(domains.join(suffix_post.select("_suffix", F.col("mean").alias("_p")), "_suffix"), ["_suffix"])
-    host_post = shrunk(hosts.join(domain_post.select("_suffix", "_domain", F.col("mean").alias("_p")), ["_suffix", "_domain"]), ["_suffix", "_domain"])
-    return corpus, suffix_post, domain_post, host_post
+    suffix_post = checkpointed(shrunk(suffixes.withColumns({"_all": F.lit(1), "_p": F.lit(overall), "_w": F.lit(total["n"] + 1.0)}), ["_all"]).drop("_all"))
+    domain_post = checkpointed(shrunk(domains.join(suffix_post.select("_suffix", F.col("mean").alias("_p"), F.col("weight").alias("_w")), "_suffix"), ["_suffix"]))
+    host_post = shrunk(hosts.join(domain_post.select("_suffix", "_domain", F.col("mean").alias("_p"), F.col("weight").alias("_w")), ["_suffix", "_domain"]), ["_suffix", "_domain"])
+    return suffix_post, domain_post, host_post
 
 
 def filter_urls(
@@ -135,7 +134,7 @@ def filter_urls(
     blocked when `bad_lower` of its host (domain, suffix if the host has no labelled page) is above `limit`.
     pages keep their columns; columns named like the added ones are replaced.
     """
-    _, suffixes, domains, hosts = host_reputation(outcomes, z)
+    suffixes, domains, hosts = host_reputation(outcomes, z)
     judged = pages.drop("host", "path", "rule", "verdict", "bad_lower").withColumns(
         {"_host": url_host(F.col(url)), "path": url_path(F.col(url))}
     )
