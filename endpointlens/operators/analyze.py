@@ -40,7 +40,8 @@ def share_at_100(results: DataFrame) -> DataFrame:
 
 def band_reasons(results: DataFrame, k: int = 5) -> DataFrame:
     """(band, reason, n): the k commonest reasons of each band below 100. Counted before they are ranked."""
-    rows = results.where("score < 100").select(band_of(F.col("score")).alias("band"), F.explode("reasons").alias("reason"))
+    # a filter on the score would be pushed down and compute every part of the score a second time
+    rows = results.select(band_of(F.col("score")).alias("band"), F.explode(F.when(F.col("score") < 100, F.col("reasons"))).alias("reason"))
     order = Window.partitionBy("band").orderBy(F.col("n").desc(), "reason")
     return rows.groupBy("band", "reason").agg(F.count("*").alias("n")).withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= k).drop("_rn")
 
