@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed, written
+from .common import written
 
 
 class WordTokenizer:
@@ -207,7 +207,7 @@ def pack(
     doc_id: str = "doc_id",
     text: str = "text",
     with_ids: bool = False,
-    pieces_a_salt: int = 2000,
+    pieces_a_salt: int = 500,
 ) -> DataFrame:
     """row, doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids] - one row per piece."""
     pieces = written(cut_pieces(docs, tokenizer_path, window, end_id, doc_id, text, with_ids).withColumnRenamed(doc_id, "doc_id"), "pieces")
