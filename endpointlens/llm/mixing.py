@@ -68,7 +68,7 @@ def stream_positions(docs: DataFrame, doc_id: str, seed: int, salts: int) -> Dat
     return joined.withColumn("_start", F.col("_base") + F.col("_in")).drop("_h", "_salt", "_salt2", "_src", "_in", "_base")
 
 
-def schedule(targets: DataFrame, block: int, chunk: int = 8192) -> DataFrame:
+def schedule(targets: DataFrame, block: int, chunk: int = 512) -> DataFrame:
     """Slots (slot, source, pass, block, take): which block of which source the mix takes, in mix order.
 
     targets: one row per source with source_size and target. Points are drawn until they suffice on average, and
@@ -97,7 +97,7 @@ def schedule(targets: DataFrame, block: int, chunk: int = 8192) -> DataFrame:
     intervals = wanted.where("_hi > _lo").select(
         "_sid", "_lo", "_hi", F.explode(F.sequence(F.floor(F.col("_lo") * grid), F.least(F.floor(F.col("_hi") * grid), F.lit(grid - 1)))).alias("_cell")
     )
-    points = spark.range(0, n, 1, max(1, min(4096, -(-n // (16 * chunk))))).withColumnRenamed("id", "slot")
+    points = spark.range(0, n, 1, max(1, min(4096, -(-n // (256 * chunk))))).withColumnRenamed("id", "slot")
     u = F.col("slot") * GOLDEN - F.floor(F.col("slot") * GOLDEN)
     drawn = (
         points.withColumn("_u", u).withColumn("_cell", F.floor(F.col("_u") * grid)).join(intervals, "_cell")
