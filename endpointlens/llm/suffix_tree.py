@@ -1,16 +1,17 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-A node of the tree is a context of up to `depth` words that is at least `p_min` of all training tokens; it is kept
+A node of the tree is a context of up to `depth` words seen `least` times or more in the training texts; it is kept
 if a divergence test says that what follows it differs from what follows its own suffix. A node's distribution
-gives the discounted frequency to each follower that is itself frequent with the context, and shares the rest in
+gives the discounted frequency to each follower that is seen `least` times with the context, and shares the rest in
 proportion to the suffix's distribution; the root is the smoothed word frequency. A word is scored in the state of
 the longest suffix of its past that is a node.
 
-Every string of a node or an entry has frequency p_min or more, so the tree has at most 1 / p_min entries a depth,
-whatever the corpus: that is the proven bound under which it is broadcast. The counts behind it - every word, every
-string of frequent words - cover all training text and are shuffled. Word counts, which nothing bounds, are never
-broadcast: texts are held in blocks of about `block_tokens` words with a dictionary of their words, each block asks
-for the counts of its dictionary, and the answers are joined to the block. No join sees a row per token.
+The tree grows with the corpus, so no process ever holds it: nothing is broadcast or collected but totals. Texts are
+held in blocks of about `block_tokens` words. A block knows the strings of its own texts; it sends their 64-bit keys,
+each once, in order and packed by key range, the range adds up what all blocks sent, and the answers are joined to
+the block. That happens for the counts of words, for the counts of longer strings, and for what each context's
+followers add up to, level by level, from which its range makes the context's test and weight. An entry is added up
+in the smallest block that has it. No join sees a row per token.
 
 Defined results: null or empty text is the end symbol alone. Without training text every base score is 0 and the
 tree is its root. Repeated ids are texts of their own; other columns are not returned.
@@ -18,7 +19,7 @@ tree is its root. Repeated ids are texts of their own; other columns are not ret
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +29,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import written
 
 #: No word holds white space, so this names the end symbol alone.
 END = b" end "
 SMOOTH = 0.1
-BLOCK = "block long, ids binary, lengths binary, held binary, codes binary, hashes binary"
+BLOCK = "block long, tokens long, ids binary, lengths binary, held binary, codes binary, hashes binary"
 
 
 def encode_block(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -72,7 +73,7 @@ def to_blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
                     zstandard.ZstdCompressor(level=3).compress(codes.tobytes()), hashes.tobytes(),
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([(part << 32) | k], pa.int64()), *(pa.array([x], pa.binary()) for x in row)], names=["block", "ids", "lengths", "held", "codes", "hashes"]
+                    [pa.array([(part << 32) | k], pa.int64()), pa.array([len(codes)], pa.int64()), *(pa.array([x], pa.binary()) for x in row)], names=["block", "tokens", "ids", "lengths", "held", "codes", "hashes"]
                 )
                 k += 1
 
@@ -112,7 +113,7 @@ class Block:
         out = [own]
         for level in range(1, tree.depth + 1):
             before = np.roll(out[-1], 1)
-            here = (begins >= level) & (before >= 0) & (own >= 0)
+            here = (begins >= level) & (before >= 0) & (out[-1] >= 0)
             key = np.where(here, before * len(tree.words) + own, -1)
             if level > len(tree.levels):
                 return [*out, key]  # this level is being counted: its keys instead of places
@@ -137,6 +138,16 @@ class Level:
         self.probability = np.zeros(len(keys))  # of the last word after the string before it
 
 
+def rest_factor(above: np.ndarray, entries: np.ndarray, n: np.ndarray, gain: np.ndarray, low: np.ndarray, discount: float, strict: float) -> np.ndarray:
+    """For each context, the factor of its suffix's distribution; nan where the divergence test fails."""
+    left = np.clip(1 - n / above, 0, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        other = np.where(left > 0, above * left * np.log(left / np.clip(1 - low, 1e-12, 1)), 0.0)
+        node = (entries > 0) & (2 * (gain + other) > entries + strict * np.sqrt(2 * entries))
+    spare = 1 - (n - discount * entries) / above
+    return np.where(node, np.clip(spare, 1e-12, 1) / np.clip(1 - low, 1e-12, 1), np.nan)
+
+
 class Tree:
     """Words (sorted hashes) with counts, and levels of longer strings. Contexts kept have a rest weight, others none."""
 
@@ -151,30 +162,29 @@ class Tree:
 
     def add(self, level: Level) -> None:
         """Entries of the next depth: tests each context and sets the probabilities of its entries."""
+        above = self.above()
+        entries, n, gain, low = self.sums(level, np.ones(len(level.keys), bool))
+        self.extend(level, rest_factor(above, entries, n, gain, low, self.discount, self.strict))
+
+    def above(self) -> np.ndarray:
+        """Counts of the strings that are contexts of the next depth."""
+        return self.levels[-1].counts if self.levels else self.counts
+
+    def sums(self, level: Level, of: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(entries, count, gain, lower) of each context of the next depth, over the entries that `of` marks."""
         n = len(self.words)
-        context, word = level.keys // n, level.keys % n
-        above = self.counts if not self.levels else self.levels[-1].counts
-        if not self.levels:
-            lower = self.root[word]
-        else:
-            # the suffix of context (u, v) is v: its entry (v, word) is as frequent, so it is in the level above if v is a node
-            suffix = self._suffix(context) * n + word
-            lower = self.after(suffix, word, len(self.levels))
-        total = above[context]
-        share = level.counts / total
-        gain = level.counts * np.log(share / lower)
-        size = len(above)
-        entries = np.bincount(context, minlength=size)
-        mass, low = np.bincount(context, share, size), np.bincount(context, lower, size)
-        left = np.clip(1 - mass, 0, 1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            other = np.where(left > 0, above * left * np.log(left / np.clip(1 - low, 1e-12, 1)), 0.0)
-            evidence = 2 * (np.bincount(context, gain, size) + other)
-            node = (entries > 0) & (evidence > entries + self.strict * np.sqrt(2 * entries))
-            spare = 1 - (np.bincount(context, level.counts, size) - self.discount * entries) / above
-            factor = np.clip(spare, 1e-12, 1) / np.clip(1 - low, 1e-12, 1)
-        self.rest.append(np.where(node, factor, np.nan))
-        level.probability = (level.counts - self.discount) / total
+        keys, counts = level.keys[of], level.counts[of]
+        context, word = keys // n, keys % n
+        # the suffix of context (u, v) is v: its entry (v, word) is as frequent, so it is in the level above
+        lower = self.after(self._suffix(context) * n + word, word, len(self.levels)) if self.levels else self.root[word]
+        above = self.above()
+        gain = counts * np.log(counts / above[context] / lower)
+        return tuple(np.bincount(context, x, len(above)) for x in (np.ones(len(keys)), counts, gain, lower))
+
+    def extend(self, level: Level, rest: np.ndarray) -> None:
+        """The next depth with the rest weights of its contexts."""
+        level.probability = (level.counts - self.discount) / self.above()[level.keys // max(1, len(self.words))]
+        self.rest.append(rest)
         self.levels.append(level)
 
     def _suffix(self, places: np.ndarray) -> np.ndarray:
@@ -223,87 +233,258 @@ class Tree:
         return out
 
 
-def word_counts(blocks: DataFrame) -> DataFrame:
-    """(block, code, hash, own, total, first): training counts of the words of each block, in it and in all."""
+def squeezed(a: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(a.tobytes())
+
+
+def spread(a: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(a), kind)
+
+
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted keys of eight bytes, byte by byte of their steps."""
+    return squeezed(np.ascontiguousarray(np.diff(keys, prepend=keys.dtype.type(0)).view(np.uint8).reshape(-1, 8).T))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                block = Block(row)
-                own = np.zeros(len(block.hashes), np.int64)
-                for texts, tokens in block.parts():
-                    own += np.bincount(block.codes[tokens][block.train(texts)], minlength=len(own))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(own), row["block"])), pa.array(np.arange(len(own), dtype=np.int32)), pa.array(block.hashes), pa.array(own)],
-                    names=["block", "code", "hash", "own"],
-                )
 
-    rows = blocks.mapInArrow(count, "block long, code int, hash long, own long")
-    same = Window.partitionBy("hash")
-    return rows.withColumns({"total": F.sum("own").over(same), "first": F.col("block") == F.min("block").over(same)})
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(spread(data, np.uint8).reshape(8, -1).T).view(kind).ravel(), dtype=kind)
 
 
-def level_counts(blocks: DataFrame, tree: Tree, least: int) -> Level:
-    """Strings one word longer than the tree has, counted over all training text; those of `least` or more."""
-    sent = blocks.sparkSession.sparkContext.broadcast(tree)
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """Written, with the shuffle files of the write removed at its end."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(key, before)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def forget(tables: list[DataFrame]) -> None:
+    """Deletes written tables that no later step reads."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
+def longer(strings: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Keys (uint64) of strings with a word appended."""
+    x = strings * np.uint64(0x9E3779B97F4A7C15) + ((words << np.uint64(31)) | (words >> np.uint64(33)))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+def by_range(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
+    """The runs of sorted uint64 keys that lie in each range."""
+    place = ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+    cuts = np.flatnonzero(np.diff(place)) + 1
+    for start, stop in zip([0, *cuts], [*cuts, len(keys)]):
+        if stop > start:
+            yield int(place[start]), slice(int(start), int(stop))
+
+
+def exchange(blocks: DataFrame, ask: Callable, add_up: Callable, ranges: int, name: str) -> DataFrame:
+    """Each block's questions answered by key range: (block, at, total, first, distinct, own), written.
+
+    ask(row) gives a block's sorted keys and arrays of the same length; add_up(places, count, first, arrays) gives an
+    array for the distinct keys of a range from the arrays of all blocks. `total` holds its values for the block's
+    keys, `first` is 1 where no smaller block has the key; distinct and own are the range's sums, once.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                block, tree, found = Block(row), sent.value, []
-                places = find(tree.words, block.hashes)
-                for texts, tokens in block.parts():
-                    keys = block.states(tree, places[block.codes[tokens]], texts)[-1]
-                    found.append(keys[(keys >= 0) & block.train(texts)])
-                keys, own = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(own.astype(np.int64))], names=["key", "own"])
+                keys, arrays = ask(row)
+                for at, run in by_range(keys, ranges):
+                    values = [[squeezed(np.ascontiguousarray(a[run])) for a in arrays]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([at], pa.int32()), pa.array([row["block"]], pa.int64()), pa.array([packed(keys[run])], pa.binary()), pa.array(values, pa.list_(pa.binary()))],
+                        names=["at", "block", "keys", "arrays"],
+                    )
 
-    found = blocks.mapInArrow(count, "key long, own long").groupBy("key").agg(F.sum("own").alias("n")).where(F.col("n") >= least).toPandas()
-    return Level(found["key"].to_numpy(np.int64), found["n"].to_numpy(np.int64))  # at most 1 / p_min rows
+    def answer(part: pa.Table) -> pa.Table:
+        part = part.sort_by("block")
+        sent = [unpacked(k, np.uint64) for k in part["keys"].to_pylist()]
+        ends = np.cumsum([len(k) for k in sent])
+        _, first, places = np.unique(np.concatenate(sent), return_index=True, return_inverse=True)
+        values, facts = add_up(places, len(first), first, part["arrays"].to_pylist())
+        fresh = np.zeros(ends[-1], bool)
+        fresh[first] = True
+        cuts = list(zip([0, *ends], ends))
+        once = [[x, *[0] * (len(cuts) - 1)] for x in facts]
+        return pa.table({
+            "block": part["block"], "at": part["at"], "total": pa.array([squeezed(values[places[a:z]]) for a, z in cuts], pa.binary()),
+            "first": pa.array([squeezed(fresh[a:z]) for a, z in cuts], pa.binary()), "distinct": pa.array(once[0], pa.int64()), "own": pa.array(once[1], pa.int64()),
+        })
+
+    sent = blocks.mapInArrow(send, "at int, block long, keys binary, arrays array<binary>")
+    return settled(sent.groupBy("at").applyInArrow(answer, "block long, at int, total binary, first binary, distinct long, own long"), name)
+
+
+def in_order(answers: DataFrame, name: str) -> DataFrame:
+    """(block, name): a block's answers by range, which is the order of its keys."""
+    return answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "total", "first"))).alias(name))
+
+
+def joined(rows: list | None, field: str, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(spread(r[field], kind) for r in rows or [])])
+
+
+def counts_of(least: int) -> Callable:
+    """Adds counts up; those below `least` are told as 0."""
+
+    def add_up(places: np.ndarray, size: int, first: np.ndarray, sent: list) -> tuple[np.ndarray, tuple[int, int]]:
+        own = np.concatenate([spread(a[0], np.int32) for a in sent])
+        total = np.bincount(places, own, size).astype(np.int64)
+        return np.where(total >= least, total, 0), (int((total > 0).sum()), int(total.sum()))
+
+    return add_up
+
+
+def weights_of(discount: float, strict: float) -> Callable:
+    """Adds up what a context's entries come to, and tests it."""
+
+    def add_up(places: np.ndarray, size: int, first: np.ndarray, sent: list) -> tuple[np.ndarray, tuple[int, int]]:
+        above, *sums = (np.concatenate([spread(a[k], np.float64) for a in sent]) for k in range(5))
+        return rest_factor(above[first], *(np.bincount(places, s, size) for s in sums), discount, strict), (0, 0)
+
+    return add_up
+
+
+class Local:
+    """The part of the tree that a block's texts can reach, from the answers joined to the block so far."""
+
+    def __init__(self, row: dict, tokens: int, distinct: int, depth: int, least: int, discount: float, strict: float):
+        self.block, self.least = Block(row), least
+        hashes = self.block.hashes
+        self.totals = np.zeros(len(hashes), np.int64)
+        self.totals[np.argsort(hashes.view(np.uint64))] = joined(row["words"], "total", np.int64)
+        known = self.totals >= least
+        self.tree = Tree(hashes[known], self.totals[known], tokens, distinct, depth, discount, strict)
+        self.places = find(self.tree.words, hashes)
+        self.keys = [self.tree.words.view(np.uint64)]  # by length of string, in order of places
+
+    def longer_strings(self) -> tuple[np.ndarray, ...]:
+        """(key, place in the tree's next level, count in the block's training texts) of strings whose parts are frequent."""
+        tree, n, found = self.tree, max(1, len(self.tree.words)), []
+        for texts, tokens in self.block.parts():
+            own = self.block.states(tree, self.places[self.block.codes[tokens]], texts)[-1]
+            found.append(own[own >= 0] << 1 | self.block.train(texts)[own >= 0])
+        both = np.sort(np.concatenate(found))
+        starts = np.flatnonzero(np.diff(both >> 1, prepend=-1))
+        own = both[starts] >> 1
+        keys = longer(self.keys[-1][own // n], self.keys[0][own % n])
+        order = np.argsort(keys, kind="stable")
+        counts = np.add.reduceat(both & 1, starts) if len(both) else starts
+        return keys[order], own[order], counts[order]
+
+    def read_level(self, rows: list | None) -> tuple[Level, np.ndarray]:
+        """The next level: strings frequent in all training texts with their counts there, and which are added up here."""
+        keys, own, _ = self.longer_strings()
+        total, fresh = joined(rows, "total", np.int64), joined(rows, "first", bool)
+        keep = np.flatnonzero(total >= self.least)
+        keep = keep[np.argsort(own[keep])]
+        self.tree.levels.append(Level(own[keep], total[keep]))
+        self.keys.append(keys[keep])
+        return self.tree.levels[-1], fresh[keep]
+
+    def with_levels(self, row: dict, ready: int) -> tuple[list[Level], list[np.ndarray]]:
+        """All levels and which entries are added up here; the first `ready` are put into the tree with their weights."""
+        levels, fresh, n = [], [], max(1, len(self.tree.words))
+        for x in row["levels"]:
+            level = Level(unpacked(x["keys"], np.int64), spread(x["counts"], np.int64))
+            levels.append(level)
+            fresh.append(spread(x["first"], bool))
+            self.keys.append(longer(self.keys[-1][level.keys // n], self.keys[0][level.keys % n]))
+        for k in range(ready):
+            rest = np.empty(len(self.keys[k]))
+            rest[np.argsort(self.keys[k], kind="stable")] = joined(row[f"weights{k}"], "total", np.float64)
+            self.tree.extend(levels[k], rest)
+        return levels, fresh
 
 
 def score_texts(
     docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text",
-    depth: int = 2, p_min: float = 2e-6, discount: float = 0.5, strict: float = 3.0, block_tokens: int = 2_000_000,
+    depth: int = 2, least: int = 2, discount: float = 0.5, strict: float = 3.0, block_tokens: int = 2_000_000, range_tokens: int = 1_000_000,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text; held-out ones teach nothing."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text"))
     blocks = written(to_blocks(rows, block_tokens), "blocks")
-    counts = written(word_counts(blocks), "word-counts")
-    known = counts.agg(F.coalesce(F.sum("own"), F.lit(0)).alias("n"), F.count_if((F.col("total") > 0) & F.col("first")).alias("v")).first()
-    least = max(2, int(np.ceil(p_min * known["n"])))
-    frequent = counts.where((F.col("total") >= least) & F.col("first")).select("hash", "total").toPandas()  # at most 1 / p_min rows
-    tree = Tree(frequent["hash"].to_numpy(np.int64), frequent["total"].to_numpy(np.int64), known["n"], known["v"], depth, discount, strict)
-    for _ in range(depth):
-        tree.add(level_counts(blocks, tree, least))
-
-    def in_order(part: pa.Table) -> pa.Table:
-        code, total = part["code"].to_numpy(), part["total"].to_numpy()
-        out = np.zeros(len(code), np.int64)
-        out[code] = total
-        return pa.table({"block": part["block"].slice(0, 1), "totals": pa.array([out.tobytes()], pa.binary())})
-
-    answers = counts.select("block", "code", "total").groupBy("block").applyInArrow(in_order, "block long, totals binary")
-    sent = docs.sparkSession.sparkContext.broadcast(tree)
+    size = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()["n"]
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // range_tokens + 1)
+
+    def ask_words(row: dict) -> tuple[np.ndarray, list[np.ndarray]]:
+        block = Block(row)
+        own = np.zeros(len(block.hashes), np.int64)
+        for texts, tokens in block.parts():
+            own += np.bincount(block.codes[tokens][block.train(texts)], minlength=len(own))
+        order = np.argsort(block.hashes.view(np.uint64))
+        return block.hashes.view(np.uint64)[order], [own[order].astype(np.int32)]
+
+    answers = exchange(blocks, ask_words, counts_of(1), ranges, "word-counts")
+    known = answers.agg(F.coalesce(F.sum("own"), F.lit(0)).alias("n"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("v")).first()
+    facts = known["n"], known["v"], depth, least, discount, strict
+    full = blocks.join(in_order(answers, "words"), "block", "left")
+    used = [blocks, answers]
+
+    for k in range(depth):
+
+        def ask_strings(row: dict, k: int = k) -> tuple[np.ndarray, list[np.ndarray]]:
+            local = Local(row, *facts)
+            for j in range(k):
+                local.read_level(row[f"strings{j}"])
+            keys, _, own = local.longer_strings()
+            return keys, [own.astype(np.int32)]
+
+        used.append(exchange(full, ask_strings, counts_of(least), ranges, f"string-counts-{k}"))
+        full = full.join(in_order(used[-1], f"strings{k}"), "block", "left")
+
+    def keep_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                local = Local(row, *facts)
+                found = [local.read_level(row.pop(f"strings{k}")) for k in range(depth)]
+                row["levels"] = [{"keys": packed(level.keys), "counts": squeezed(level.counts.astype(np.int64)), "first": squeezed(first)} for level, first in found]
+                yield pa.RecordBatch.from_pylist([row], kept)
+
+    levels = "levels array<struct<keys: binary, counts: binary, first: binary>>"
+    wide = full.drop(*(f"strings{k}" for k in range(depth))).withColumn("levels", F.lit(None).cast(levels.split(" ", 1)[1])).schema
+    kept = to_arrow_schema(wide)
+    full = settled(full.mapInArrow(keep_frequent, wide), "blocks-with-strings")
+    forget(used)
+    for k in range(depth):
+
+        def ask_weights(row: dict, k: int = k) -> tuple[np.ndarray, list[np.ndarray]]:
+            local = Local(row, *facts)
+            levels, fresh = local.with_levels(row, k)
+            order = np.argsort(local.keys[k], kind="stable")
+            return local.keys[k][order], [a[order] for a in (local.tree.above(), *local.tree.sums(levels[k], fresh[k]))]
+
+        answers = exchange(full, ask_weights, weights_of(discount, strict), ranges, f"weights-{k}")
+        full = full.join(in_order(answers, f"weights{k}"), "block", "left")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = sent.value
         for b in batches:
             for row in b.to_pylist():
-                block, totals = Block(row), np.frombuffer(row["totals"], np.int64)
-                places = find(tree.words, block.hashes)
-                known = totals > 0
-                word = (totals + SMOOTH) / (tree.tokens + SMOOTH * (tree.distinct + 1))
+                local = Local(row, *facts)
+                local.with_levels(row, depth)
+                block, tree = local.block, local.tree
+                known = local.totals > 0
+                word = (local.totals + SMOOTH) / (tree.tokens + SMOOTH * (tree.distinct + 1))
                 for texts, tokens in block.parts():
                     codes, lengths = block.codes[tokens], block.lengths[texts]
                     n, text = len(lengths), np.repeat(np.arange(len(lengths)), lengths)
                     base = word[codes]
-                    own = tree.score(block.states(tree, places[codes], texts), base)
+                    own = tree.score(block.states(tree, local.places[codes], texts), base)
                     sums = [np.bincount(text, x, n) for x in (known[codes], np.log10(base), np.log10(own))]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(x) for x in (block.ids[texts], block.held[texts], lengths, sums[0].astype(np.int64), np.full(n, tree.tokens, np.int64), sums[1], sums[2])],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                     )
 
-    return blocks.join(answers, "block").mapInArrow(score, schema)
+    return full.mapInArrow(score, schema)

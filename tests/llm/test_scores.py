@@ -142,3 +142,46 @@ def test_language_model_is_a_distribution(spark):
                 root = np.array([tree.root[a], tree.root[b], unknown if x is None else tree.root[x]])
                 total += tree.score(states, root)[2]
             assert abs(total - 1) < 1e-6, (a, b, total)
+
+
+def test_language_model_keeps_what_is_seen_twice(spark):
+    """Over 1.2 million tokens, pairs and triples of words seen twice still count, as in a tree made of the whole corpus at once."""
+    import numpy as np
+    import xxhash
+    from endpointlens.llm.suffix_tree import END, Level, Tree
+
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(60)]
+    chain = {w: rng.sample(words, 3) for w in words}
+    docs = [(k, "filler " * 12_000) for k in range(100)]
+    for k in range(100, 300):
+        w, out = rng.choice(words), []
+        for _ in range(rng.randint(2, 40)):
+            out.append(w)
+            w = rng.choice(chain[w])
+        docs.append((k, " ".join(out)))
+    docs += [(k, "rare one here") for k in (401, 402, 410)]
+    got = {r["doc_id"]: r for r in score_texts(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), F.col("doc_id") % 10 == 0, block_tokens=3000).collect()}
+    texts = {k: [*t.encode().split(), END] for k, t in docs}
+    taught = [t for k, t in texts.items() if k % 10]
+    count = Counter(w for t in taught for w in t)
+    names = sorted((w for w in count if count[w] >= 2), key=lambda w: np.uint64(xxhash.xxh64_intdigest(w)).view(np.int64))
+    place = {w: k for k, w in enumerate(names)}
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64).view(np.int64)
+    tree = Tree(hashes, np.array([count[w] for w in names]), sum(count.values()), len(count), 2, 0.5, 3.0)
+    before = {(w,): place[w] for w in names}
+    levels = [before]
+    for size in (2, 3):
+        seen = Counter(tuple(t[i : i + size]) for t in taught for i in range(len(t) - size + 1))
+        seen = {g: n for g, n in seen.items() if n >= 2}
+        keys = {g: before[g[:-1]] * len(names) + place[g[-1]] for g in seen}
+        order = sorted(seen, key=keys.get)
+        tree.add(Level(np.array([keys[g] for g in order], np.int64), np.array([seen[g] for g in order])))
+        before = {g: k for k, g in enumerate(order)}
+        levels.append(before)
+    assert (b"rare", b"one") in levels[1] and got[410]["held_out"]
+    for k, t in texts.items():
+        states = [np.array([levels[s].get(tuple(t[i - s : i + 1]), -1) if i >= s else -1 for i in range(len(t))]) for s in range(3)]
+        root = np.array([(count[w] + 0.1) / (tree.tokens + 0.1 * (tree.distinct + 1)) for w in t])
+        assert abs(np.log10(tree.score(states, root)).sum() - got[k]["score"]) < 1e-6 * len(t), k
+    assert got[410]["score"] > got[410]["base_score"] + 5
