@@ -1,25 +1,31 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-A node of the tree is a context of up to `depth` words seen `least` times or more in the training texts; it is kept
-if a divergence test says that what follows it differs from what follows its own suffix. A node's distribution
-gives the discounted frequency to each follower that is seen `least` times with the context, and shares the rest in
-proportion to the suffix's distribution; the root is the smoothed word frequency. A word is scored in the state of
-the longest suffix of its past that is a node.
+A context is a string of words seen `least` times or more in the training texts; it is a node if a divergence test
+says that what follows it differs from what follows its own suffix. A node's distribution gives the discounted
+frequency to each follower that is seen `least` times with the context, and shares the rest in proportion to the
+suffix's distribution; the root is the smoothed word frequency. A word is scored in the state of the longest suffix
+of its past that is a node. Contexts grow by one word a round until none passes the test, up to `depth` words.
+
+A context with one follower alone needs no look: every longer context then has that follower alone too, is as
+frequent with it as without, and can't diverge. So copies of long passages don't make the tree grow.
 
 The tree grows with the corpus, so no process ever holds it: nothing is broadcast or collected but totals. Texts are
-held in blocks of about `block_tokens` words. A block knows the strings of its own texts; it sends their 64-bit keys,
-each once, in order and packed by key range, the range adds up what all blocks sent, and the answers are joined to
-the block. That happens for the counts of words, for the counts of longer strings, and for what each context's
-followers add up to, level by level, from which its range makes the context's test and weight. An entry is added up
-in the smallest block that has it. No join sees a row per token.
+held in blocks of about `block_tokens` words, in a bucketed table that no round shuffles. A block sends the 64-bit keys
+of its strings, each once, packed by key range; the range adds up what all blocks sent and tells each block those of
+its keys that are frequent. The same way, a round adds up what the followers of each context come to, from which the
+range makes the context's test and weight. A string is added up in the smallest block that has it. No join sees a
+row per token.
 
 Defined results: null or empty text is the end symbol alone. Without training text every base score is 0 and the
-tree is its root. Repeated ids are texts of their own; other columns are not returned.
+tree is its root. Repeated ids are texts of their own; other columns are not returned. A null id stays null; ids
+that aren't whole numbers are cast to long. A text is never split, so a very long one takes memory in proportion.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +35,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import written
+from .common import settled, shared_dir
 
 #: No word holds white space, so this names the end symbol alone.
 END = b" end "
 SMOOTH = 0.1
 BLOCK = "block long, tokens long, ids binary, lengths binary, held binary, codes binary, hashes binary"
+ANSWER = "block long, kind int, at int, values binary, first binary"
 
 
 def encode_block(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -68,78 +74,64 @@ def to_blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
                 piece = b.slice(start, stop - start)
                 lengths, codes, words = encode_block(piece.column(2))
                 hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
-                row = (
-                    np.asarray(piece.column(0), np.int64).tobytes(), lengths.tobytes(), np.asarray(piece.column(1).cast(pa.uint8()), np.uint8).tobytes(),
-                    zstandard.ZstdCompressor(level=3).compress(codes.tobytes()), hashes.tobytes(),
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([(part << 32) | k], pa.int64()), pa.array([len(codes)], pa.int64()), *(pa.array([x], pa.binary()) for x in row)], names=["block", "tokens", "ids", "lengths", "held", "codes", "hashes"]
-                )
+                row = {
+                    "block": (part << 32) | k, "tokens": len(codes), "lengths": lengths.tobytes(), "hashes": hashes.tobytes(),
+                    "ids": piece.column(0).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False).tobytes(),
+                    "held": np.asarray(piece.column(1).cast(pa.uint8()), np.uint8).tobytes(), "codes": squeezed(codes, 3),
+                }
+                yield pa.RecordBatch.from_pylist([row], BLOCK_ARROW)
                 k += 1
 
     return docs.mapInArrow(build, BLOCK)
 
 
-class Block:
-    """A decoded row of the block table. Its texts are worked through in parts, which bounds the arrays in memory."""
+BLOCK_ARROW = pa.schema([("block", pa.int64()), ("tokens", pa.int64()), *((c, pa.binary()) for c in ("ids", "lengths", "held", "codes", "hashes"))])
+
+
+def in_buckets(blocks: DataFrame, buckets: int) -> DataFrame:
+    """Blocks written to the shared folder in buckets of their id, so that joins on it leave them where they are."""
+    spark, name = blocks.sparkSession, f"blocks_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    blocks.write.bucketBy(buckets, "block").option("path", path).option("compression", "none").saveAsTable(name)
+    made = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files stay until they are forgotten
+    return made
+
+
+def squeezed(a: np.ndarray, level: int = 1) -> bytes:
+    """Compressed, byte by byte of the numbers."""
+    planes = a.view(np.uint8).reshape(len(a), a.itemsize).T if len(a) else np.zeros(0, np.uint8)
+    return zstandard.ZstdCompressor(level=level).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def spread(a: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(a), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
-    def __init__(self, row: dict):
-        self.ids, self.lengths = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["lengths"], np.int64)
-        self.held = np.frombuffer(row["held"], np.uint8).astype(bool)
-        self.codes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["codes"]), np.int32)
-        self.hashes = np.frombuffer(row["hashes"], np.int64)
-
-    def parts(self, most: int = 200_000) -> Iterator[tuple[slice, slice]]:
-        """(texts, tokens): runs of texts of about `most` tokens, never less than one text."""
-        ends = np.cumsum(self.lengths)
-        start = at = 0
-        while start < len(ends):
-            stop = max(start + 1, int(np.searchsorted(ends, at + most, side="right")))
-            yield slice(start, stop), slice(at, int(ends[stop - 1]))
-            start, at = stop, int(ends[stop - 1])
-
-    def train(self, texts: slice) -> np.ndarray:
-        """Which tokens of the texts are of training texts."""
-        return np.repeat(~self.held[texts], self.lengths[texts])
-
-    def states(self, tree: "Tree", own: np.ndarray, texts: slice) -> list[np.ndarray]:
-        """Places in the tree of the strings of 1, 2, ... words that end at each token; -1 where there is none.
-
-        own: the place of each token's word.
-        """
-        lengths = self.lengths[texts]
-        first = np.cumsum(lengths) - lengths
-        begins = np.arange(len(own)) - np.repeat(first, lengths)
-        out = [own]
-        for level in range(1, tree.depth + 1):
-            before = np.roll(out[-1], 1)
-            here = (begins >= level) & (before >= 0) & (out[-1] >= 0)
-            key = np.where(here, before * len(tree.words) + own, -1)
-            if level > len(tree.levels):
-                return [*out, key]  # this level is being counted: its keys instead of places
-            out.append(find(tree.levels[level - 1].keys, key))
-        return out
 
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted keys as their steps."""
+    return squeezed(np.diff(keys, prepend=np.uint64(0)))
 
-def find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Places of keys in a sorted table, -1 where absent."""
-    if not len(table):
-        return np.full(len(keys), -1, np.int64)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return np.where(table[at] == keys, at, -1)
 
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(spread(data, np.uint64), dtype=np.uint64)
 
-class Level:
-    """Strings of one length: `keys` are place of the string without its last word * words + last word."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.counts = keys[order], counts[order].astype(np.float64)
-        self.probability = np.zeros(len(keys))  # of the last word after the string before it
+def longer(strings: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Keys (uint64) of strings with a word appended."""
+    x = strings * np.uint64(0x9E3779B97F4A7C15) + ((words << np.uint64(31)) | (words >> np.uint64(33)))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
 
 
 def rest_factor(above: np.ndarray, entries: np.ndarray, n: np.ndarray, gain: np.ndarray, low: np.ndarray, discount: float, strict: float) -> np.ndarray:
-    """For each context, the factor of its suffix's distribution; nan where the divergence test fails."""
+    """For each context, the factor of its suffix's distribution; nan where the divergence test fails.
+
+    above: how often the context is seen; entries, n, gain, low: over its frequent followers, their number, their
+    counts, count * log(frequency / suffix's probability) and the suffix's probability, each summed.
+    """
     left = np.clip(1 - n / above, 0, 1)
     with np.errstate(divide="ignore", invalid="ignore"):
         other = np.where(left > 0, above * left * np.log(left / np.clip(1 - low, 1e-12, 1)), 0.0)
@@ -148,134 +140,88 @@ def rest_factor(above: np.ndarray, entries: np.ndarray, n: np.ndarray, gain: np.
     return np.where(node, np.clip(spare, 1e-12, 1) / np.clip(1 - low, 1e-12, 1), np.nan)
 
 
-class Tree:
-    """Words (sorted hashes) with counts, and levels of longer strings. Contexts kept have a rest weight, others none."""
-
-    def __init__(self, words: np.ndarray, counts: np.ndarray, tokens: int, distinct: int, depth: int, discount: float, strict: float):
-        order = np.argsort(words)
-        self.words, self.counts = words[order], counts[order].astype(np.float64)
-        self.tokens, self.distinct, self.depth, self.discount, self.strict = tokens, distinct, depth, discount, strict
-        self.levels: list[Level] = []
-        self.rest: list[np.ndarray] = []  # by level: for each context, the factor of its suffix's distribution; nan: not a node
-        self.root = (self.counts + SMOOTH) / (tokens + SMOOTH * (distinct + 1))
-        self.end = find(self.words, np.array([xxhash.xxh64_intdigest(END)], np.uint64).view(np.int64))[0]
-
-    def add(self, level: Level) -> None:
-        """Entries of the next depth: tests each context and sets the probabilities of its entries."""
-        above = self.above()
-        entries, n, gain, low = self.sums(level, np.ones(len(level.keys), bool))
-        self.extend(level, rest_factor(above, entries, n, gain, low, self.discount, self.strict))
-
-    def above(self) -> np.ndarray:
-        """Counts of the strings that are contexts of the next depth."""
-        return self.levels[-1].counts if self.levels else self.counts
-
-    def sums(self, level: Level, of: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(entries, count, gain, lower) of each context of the next depth, over the entries that `of` marks."""
-        n = len(self.words)
-        keys, counts = level.keys[of], level.counts[of]
-        context, word = keys // n, keys % n
-        # the suffix of context (u, v) is v: its entry (v, word) is as frequent, so it is in the level above
-        lower = self.after(self._suffix(context) * n + word, word, len(self.levels)) if self.levels else self.root[word]
-        above = self.above()
-        gain = counts * np.log(counts / above[context] / lower)
-        return tuple(np.bincount(context, x, len(above)) for x in (np.ones(len(keys)), counts, gain, lower))
-
-    def extend(self, level: Level, rest: np.ndarray) -> None:
-        """The next depth with the rest weights of its contexts."""
-        level.probability = (level.counts - self.discount) / self.above()[level.keys // max(1, len(self.words))]
-        self.rest.append(rest)
-        self.levels.append(level)
-
-    def _suffix(self, places: np.ndarray) -> np.ndarray:
-        """Place, one level down, of strings of the last level without their first word. Only called for depth 2 and up."""
-        n = len(self.words)
-        top = self.levels[-1]
-        last = top.keys[places] % n
-        if len(self.levels) == 1:
-            return last
-        inner = self._inner(top.keys[places] // n, len(self.levels) - 1)
-        return find(self.levels[-2].keys, inner * n + last)
-
-    def _inner(self, places: np.ndarray, level: int) -> np.ndarray:
-        n = len(self.words)
-        keys = self.levels[level - 1].keys[places]
-        if level == 1:
-            return keys % n
-        return find(self.levels[level - 2].keys, self._inner(keys // n, level - 1) * n + keys % n)
-
-    def after(self, keys: np.ndarray, word: np.ndarray, level: int) -> np.ndarray:
-        """Probability of `word` after contexts of `level` words, from entry keys (context * words + word)."""
-        n = len(self.words)
-        entry, context = find(self.levels[level - 1].keys, keys), keys // n
-        rest = self.rest[level - 1][context]
-        node = ~np.isnan(rest)
-        if level == 1:
-            lower = self.root[word]
-        else:
-            lower = self.after(self._inner(context, level - 1) * n + word, word, level - 1)
-        exact = self.levels[level - 1].probability[np.maximum(entry, 0)] if len(self.levels[level - 1].keys) else lower
-        return np.where(~node, lower, np.where(entry >= 0, exact, np.where(node, rest, 1) * lower))
-
-    def score(self, states: list[np.ndarray], root: np.ndarray) -> np.ndarray:
-        """Probability of each token in its longest state. states: places of strings ending there; root: its base."""
-        out = root
-        for level in range(1, len(self.levels) + 1):
-            context = np.roll(states[level - 1], 1)
-            context[0] = -1
-            ends_text = np.roll(states[0] == self.end, 1)  # nothing follows an end
-            rest = np.full(len(root), np.nan)
-            inside = (context >= 0) & ~ends_text
-            rest[inside] = self.rest[level - 1][context[inside]]
-            node, entry = ~np.isnan(rest), states[level]
-            exact = self.levels[level - 1].probability[np.maximum(entry, 0)] if len(self.levels[level - 1].keys) else out
-            out = np.where(~node, out, np.where(entry >= 0, exact, np.where(node, rest, 1) * out))
-        return out
-
-
-def squeezed(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(a.tobytes())
-
-
-def spread(a: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(a), kind)
+class Strings:
+    """The frequent strings of one length that end at tokens of a block.
 
+    at: the tokens; keys; counts in all training texts; above: counts of the strings without their last word
+    (of a word: a number above all counts); added: the one token of each string that this block adds up.
+    """
 
-def packed(keys: np.ndarray) -> bytes:
-    """Sorted keys of eight bytes, byte by byte of their steps."""
-    return squeezed(np.ascontiguousarray(np.diff(keys, prepend=keys.dtype.type(0)).view(np.uint8).reshape(-1, 8).T))
-
+    def __init__(self, at: np.ndarray, keys: np.ndarray, counts: np.ndarray, above: np.ndarray, added: np.ndarray):
+        self.at, self.keys, self.counts, self.above, self.added = at, keys, counts, above, added
 
-def unpacked(data: bytes, kind: type) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(spread(data, np.uint8).reshape(8, -1).T).view(kind).ravel(), dtype=kind)
+    def where(self, keep: np.ndarray) -> "Strings":
+        return Strings(self.at[keep], self.keys[keep], self.counts[keep], self.above[keep], self.added[keep])
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
-    """Written, with the shuffle files of the write removed at its end."""
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key)
-    conf.set(key, "true")
-    try:
-        return written(df, name)
-    finally:
-        conf.set(key, before)
+class Block:
+    """A row of the block table with what the key ranges told it.
 
+    An answer has a value for each distinct key that the block asked for, in the order of the keys: kind 2 n holds
+    counts of strings of n words (0: rare), kind 2 n + 1 weights of contexts of n words (nan: no node).
+    """
 
-def forget(tables: list[DataFrame]) -> None:
-    """Deletes written tables that no later step reads."""
-    for df in tables:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+    def __init__(self, row: dict, tokens: int, distinct: int, least: int, discount: float):
+        self.least, self.discount = least, discount
+        self.ids, self.lengths = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["lengths"], np.int64)
+        self.held = np.frombuffer(row["held"], np.uint8).astype(bool)
+        self.codes, self.hashes = spread(row["codes"], np.int32), np.frombuffer(row["hashes"], np.uint64)
+        self.told: dict[int, list] = {}
+        for r in sorted(row["told"] or [], key=lambda r: r["at"]):
+            self.told.setdefault(r["kind"], []).append(r)
+        self.words = self.hashes[self.codes]
+        self.before = np.arange(len(self.codes)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        self.train = np.repeat(~self.held, self.lengths)  # which tokens are of training texts
+        self.totals = np.zeros(len(self.hashes), np.int64)
+        if row["told"]:
+            self.totals[np.argsort(self.hashes)] = self.answer(2)[0]
+        self.root = ((self.totals + SMOOTH) / (tokens + SMOOTH * (distinct + 1)))[self.codes]
+
+    def answer(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """(values, whether no smaller block asked for the key)."""
+        rows, value = self.told.get(kind, []), np.float32 if kind % 2 else np.int64
+        return np.concatenate([np.zeros(0, value), *(spread(r["values"], value) for r in rows)]), np.concatenate([np.zeros(0, bool), *(spread(r["first"], bool) for r in rows)])
+
+    def candidates(self, own: Strings, size: int) -> tuple[Strings, np.ndarray]:
+        """Strings of `size` words whose two parts of size - 1 are frequent, and the places of those to be counted.
+
+        The others have a context whose suffix has one follower: they are as frequent as the context.
+        """
+        j = np.flatnonzero((np.diff(own.at, prepend=-2) == 1) & (self.before[own.at] >= size - 1))
+        at, above = own.at[j], own.counts[j - 1]
+        return Strings(at, longer(own.keys[j - 1], self.words[at]), above.copy(), above, np.zeros(len(j), bool)), np.flatnonzero(own.counts[j] < own.above[j])
+
+    def next(self, own: Strings, size: int) -> Strings:
+        """The frequent strings of `size` words, from those of size - 1."""
+        found, asked = self.candidates(own, size)
+        keys, place = np.unique(found.keys[asked], return_inverse=True)
+        total, first = self.answer(2 * size)
+        found.counts[asked] = total[place]
+        one = np.zeros(len(keys), np.int64)
+        one[place] = asked
+        found.added[one[first & (total >= self.least)]] = True
+        return found.where(found.counts >= self.least)
+
+    def after(self, p: np.ndarray, contexts: Strings, strings: Strings, size: int) -> np.ndarray:
+        """Probabilities of the tokens given up to `size` words before them, from those given fewer."""
+        rest = self.answer(2 * size + 1)[0][np.unique(contexts.keys, return_inverse=True)[1]].astype(np.float64)
+        inside = ~np.isnan(rest) & (contexts.at + 1 < len(p))
+        inside[inside] &= self.before[contexts.at[inside] + 1] >= size
+        at, seen, out = contexts.at[inside] + 1, np.zeros(len(p), np.int64), p.copy()
+        seen[strings.at] = strings.counts
+        out[at] = np.where(seen[at] > 0, (seen[at] - self.discount) / contexts.counts[inside], rest[inside] * p[at])
+        return out
 
-
-def longer(strings: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Keys (uint64) of strings with a word appended."""
-    x = strings * np.uint64(0x9E3779B97F4A7C15) + ((words << np.uint64(31)) | (words >> np.uint64(33)))
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return x ^ (x >> np.uint64(31))
+    def walk(self, size: int, scored: bool) -> tuple[np.ndarray, Strings, Strings]:
+        """(probabilities of the tokens given up to size - 2 words, strings of `size` and of size - 1 words)."""
+        counts, p = self.totals[self.codes], self.root
+        own = Strings(np.arange(len(counts)), self.words, counts, np.full(len(counts), np.iinfo(np.int64).max), np.zeros(len(counts), bool)).where(counts >= self.least)
+        shorter = own
+        for k in range(2, size + 1):
+            shorter, own = own, self.next(own, k)
+            if scored and k < size:
+                p = self.after(p, shorter, own, k - 1)
+        return p, own, shorter
 
 
 def by_range(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
@@ -287,60 +233,52 @@ def by_range(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
             yield int(place[start]), slice(int(start), int(stop))
 
 
-def exchange(blocks: DataFrame, ask: Callable, add_up: Callable, ranges: int, name: str) -> DataFrame:
-    """Each block's questions answered by key range: (block, at, total, first, distinct, own), written.
+def exchange(blocks: DataFrame, ask: Callable, kinds: list[tuple[int, Callable]], ranges: int, name: str) -> DataFrame:
+    """Each block's questions answered by key range: (block, kind, at, values, first, distinct, own), written.
 
-    ask(row) gives a block's sorted keys and arrays of the same length; add_up(places, count, first, arrays) gives an
-    array for the distinct keys of a range from the arrays of all blocks. `total` holds its values for the block's
-    keys, `first` is 1 where no smaller block has the key; distinct and own are the range's sums, once.
+    ask(row) gives, for each kind of question, a block's sorted keys and arrays of the same length. A kind's
+    add_up(places, first, arrays) gives an array for the distinct keys of a range from the arrays of all blocks, how
+    many of them count, and the range's own sum. `values` holds it for the block's keys in their order, `first` is 1
+    where no smaller block has the key; distinct and own are the range's numbers, once.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                keys, arrays = ask(row)
-                for at, run in by_range(keys, ranges):
-                    values = [[squeezed(np.ascontiguousarray(a[run])) for a in arrays]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([at], pa.int32()), pa.array([row["block"]], pa.int64()), pa.array([packed(keys[run])], pa.binary()), pa.array(values, pa.list_(pa.binary()))],
-                        names=["at", "block", "keys", "arrays"],
-                    )
+                for which, (keys, arrays) in enumerate(ask(row)):
+                    for at, run in by_range(keys, ranges):
+                        values = [[squeezed(a[run]) for a in arrays]]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([which * ranges + at], pa.int32()), pa.array([row["block"]], pa.int64()), pa.array([packed(keys[run])], pa.binary()), pa.array(values, pa.list_(pa.binary()))],
+                            names=["at", "block", "keys", "arrays"],
+                        )
 
     def answer(part: pa.Table) -> pa.Table:
         part = part.sort_by("block")
-        sent = [unpacked(k, np.uint64) for k in part["keys"].to_pylist()]
+        kind, add_up = kinds[part["at"][0].as_py() // ranges]
+        sent = [unpacked(k) for k in part["keys"].to_pylist()]
         ends = np.cumsum([len(k) for k in sent])
         _, first, places = np.unique(np.concatenate(sent), return_index=True, return_inverse=True)
-        values, facts = add_up(places, len(first), first, part["arrays"].to_pylist())
+        values, kept, own = add_up(places, first, part["arrays"].to_pylist())
         fresh = np.zeros(ends[-1], bool)
         fresh[first] = True
-        cuts = list(zip([0, *ends], ends))
-        once = [[x, *[0] * (len(cuts) - 1)] for x in facts]
+        out = {"values": [squeezed(values[places[a:z]]) for a, z in zip([0, *ends], ends)], "first": [squeezed(fresh[a:z]) for a, z in zip([0, *ends], ends)]}
+        once = [0] * (len(sent) - 1)
         return pa.table({
-            "block": part["block"], "at": part["at"], "total": pa.array([squeezed(values[places[a:z]]) for a, z in cuts], pa.binary()),
-            "first": pa.array([squeezed(fresh[a:z]) for a, z in cuts], pa.binary()), "distinct": pa.array(once[0], pa.int64()), "own": pa.array(once[1], pa.int64()),
+            "block": part["block"], "kind": pa.array([kind] * len(sent), pa.int32()), "at": part["at"], **{c: pa.array(x, pa.binary()) for c, x in out.items()},
+            "distinct": pa.array([kept, *once], pa.int64()), "own": pa.array([own, *once], pa.int64()),
         })
 
     sent = blocks.mapInArrow(send, "at int, block long, keys binary, arrays array<binary>")
-    return settled(sent.groupBy("at").applyInArrow(answer, "block long, at int, total binary, first binary, distinct long, own long"), name)
-
-
-def in_order(answers: DataFrame, name: str) -> DataFrame:
-    """(block, name): a block's answers by range, which is the order of its keys."""
-    return answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "total", "first"))).alias(name))
-
-
-def joined(rows: list | None, field: str, kind: type) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *(spread(r[field], kind) for r in rows or [])])
+    return settled(sent.groupBy("at").applyInArrow(answer, ANSWER + ", distinct long, own long"), name)
 
 
 def counts_of(least: int) -> Callable:
     """Adds counts up; those below `least` are told as 0."""
 
-    def add_up(places: np.ndarray, size: int, first: np.ndarray, sent: list) -> tuple[np.ndarray, tuple[int, int]]:
-        own = np.concatenate([spread(a[0], np.int32) for a in sent])
-        total = np.bincount(places, own, size).astype(np.int64)
-        return np.where(total >= least, total, 0), (int((total > 0).sum()), int(total.sum()))
+    def add_up(places: np.ndarray, first: np.ndarray, sent: list) -> tuple[np.ndarray, np.ndarray, int]:
+        total = np.bincount(places, np.concatenate([spread(a[0], np.int32) for a in sent]), len(first)).astype(np.int64)
+        return np.where(total >= least, total, 0), int((total >= least).sum()), int(total.sum())
 
     return add_up
 
@@ -348,143 +286,82 @@ def counts_of(least: int) -> Callable:
 def weights_of(discount: float, strict: float) -> Callable:
     """Adds up what a context's entries come to, and tests it."""
 
-    def add_up(places: np.ndarray, size: int, first: np.ndarray, sent: list) -> tuple[np.ndarray, tuple[int, int]]:
+    def add_up(places: np.ndarray, first: np.ndarray, sent: list) -> tuple[np.ndarray, np.ndarray, int]:
         above, *sums = (np.concatenate([spread(a[k], np.float64) for a in sent]) for k in range(5))
-        return rest_factor(above[first], *(np.bincount(places, s, size) for s in sums), discount, strict), (0, 0)
+        rest = rest_factor(above[first], *(np.bincount(places, s, len(first)) for s in sums), discount, strict)
+        return rest.astype(np.float32), int((~np.isnan(rest)).sum()), 0
 
     return add_up
 
 
-class Local:
-    """The part of the tree that a block's texts can reach, from the answers joined to the block so far."""
-
-    def __init__(self, row: dict, tokens: int, distinct: int, depth: int, least: int, discount: float, strict: float):
-        self.block, self.least = Block(row), least
-        hashes = self.block.hashes
-        self.totals = np.zeros(len(hashes), np.int64)
-        self.totals[np.argsort(hashes.view(np.uint64))] = joined(row["words"], "total", np.int64)
-        known = self.totals >= least
-        self.tree = Tree(hashes[known], self.totals[known], tokens, distinct, depth, discount, strict)
-        self.places = find(self.tree.words, hashes)
-        self.keys = [self.tree.words.view(np.uint64)]  # by length of string, in order of places
-
-    def longer_strings(self) -> tuple[np.ndarray, ...]:
-        """(key, place in the tree's next level, count in the block's training texts) of strings whose parts are frequent."""
-        tree, n, found = self.tree, max(1, len(self.tree.words)), []
-        for texts, tokens in self.block.parts():
-            own = self.block.states(tree, self.places[self.block.codes[tokens]], texts)[-1]
-            found.append(own[own >= 0] << 1 | self.block.train(texts)[own >= 0])
-        both = np.sort(np.concatenate(found))
-        starts = np.flatnonzero(np.diff(both >> 1, prepend=-1))
-        own = both[starts] >> 1
-        keys = longer(self.keys[-1][own // n], self.keys[0][own % n])
-        order = np.argsort(keys, kind="stable")
-        counts = np.add.reduceat(both & 1, starts) if len(both) else starts
-        return keys[order], own[order], counts[order]
-
-    def read_level(self, rows: list | None) -> tuple[Level, np.ndarray]:
-        """The next level: strings frequent in all training texts with their counts there, and which are added up here."""
-        keys, own, _ = self.longer_strings()
-        total, fresh = joined(rows, "total", np.int64), joined(rows, "first", bool)
-        keep = np.flatnonzero(total >= self.least)
-        keep = keep[np.argsort(own[keep])]
-        self.tree.levels.append(Level(own[keep], total[keep]))
-        self.keys.append(keys[keep])
-        return self.tree.levels[-1], fresh[keep]
-
-    def with_levels(self, row: dict, ready: int) -> tuple[list[Level], list[np.ndarray]]:
-        """All levels and which entries are added up here; the first `ready` are put into the tree with their weights."""
-        levels, fresh, n = [], [], max(1, len(self.tree.words))
-        for x in row["levels"]:
-            level = Level(unpacked(x["keys"], np.int64), spread(x["counts"], np.int64))
-            levels.append(level)
-            fresh.append(spread(x["first"], bool))
-            self.keys.append(longer(self.keys[-1][level.keys // n], self.keys[0][level.keys % n]))
-        for k in range(ready):
-            rest = np.empty(len(self.keys[k]))
-            rest[np.argsort(self.keys[k], kind="stable")] = joined(row[f"weights{k}"], "total", np.float64)
-            self.tree.extend(levels[k], rest)
-        return levels, fresh
-
-
 def score_texts(
     docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text",
-    depth: int = 2, least: int = 2, discount: float = 0.5, strict: float = 3.0, block_tokens: int = 2_000_000, range_tokens: int = 1_000_000,
+    depth: int = 5, least: int = 2, discount: float = 0.5, strict: float = 3.0, block_tokens: int = 1_000_000, range_tokens: int = 1_000_000,
 ) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text; held-out ones teach nothing."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text; held-out ones teach nothing.
+
+    depth: the most words of a context, the memory of the tree.
+    """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text"))
-    blocks = written(to_blocks(rows, block_tokens), "blocks")
+    spark = docs.sparkSession
+    wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = in_buckets(to_blocks(rows, block_tokens), max(wide, 2 * rows.rdd.getNumPartitions()))
     size = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()["n"]
-    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // range_tokens + 1)
-
-    def ask_words(row: dict) -> tuple[np.ndarray, list[np.ndarray]]:
-        block = Block(row)
-        own = np.zeros(len(block.hashes), np.int64)
-        for texts, tokens in block.parts():
-            own += np.bincount(block.codes[tokens][block.train(texts)], minlength=len(own))
-        order = np.argsort(block.hashes.view(np.uint64))
-        return block.hashes.view(np.uint64)[order], [own[order].astype(np.int32)]
-
-    answers = exchange(blocks, ask_words, counts_of(1), ranges, "word-counts")
-    known = answers.agg(F.coalesce(F.sum("own"), F.lit(0)).alias("n"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("v")).first()
-    facts = known["n"], known["v"], depth, least, discount, strict
-    full = blocks.join(in_order(answers, "words"), "block", "left")
-    used = [blocks, answers]
-
-    for k in range(depth):
-
-        def ask_strings(row: dict, k: int = k) -> tuple[np.ndarray, list[np.ndarray]]:
-            local = Local(row, *facts)
-            for j in range(k):
-                local.read_level(row[f"strings{j}"])
-            keys, _, own = local.longer_strings()
-            return keys, [own.astype(np.int32)]
-
-        used.append(exchange(full, ask_strings, counts_of(least), ranges, f"string-counts-{k}"))
-        full = full.join(in_order(used[-1], f"strings{k}"), "block", "left")
-
-    def keep_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                local = Local(row, *facts)
-                found = [local.read_level(row.pop(f"strings{k}")) for k in range(depth)]
-                row["levels"] = [{"keys": packed(level.keys), "counts": squeezed(level.counts.astype(np.int64)), "first": squeezed(first)} for level, first in found]
-                yield pa.RecordBatch.from_pylist([row], kept)
-
-    levels = "levels array<struct<keys: binary, counts: binary, first: binary>>"
-    wide = full.drop(*(f"strings{k}" for k in range(depth))).withColumn("levels", F.lit(None).cast(levels.split(" ", 1)[1])).schema
-    kept = to_arrow_schema(wide)
-    full = settled(full.mapInArrow(keep_frequent, wide), "blocks-with-strings")
-    forget(used)
-    for k in range(depth):
-
-        def ask_weights(row: dict, k: int = k) -> tuple[np.ndarray, list[np.ndarray]]:
-            local = Local(row, *facts)
-            levels, fresh = local.with_levels(row, k)
-            order = np.argsort(local.keys[k], kind="stable")
-            return local.keys[k][order], [a[order] for a in (local.tree.above(), *local.tree.sums(levels[k], fresh[k]))]
-
-        answers = exchange(full, ask_weights, weights_of(discount, strict), ranges, f"weights-{k}")
-        full = full.join(in_order(answers, f"weights{k}"), "block", "left")
+    ranges = max(wide, size // range_tokens + 1)
+    answers: list[DataFrame] = []
+
+    def with_told() -> DataFrame:
+        told = F.collect_list(F.struct("kind", "at", "values", "first")).alias("told")
+        every = reduce(DataFrame.unionByName, [a.drop("distinct", "own") for a in answers]).groupBy(F.col("block").alias("_b")).agg(told)
+        return blocks.join(every.hint("shuffle_hash"), F.col("block") == F.col("_b"), "left").drop("_b")
+
+    def ask_words(row: dict) -> list:
+        block = Block({**row, "told": None}, 0, 0, least, discount)
+        own, order = np.bincount(block.codes[block.train], minlength=len(block.hashes)), np.argsort(block.hashes)
+        return [(block.hashes[order], [own[order].astype(np.int32)])]
+
+    answers.append(exchange(blocks, ask_words, [(2, counts_of(1))], ranges, "word-counts"))
+    known = answers[0].agg(F.coalesce(F.sum("own"), F.lit(0)).alias("n"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("v")).first()
+    facts = known["n"], known["v"], least, discount
+    deepest = depth
+    for k in range(1, depth + 2):  # counts the strings of k + 1 words and tests the contexts of k - 1 words
+        count, weigh = k <= depth, k > 1
+
+        def ask(row: dict, k: int = k, count: bool = count, weigh: bool = weigh) -> list:
+            block, out = Block(row, *facts), []
+            p, own, shorter = block.walk(k, weigh)
+            if count:
+                found, asked = block.candidates(own, k + 1)
+                keys, place = np.unique(found.keys[asked], return_inverse=True)
+                out.append((keys, [np.bincount(place, block.train[found.at[asked]], len(keys)).astype(np.int32)]))
+            if weigh:
+                keys, place = np.unique(shorter.keys, return_inverse=True)
+                above, at = np.zeros(len(keys)), np.zeros(len(p), np.int64)
+                above[place], at[shorter.at] = shorter.counts, place
+                mine = own.where(own.added)
+                of, low, n = at[mine.at - 1], p[mine.at], mine.counts
+                sums = (np.ones(len(n)), n, n * np.log(n / mine.above / low), low)
+                out.append((keys, [above, *(np.bincount(of, x, len(keys)).astype(np.float64) for x in sums)]))
+            return out
+
+        kinds = [(2 * k + 2, counts_of(least))] * count + [(2 * k - 1, weights_of(discount, strict))] * weigh
+        answers.append(exchange(with_told(), ask, kinds, ranges, f"answers-{k}"))
+        if weigh and not answers[-1].where(F.col("kind") % 2 == 1).agg(F.sum("distinct")).first()[0]:
+            deepest = k - 2  # no context of k - 1 words diverges from its suffix
+            break
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                local = Local(row, *facts)
-                local.with_levels(row, depth)
-                block, tree = local.block, local.tree
-                known = local.totals > 0
-                word = (local.totals + SMOOTH) / (tree.tokens + SMOOTH * (tree.distinct + 1))
-                for texts, tokens in block.parts():
-                    codes, lengths = block.codes[tokens], block.lengths[texts]
-                    n, text = len(lengths), np.repeat(np.arange(len(lengths)), lengths)
-                    base = word[codes]
-                    own = tree.score(block.states(tree, local.places[codes], texts), base)
-                    sums = [np.bincount(text, x, n) for x in (known[codes], np.log10(base), np.log10(own))]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (block.ids[texts], block.held[texts], lengths, sums[0].astype(np.int64), np.full(n, tree.tokens, np.int64), sums[1], sums[2])],
-                        names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                    )
-
-    return full.mapInArrow(score, schema)
+                block = Block(row, *facts)
+                p, own, contexts = block.walk(deepest + 1, True)
+                p = block.after(p, contexts, own, deepest) if deepest else p
+                n, text = len(block.ids), np.repeat(np.arange(len(block.ids)), block.lengths)
+                sums = [np.bincount(text, x, n) for x in (block.totals[block.codes] > 0, np.log10(block.root), np.log10(p))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block.ids, mask=block.ids == np.iinfo(np.int64).min), *(pa.array(x) for x in (block.held, block.lengths, sums[0].astype(np.int64), np.full(n, facts[0], np.int64), sums[1], sums[2]))],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                )
+
+    return with_told().mapInArrow(score, schema)

@@ -95,93 +95,78 @@ def test_language_model(spark):
     assert {r["base_score"] for r in nothing} == {0.0} and score_texts(df.limit(0), F.lit(False)).count() == 0
 
 
-def test_language_model_is_a_distribution(spark):
-    """Summed over all words and one unknown, the tree's probabilities after any context are one."""
-    import numpy as np
-    import xxhash
-    from endpointlens.llm.suffix_tree import END, Level, Tree
-
-    rng = np.random.default_rng(3)
-    names = [f"w{k}".encode() for k in range(6)] + [END]
-    sequence, last = [], 0
-    for _ in range(4000):
-        last = int(rng.choice([(last + 1) % 7, (last * 2) % 7, rng.integers(7)]))
-        sequence.append(last)
-    hashes = np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64).view(np.int64)
-    order = np.argsort(hashes)
-    place = np.empty(7, np.int64)
-    place[order] = np.arange(7)
-    seq = place[np.array(sequence)]
-    end = place[6]
-    tree = Tree(hashes[order], np.bincount(seq, minlength=7), len(seq), 7, 2, 0.5, 3.0)
-
-    def counted(keys):
-        keys, n = np.unique(keys, return_counts=True)
-        return Level(keys[n >= 5], n[n >= 5])
-
-    ok = (seq[:-1] != end)
-    tree.add(counted((seq[:-1] * 7 + seq[1:])[ok]))
-    two = np.searchsorted(tree.levels[0].keys, seq[:-2] * 7 + seq[1:-1])
-    two = np.where(tree.levels[0].keys[np.minimum(two, len(tree.levels[0].keys) - 1)] == seq[:-2] * 7 + seq[1:-1], two, -1)
-    ok = (seq[:-2] != end) & (seq[1:-1] != end) & (two >= 0)
-    tree.add(counted((two * 7 + seq[2:])[ok]))
-    unknown = 0.1 / (len(seq) + 0.1 * 8)
-    for a in range(7):
-        for b in range(7):
-            if end in (a, b):
-                continue
-            total = 0.0
-            for x in [*range(7), None]:
-                own = np.array([a, b, -1 if x is None else x])
-                first = np.searchsorted(tree.levels[0].keys, a * 7 + b)
-                ab = first if first < len(tree.levels[0].keys) and tree.levels[0].keys[first] == a * 7 + b else -1
-                look = lambda t, k: int(np.searchsorted(t, k)) if k >= 0 and k in t else -1
-                bx = -1 if x is None else look(tree.levels[0].keys, b * 7 + x)
-                abx = -1 if x is None or ab < 0 else look(tree.levels[1].keys, ab * 7 + x)
-                states = [own, np.array([-1, ab, bx]), np.array([-1, -1, abx])]
-                root = np.array([tree.root[a], tree.root[b], unknown if x is None else tree.root[x]])
-                total += tree.score(states, root)[2]
-            assert abs(total - 1) < 1e-6, (a, b, total)
-
-
-def test_language_model_keeps_what_is_seen_twice(spark):
-    """Over 1.2 million tokens, pairs and triples of words seen twice still count, as in a tree made of the whole corpus at once."""
-    import numpy as np
-    import xxhash
-    from endpointlens.llm.suffix_tree import END, Level, Tree
-
+class SlowTree:
+    """The suffix tree from dictionaries of word tuples, tested context by context."""
+
+    def __init__(self, texts, depth, least=2, discount=0.5, strict=3.0):
+        self.counts = Counter(tuple(t[i : i + n]) for t in texts for n in range(1, depth + 2) for i in range(len(t) - n + 1))
+        self.words = sorted({w for t in texts for w in t})
+        self.total, self.discount, self.least, self.rest = sum(map(len, texts)), discount, least, {}
+        after = {}
+        for g, n in self.counts.items():
+            if len(g) > 1 and n >= least:
+                after.setdefault(g[:-1], []).append((g[-1], n))
+        for k in range(1, depth + 1):
+            found = {}
+            for c, own in after.items():
+                if len(c) == k:
+                    above, n = self.counts[c], sum(x for _, x in own)
+                    low = {v: self.p(v, c[1:]) for v, _ in own}
+                    gain, left = sum(x * math.log(x / above / low[v]) for v, x in own), 1 - n / above
+                    under = max(1 - sum(low.values()), 1e-12)
+                    gain += above * left * math.log(left / under) if left > 0 else 0
+                    if 2 * gain > len(own) + strict * math.sqrt(2 * len(own)):
+                        found[c] = max(1 - (n - discount * len(own)) / above, 1e-12) / under
+            self.rest |= found
+            if not found:
+                break
+
+    def p(self, word, context):
+        """Probability of a word (None: one unknown word) after a tuple of words."""
+        if not context:
+            return (self.counts[(word,)] + 0.1) / (self.total + 0.1 * (len(self.words) + 1))
+        if context not in self.rest:
+            return self.p(word, context[1:])
+        n = self.counts[(*context, word)]
+        return (n - self.discount) / self.counts[context] if n >= self.least else self.rest[context] * self.p(word, context[1:])
+
+
+def chained(rng, words, followers, n):
+    chain = {w: rng.sample(words, followers) for w in words}
+    pairs = {(a, b): rng.choice(words) for a in words for b in chain[a]}
+    out = [rng.choice(words), rng.choice(words)]
+    while len(out) < n:
+        out.append(pairs[tuple(out[-2:])] if tuple(out[-2:]) in pairs and rng.random() < 0.5 else rng.choice(chain[out[-1]]))
+    return out[:n]
+
+
+def test_language_model_equals_a_slow_tree(spark):
     rng = random.Random(8)
-    words = [f"w{k}" for k in range(60)]
-    chain = {w: rng.sample(words, 3) for w in words}
-    docs = [(k, "filler " * 12_000) for k in range(100)]
-    for k in range(100, 300):
-        w, out = rng.choice(words), []
-        for _ in range(rng.randint(2, 40)):
-            out.append(w)
-            w = rng.choice(chain[w])
-        docs.append((k, " ".join(out)))
-    docs += [(k, "rare one here") for k in (401, 402, 410)]
-    got = {r["doc_id"]: r for r in score_texts(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), F.col("doc_id") % 10 == 0, block_tokens=3000).collect()}
-    texts = {k: [*t.encode().split(), END] for k, t in docs}
-    taught = [t for k, t in texts.items() if k % 10]
-    count = Counter(w for t in taught for w in t)
-    names = sorted((w for w in count if count[w] >= 2), key=lambda w: np.uint64(xxhash.xxh64_intdigest(w)).view(np.int64))
-    place = {w: k for k, w in enumerate(names)}
-    hashes = np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64).view(np.int64)
-    tree = Tree(hashes, np.array([count[w] for w in names]), sum(count.values()), len(count), 2, 0.5, 3.0)
-    before = {(w,): place[w] for w in names}
-    levels = [before]
-    for size in (2, 3):
-        seen = Counter(tuple(t[i : i + size]) for t in taught for i in range(len(t) - size + 1))
-        seen = {g: n for g, n in seen.items() if n >= 2}
-        keys = {g: before[g[:-1]] * len(names) + place[g[-1]] for g in seen}
-        order = sorted(seen, key=keys.get)
-        tree.add(Level(np.array([keys[g] for g in order], np.int64), np.array([seen[g] for g in order])))
-        before = {g: k for k, g in enumerate(order)}
-        levels.append(before)
-    assert (b"rare", b"one") in levels[1] and got[410]["held_out"]
-    for k, t in texts.items():
-        states = [np.array([levels[s].get(tuple(t[i - s : i + 1]), -1) if i >= s else -1 for i in range(len(t))]) for s in range(3)]
-        root = np.array([(count[w] + 0.1) / (tree.tokens + 0.1 * (tree.distinct + 1)) for w in t])
-        assert abs(np.log10(tree.score(states, root)).sum() - got[k]["score"]) < 1e-6 * len(t), k
-    assert got[410]["score"] > got[410]["base_score"] + 5
+    words = [f"w{k}" for k in range(25)]
+    stream = chained(rng, words, 4, 9000)
+    docs, at = [], 0
+    for k in range(320):
+        n = rng.randint(0, 45)
+        docs.append((k, " ".join(stream[at : at + n])))
+        at += n
+    docs += [(1000 + k, docs[7][1]) for k in range(4)] + [(2001, "rare one here and there"), (2002, "rare one here and there"), (2010, "rare one here and now")]
+    held = lambda k: k % 10 == 0
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    texts = {k: [*t.split(), "END"] for k, t in docs}
+    for depth in (1, 3, 5):
+        tree = SlowTree([t for k, t in texts.items() if not held(k)], depth)
+        assert max(map(len, tree.rest)) >= min(depth, 3)
+        got = {r["doc_id"]: r["score"] for r in score_texts(df, F.col("doc_id") % 10 == 0, depth=depth, block_tokens=700).collect()}
+        for k, t in texts.items():
+            want = sum(math.log10(tree.p(w, tuple(t[max(0, i - depth) : i]))) for i, w in enumerate(t))
+            assert abs(want - got[k]) < 1e-5 * len(t), (depth, k)
+
+
+def test_slow_tree_is_a_distribution():
+    rng = random.Random(2)
+    stream = chained(rng, [f"w{k}" for k in range(8)], 3, 3000)
+    tree = SlowTree([[*stream[k : k + 30], "END"] for k in range(0, 3000, 30)], 4)
+    for k in range(0, 2900, 7):
+        for n in range(5):
+            context = tuple(stream[k : k + n])
+            assert abs(sum(tree.p(w, context) for w in [*tree.words, None]) - 1) < 1e-9
