@@ -5,8 +5,9 @@ target weights it names the slot's source, so that every stretch of the mix is c
 of a source takes block r of its shuffled documents, cut into blocks of equally many tokens; after the last block
 a second pass begins. The slot that would exceed the source's target is trimmed to it.
 
-All ranks are in two levels (a salt, then the rows of one salt), so a source with any share of the rows is spread
-over tasks. The only rows that meet in one task are one row per source and one per (source, salt).
+All ranks are in two levels (a salt, then the rows of one salt; a chunk of slots, then the slots of one chunk), with
+as many salts as rows in a salt, so a source with any share of the rows is spread over tasks: a window sees the root
+of the rows at most. Beside that, one row per source meets in one task.
 
 Defined results: null text counts as size 0 and takes nothing; null is a source of its own, ordered last. Empty
 tables give empty tables. Repeated ids are separate rows of the stream. Equal shuffle hashes are ordered by id.
@@ -14,6 +15,8 @@ tables give empty tables. Repeated ids are separate rows of the stream. Equal sh
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -68,7 +71,7 @@ def stream_positions(docs: DataFrame, doc_id: str, seed: int, salts: int) -> Dat
     return joined.withColumn("_start", F.col("_base") + F.col("_in")).drop("_h", "_salt", "_salt2", "_src", "_in", "_base")
 
 
-def schedule(targets: DataFrame, block: int, chunk: int = 512) -> DataFrame:
+def schedule(targets: DataFrame, block: int, least_chunk: int = 512) -> DataFrame:
     """Slots (slot, source, pass, block, take): which block of which source the mix takes, in mix order.
 
     targets: one row per source with source_size and target. Points are drawn until they suffice on average, and
@@ -92,6 +95,7 @@ def schedule(targets: DataFrame, block: int, chunk: int = 512) -> DataFrame:
     wanted = checkpointed(wanted)
     total = wanted.agg(F.sum("_need").alias("n"), F.max("_sid").alias("k")).first()
     n = total.n or 0
+    chunk = max(least_chunk, isqrt(n))
     # the interval of each source is cut at a grid finer than the sources, so that points find it by an equi-join
     grid = 4 * max(total.k or 0, 256)
     intervals = wanted.where("_hi > _lo").select(
@@ -136,19 +140,19 @@ def mix(
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
-    rows_a_salt: int = 1000,
+    row: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(decisions, pieces).
+    """(decisions, pieces). row: a column that numbers the rows; without one they are numbered here.
 
     decisions: _row, doc_id, source, size, source_size, target, taken - one row per document.
     pieces: slot, _row, doc_id, source, size, pass, first, last - the words [first, last) of a document that a slot of the mix takes.
     """
-    sized = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
-    sized = checkpointed(sized.withColumn("_row", F.monotonically_increasing_id()))
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    sized = checkpointed(docs.select(number.alias("_row"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")))
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     targets = checkpointed(source_targets(sizes, cycle, share, limit))
     n, k = targets.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.count("*")).first()
-    placed = stream_positions(sized.where("size > 0"), "doc_id", seed, max(1, -(-n // rows_a_salt)))
+    placed = stream_positions(sized.where("size > 0"), "doc_id", seed, isqrt(n) + 1)
     slots = schedule(targets, block)
     first, last = F.floor(F.col("_start") / block), F.floor((F.col("_start") + F.col("size") - 1) / block)
     cut = placed.select("_row", "doc_id", "source", "size", "_start", F.explode(F.sequence(first, last)).alias("block"))

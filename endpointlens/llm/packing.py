@@ -6,12 +6,13 @@ of pieces of each length matters to that rule, so it is run once on the histogra
 rows, however large the corpus - with a segment tree indexed by remaining capacity that holds how many windows are
 open at each. Windows of equal contents are runs, so the plan has a bounded number of rows too. Tasks then look up
 where the r-th piece of a length goes. Ranks within a length are in two levels (a salt, then the pieces of one
-salt), so a length that a third of all documents share is spread over tasks.
+salt) with as many salts as pieces in one, so a length that a third of all documents share is spread over tasks.
 
 Sequences are padded to the window except where their fill is a power of two, which needs no padding.
 
 Defined results: null or empty text is the end id alone. Repeated ids are documents of their own; each has a `row`.
-An empty table gives an empty table. Equal lengths are ordered by a hash of the id, then id, start and row.
+An empty table gives an empty table. Equal lengths are ordered by a hash of the id and row, then id, start and row.
+`row` numbers the rows as they are read, so another cut of the files may give other sequences, packed as tightly.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import re
 import zlib
 from collections import defaultdict, deque
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -207,7 +209,6 @@ def pack(
     doc_id: str = "doc_id",
     text: str = "text",
     with_ids: bool = False,
-    pieces_a_salt: int = 500,
 ) -> DataFrame:
     """row, doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids] - one row per piece."""
     pieces = written(cut_pieces(docs, tokenizer_path, window, end_id, doc_id, text, with_ids).withColumnRenamed(doc_id, "doc_id"), "pieces")
@@ -216,7 +217,7 @@ def pack(
     spark = docs.sparkSession
     # pieces of full windows need no rank within a plan run beyond their number; they are ranked like the others
     largest = max(histogram.values(), default=0)
-    placed = ranked(pieces.drop("ids"), max(1, -(-largest // pieces_a_salt)), ["doc_id", "start", "row"])
+    placed = ranked(pieces.drop("ids"), isqrt(largest) + 1, ["doc_id", "start", "row"])
     columns = ["_length", "_first", "_count", "_window", "_per", "_offset"]
     runs = spark.createDataFrame(pd.DataFrame(plan, columns=columns, dtype="int64"), ", ".join(f"{c} long" for c in columns))
     grouped = runs.groupBy("_length").agg(F.array_sort(F.collect_list(F.struct("_first", "_count", "_window", "_per", "_offset"))).alias("_runs"))

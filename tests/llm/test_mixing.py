@@ -51,10 +51,10 @@ def test_targets_and_taken(spark):
     for seed, block in ((1, 8), (2, 64), (3, 2048)):
         docs = made(seed)
         df = spark.createDataFrame(docs, SCHEMA).repartition(5)
-        decisions, pieces = mix(df, block=block, rows_a_salt=20)
+        decisions, pieces = mix(df, block=block)
         rows = decisions.collect()
         check(rows, docs)
-        again = mix(spark.createDataFrame(docs, SCHEMA).repartition(2), block=block, rows_a_salt=20)[0].collect()
+        again = mix(spark.createDataFrame(docs, SCHEMA).repartition(2), block=block)[0].collect()
         assert sorted((r["doc_id"], r["taken"]) for r in rows) == sorted((r["doc_id"], r["taken"]) for r in again)
         taken = defaultdict(int)
         for p in pieces.collect():

@@ -48,7 +48,7 @@ def test_round_trip(spark):
     docs = [(i, " ".join(rng.choice(words) for _ in range(rng.choice([0, 3, 40, 300])))) for i in range(80)]
     docs += [(900, None), (901, ""), (902, "same text here"), (902, "same text here")]
     df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, length long")
-    rows = pack(df, PATH, window=64, with_ids=True, pieces_a_salt=7).collect()
+    rows = pack(df, PATH, window=64, with_ids=True).collect()
     encode = lambda t: [*Tokenizer.from_file(PATH).encode(t or "", add_special_tokens=False).ids, 1]
     by_row, sequences = defaultdict(list), defaultdict(list)
     for r in rows:

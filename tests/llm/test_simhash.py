@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
-from endpointlens.llm.simhash import cells_of, components, embed, fingerprint, hamming_links, near_duplicates, shingle_hashes
+from endpointlens.llm.simhash import cells_of, components, embed, fingerprint, hamming_links, near_duplicates, shingle_hashes, similar_documents
 
 
 def slow(text):
@@ -34,18 +35,21 @@ def test_fingerprints():
         assert fingerprint(shingle_hashes(text, 3, 42)) & (2**64 - 1) == slow(text)
 
 
-def test_embedding_bounds_hamming():
+@pytest.mark.parametrize("width", [4, 2, 1])
+def test_embedding_bounds_hamming(width):
     rng = np.random.default_rng(1)
     a = rng.integers(-(2**63), 2**63 - 1, 300, dtype=np.int64)
     b = a ^ (np.int64(1) << rng.integers(0, 63, 300)) ^ (np.int64(1) << rng.integers(0, 63, 300))
     hamming = np.bitwise_count((a ^ b).view(np.uint64))
-    assert (np.abs(embed(a) - embed(b)).sum(1) <= hamming).all()
+    points = [[[(int(p) >> at) & ((1 << width) - 1) for at in range(0, 64, width)] for p in embed(x, width)] for x in (a, b)]
+    assert points[0][0] == [bin((int(a[0]) >> at) & ((1 << width) - 1)).count("1") for at in range(0, 64, width)]
+    assert (np.abs(np.array(points[0]) - np.array(points[1])).sum(1) <= hamming).all()
     for x, y in zip(a[:50], b[:50]):
-        cells = [set(cells_of(np.array([v], np.int64))[1].tolist()) for v in (x, y)]
+        cells = [set(cells_of(np.array([v], np.int64), width)[1].tolist()) for v in (x, y)]
         assert cells[0] & cells[1]  # at distance two or less they meet
 
 
-def test_links_keep_components_light_and_crowded(spark):
+def test_links_are_all_pairs_in_light_and_crowded_cells(spark):
     rng = random.Random(3)
     base = [rng.getrandbits(64) for _ in range(30)]
     fps = set(base)
@@ -56,14 +60,13 @@ def test_links_keep_components_light_and_crowded(spark):
         for _ in range(40):
             fps.add(base[0] ^ (1 << rng.randrange(64)))
     fps = sorted(x - (1 << 64) if x >> 63 else x for x in fps)
-    want = groups(fps, lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= 2)
-    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    df = spark.createDataFrame([(0, f) for f in fps] + [(1, f) for f in fps[::3]], "draw int, fp long")
     place = {f: k for k, f in enumerate(fps)}
+    near = {(0, i, j) for i in range(len(fps)) for j in range(len(fps)) if fps[i] < fps[j] and ((fps[i] ^ fps[j]) & (2**64 - 1)).bit_count() <= 2}
+    near |= {(1, i, j) for _, i, j in near if i % 3 == 0 and j % 3 == 0}
     for crowd in (1, 8, 1000):
-        edges = [(place[r["a"]], place[r["b"]]) for r in hamming_links(df, crowd).collect()]
-        linked = {frozenset(e) for e in edges}
-        got = groups(list(range(len(fps))), lambda i, j: frozenset((i, j)) in linked)
-        assert got == want, crowd
+        got = [(r["draw"], place[r["a"]], place[r["b"]]) for r in hamming_links(df, crowd).collect()]
+        assert len(got) == len(set(got)) and set(got) == near, crowd
 
 
 def test_components_chain_and_star(spark):
@@ -80,3 +83,37 @@ def test_documents(spark):
     out = sorted((r["doc_id"], r["component_id"]) for r in near_duplicates(df).collect())
     assert out == [(2, 2), (4, 2), (9, 2), (11, 11), (12, 11), (13, 13), (13, 13), (20, 20)]
     assert near_duplicates(df.limit(0)).count() == 0
+
+
+def sets_of(text, n=5):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))}
+
+
+def test_similar_documents(spark):
+    """Against all pairs by brute force: texts around the limit, groups of copies, a passage that many texts share."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(3000)}"
+    passage = " ".join(word() for _ in range(60))
+    texts = []
+    for k in range(120):
+        base = [word() for _ in range(rng.randint(60, 200))]
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(0, 3)):
+            own = list(base)
+            for _ in range(rng.randint(1, max(1, len(base) // 40))):
+                own[rng.randrange(len(own))] = word()
+            texts.append(" ".join(own))
+    texts += [passage + " " + " ".join(word() for _ in range(80)) for _ in range(60)]
+    texts += [texts[0].upper().replace(" ", "\n ")] * 30 + [None, "", " \n", "two words", "Two  words", "x"]
+    rows = [(k, t, "extra", 1) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "row long, text string, same string, node int").repartition(4)
+    got = {r["row"]: r["group"] for r in similar_documents(df).collect()}
+    sets = [sets_of(t) for t in texts]
+    alike = lambda i, j: 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+    want = groups(list(range(len(texts))), alike)
+    assert sorted(got) == list(range(len(texts)))
+    assert all(want[k] == want[got[k]] for k in got)  # no false links
+    linked = [k for k in got if want[k] != k]
+    assert sum(got[k] == want[k] for k in linked) >= 0.98 * len(linked)
+    assert similar_documents(df.limit(0)).count() == 0
