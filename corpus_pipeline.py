@@ -15,7 +15,7 @@ from endpointlens.llm.line_dedup import dedup_lines
 from endpointlens.llm.mixing import mix
 from endpointlens.llm.packing import pack
 from endpointlens.llm.queries import vocabulary
-from endpointlens.llm.simhash import near_duplicates
+from endpointlens.llm.simhash import similar_documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -33,18 +33,29 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each SimHash component."""
-    first = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(COLUMNS)
+    """One document, that of the smallest id, of each group of texts that share 0.8 of their five-word shingles.
+
+    Rows of null ids take part; of a group of them alone one stays. Equal texts are one group whatever their length.
+    """
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    groups = similar_documents(rows, "_row")
+    named = rows.select("_row", "doc_id").join(groups.withColumnRenamed("row", "_row"), "_row")
+    first = named.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("m")).select("m._row")
+    return rows.join(first, "_row", "left_semi").select(COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row for each pass in which the mix takes a document; the last of a source is cut where its target ends."""
-    _, pieces = mix(docs)
-    taken = pieces.groupBy("doc_id", "pass").agg(F.max("last").alias("_words"), F.max("size").alias("_size"))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("_words").cast("int")), " ")
+    """One row for each pass in which the mix takes a document, in the order of the mix's slots.
+
+    The last document of a source is cut behind the word at which its target ends; what is kept of a text keeps its
+    line breaks. Rows are told apart by number, so repeated and null ids are documents of their own.
+    """
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    _, pieces = mix(rows, row="_row")
+    taken = pieces.groupBy("_row", "pass").agg(F.max("last").alias("_words"), F.max("size").alias("_size"), F.min("slot").alias("_slot"))
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1, F.col("_words").cast("int")), "")
     text = F.when(F.col("_words") < F.col("_size"), cut).otherwise(F.col("text"))
-    mixed = docs.join(taken, "doc_id").withColumn("text", text)
+    mixed = rows.join(taken, "_row").withColumn("text", text).orderBy("_slot", "_row", "pass")
     return mixed.withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
 
 
