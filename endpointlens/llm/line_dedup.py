@@ -3,22 +3,26 @@
 A line's key is the line stripped of ASCII white space at both ends with A-Z lower-cased, held as two independent
 64-bit hashes. The reference table has one row per key: how many documents hold it and the smallest id among them.
 Keys that two or more documents hold are also in the cuckoo filter of their shard. A filter answers "surely not
-shared" without a look at the table, so only lines that may be shared are shuffled to the exact join, which alone
-decides. A cuckoo filter can forget: when documents are deleted, keys held by fewer than two documents are taken
+shared" without a look at the table, so only lines that may be shared go on to the exact join, which alone decides.
+Lines travel to the filter of their shard; no filter is sent to all tasks. A cuckoo filter can forget: when documents are deleted, keys held by fewer than two documents are taken
 out again, and later decisions are those of a corpus that never had the deleted documents.
 
 Hot lines are counted by partial aggregates (one row per task and key) and joined with a unique side, which Spark
 may split; nothing gathers the lines of one key.
 
 Defined results: null or empty text is one empty line; lines with keys under `least` code points always stay.
-Repeated rows with one id are one document: they never make a line shared, and each row keeps its lines.
-Extra columns are kept; columns named like the added ones are replaced.
+Repeated rows with one id are one document: they never make a line shared, and each row keeps its lines. A row of a
+null id shares no line and keeps all. An empty table gives an empty table. A long text takes memory in proportion.
+Extra columns of any name are kept; only `n_lines`, `n_dropped` and `kept_text` are replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -168,35 +172,45 @@ def build_filters(refs: DataFrame, shards: int) -> DataFrame:
     return shared.groupBy("shard").applyInPandas(build, "shard long, blob binary")
 
 
-def maybe_shared(lines: DataFrame, filters: DataFrame, shards: int, most_bytes: int) -> DataFrame:
+def maybe_shared(lines: DataFrame, filters: DataFrame, shards: int, lines_a_task: int) -> DataFrame:
     """Rows of lines (h1, h2, ...) whose key may be shared: all that are, and about one in 8000 of the others.
 
-    Filters of up to `most_bytes` in all are broadcast. Larger ones aren't moved: then every line goes on to the
-    exact join, which gives the same result.
+    Lines go to the filter of their shard, whatever the filters' size: rows of (shard, slice) are sorted behind the
+    shard's filter, so a task holds one filter at a time and streams the lines. A shard of many lines, as that of a hot
+    line, is cut into slices of about `lines_a_task`, each with its own copy of the filter.
     """
-    size = filters.agg(F.sum(F.length("blob"))).first()[0] or 0
-    if size > most_bytes:
-        return lines
-    sent = lines.sparkSession.sparkContext.broadcast({r["shard"]: r["blob"] for r in filters.collect()})
-
-    @F.pandas_udf("boolean")
-    def held(h1: pd.Series, h2: pd.Series) -> pd.Series:
-        a, b = h1.to_numpy(np.int64), h2.to_numpy(np.int64)
-        out = np.zeros(len(a), bool)
-        shard = a % shards
-        for s in np.unique(shard):
-            blob = sent.value.get(int(s))
-            if blob is not None:
-                rows = shard == s
-                out[rows] = CuckooFilter.load(blob).contains(a[rows], b[rows])
-        return pd.Series(out)
-
-    return lines.where(held("h1", "h2"))
-
-
-def dropped_keys(held: DataFrame, refs: DataFrame, filters: DataFrame, shards: int, most_bytes: int) -> DataFrame:
+    of = F.pmod("h1", F.lit(shards)).alias("shard")
+    sizes = lines.groupBy(of).agg(F.ceil(F.count("*") / lines_a_task).cast("int").alias("slices"))
+    sizes = written(sizes, "shard-sizes")  # a row per shard, of half a million keys each
+    names = lines.columns
+    cut = lines.select(of, "*").join(F.broadcast(sizes) if shards <= 100_000 else sizes, "shard")
+    cut = cut.select("shard", F.pmod(F.xxhash64("doc_id", "text_hash", "k"), F.col("slices")).cast("int").alias("slice"), F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("blob"), *names)
+    sent = filters.join(sizes, "shard").select(
+        "shard", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("kind"), "blob", *[F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in names]
+    )
+    together = cut.unionByName(sent).repartition("shard", "slice").sortWithinPartitions("shard", "slice", "kind")
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, of = None, None
+        for b in batches:
+            shard, part, kind = (np.asarray(b.column(k)) for k in range(3))
+            keep = np.zeros(b.num_rows, bool)
+            starts = np.flatnonzero((kind == 0) | (np.diff(shard, prepend=shard[:1]) != 0) | (np.diff(part, prepend=part[:1]) != 0))
+            for a, z in zip([0, *starts], [*starts, b.num_rows]):
+                if z > a:
+                    if kind[a] == 0:
+                        held, of = CuckooFilter.load(b.column(3)[int(a)].as_py()), (shard[a], part[a])
+                        a += 1
+                    if of == (shard[z - 1], part[z - 1]) and z > a:  # a shard without a filter has no shared key
+                        keep[a:z] = held.contains(b.column(4).slice(a, z - a).to_numpy(), b.column(5).slice(a, z - a).to_numpy())
+            yield pa.RecordBatch.from_arrays(b.columns[4:], names=names).filter(pa.array(keep))
+
+    return together.mapInArrow(test, lines.schema)
+
+
+def dropped_keys(held: DataFrame, refs: DataFrame, filters: DataFrame, shards: int, lines_a_task: int) -> DataFrame:
     """(doc_id, text_hash, drops): the places of the keys that a document loses to a smaller id."""
-    likely = maybe_shared(held, filters, shards, most_bytes)
+    likely = maybe_shared(held, filters, shards, lines_a_task)
     shared = refs.where(SHARED).select("h1", "h2", "first_doc")
     lost = likely.join(shared, ["h1", "h2"]).where(F.col("doc_id") > F.col("first_doc"))
     return lost.groupBy("doc_id", "text_hash").agg(F.collect_set("k").alias("drops"))
@@ -225,24 +239,20 @@ def apply_drops(docs: DataFrame, drops: DataFrame, least: int, doc_id: str, text
     def rebuild(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
         return rebuilt(texts, gone, least)
 
-    docs = docs.drop("n_lines", "n_dropped", "kept_text")
-    out = docs.withColumn("_th", F.xxhash64(text)).join(
-        drops.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th2"), "drops"),
-        (F.col(doc_id) == F.col("_id")) & (F.col("_th") == F.col("_th2")),
-        "left",
-    )
-    own = F.coalesce(F.col(text), F.lit(""))
-    out = out.withColumn("_r", rebuild(F.when(F.col("drops").isNotNull(), own), "drops"))
+    own_row = F.struct(*[c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")]).alias("row")
+    keyed = docs.select(own_row, F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.coalesce(F.col(text), F.lit("")).alias("own"))
+    out = keyed.join(drops, ["doc_id", "text_hash"], "left")
+    out = out.withColumn("new", rebuild(F.when(F.col("drops").isNotNull(), F.col("own")), "drops"))
     return out.select(
-        *docs.columns,
-        F.size(F.split(own, "\n", -1)).cast("long").alias("n_lines"),
-        F.coalesce("_r.n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
-        F.coalesce("_r.kept", own).alias("kept_text"),
+        "row.*",
+        F.size(F.split("own", "\n", -1)).cast("long").alias("n_lines"),
+        F.coalesce("new.n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce("new.kept", "own").alias("kept_text"),
     )
 
 
 def dedup_lines(
-    docs: DataFrame, least: int = 10, doc_id: str = "doc_id", text: str = "text", keys_a_shard: int = 500_000, most_bytes: int = 64 << 20
+    docs: DataFrame, least: int = 10, doc_id: str = "doc_id", text: str = "text", keys_a_shard: int = 500_000, lines_a_task: int = 4_000_000
 ) -> DataFrame:
     """docs with n_lines, n_dropped and kept_text, every line shared by several documents kept in the smallest id.
 
@@ -252,7 +262,7 @@ def dedup_lines(
     refs = written(references(held).where(SHARED), "line-refs")
     shards = max(1, -(-refs.count() // keys_a_shard))
     filters = written(build_filters(refs, shards), "line-filters")
-    return apply_drops(docs, dropped_keys(held, refs, filters, shards, most_bytes), least, doc_id, text)
+    return apply_drops(docs, dropped_keys(held, refs, filters, shards, lines_a_task), least, doc_id, text)
 
 
 class LineIndex:
@@ -263,14 +273,16 @@ class LineIndex:
     Only keys that a batch touches are counted again, and only they enter or leave the filters.
     """
 
-    def __init__(self, spark, shards: int = 16, least: int = 10, most_bytes: int = 64 << 20):
+    def __init__(self, spark, shards: int = 16, least: int = 10, lines_a_task: int = 4_000_000):
         shared_dir(spark)
-        self.spark, self.shards, self.least, self.most_bytes = spark, shards, least, most_bytes
+        self.spark, self.shards, self.least, self.lines_a_task = spark, shards, least, lines_a_task
         self.held = self.refs = self.filters = None
 
     def insert(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> None:
-        """Add documents; their ids must not be in the index yet."""
+        """Add documents; an id that the index holds already is refused. What is held is only added to."""
         new = written(holders(docs, self.least, doc_id, text), "held-new")
+        if self.held is not None and not new.join(self.held, "doc_id", "left_semi").isEmpty():
+            raise ValueError("ids are in the index already; delete them first")
         self._change(new if self.held is None else self.held.unionByName(new), new.select("h1", "h2").distinct())
 
     def delete(self, ids: DataFrame, doc_id: str = "doc_id") -> None:
@@ -279,15 +291,15 @@ class LineIndex:
             return
         gone = ids.select(F.col(doc_id).alias("doc_id")).distinct()
         touched = self.held.join(gone, "doc_id", "left_semi").select("h1", "h2").distinct()
-        self._change(self.held.join(gone, "doc_id", "left_anti"), touched)
+        self._change(written(self.held.join(gone, "doc_id", "left_anti"), "held"), touched)
 
     def decide(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """What docs, all of them in the index, keep at its present state."""
-        drops = dropped_keys(holders(docs, self.least, doc_id, text), self.refs, self.filters, self.shards, self.most_bytes)
+        drops = dropped_keys(holders(docs, self.least, doc_id, text), self.refs, self.filters, self.shards, self.lines_a_task)
         return apply_drops(docs, drops, self.least, doc_id, text)
 
     def _change(self, held: DataFrame, touched: DataFrame) -> None:
-        held, touched = written(held, "held"), written(touched, "touched")
+        touched = written(touched, "touched")
         fresh = references(held.join(touched, ["h1", "h2"], "left_semi"))
         if self.refs is None:
             refs = written(fresh, "refs")

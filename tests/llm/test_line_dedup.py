@@ -39,7 +39,17 @@ def test_against_brute_force(spark):
     docs = [*made(120, 1), (1000, ""), (1001, "x" * 200_000 + "\nA shared line of text"), (1002, "A shared line of text\nA shared line of text")]
     df = spark.createDataFrame([(*d, "clash") for d in docs], SCHEMA)
     assert result(dedup_lines(df)) == brute(docs)
-    assert result(dedup_lines(df, most_bytes=0)) == brute(docs)  # filters too large to send: the exact join alone
+    assert result(dedup_lines(df, keys_a_shard=1, lines_a_task=5)) == brute(docs)  # many filters, each in slices
+    assert result(dedup_lines(df, lines_a_task=3)) == brute(docs)
+
+
+def test_extra_columns_of_any_name(spark):
+    names = ["drops", "_id", "_th", "row", "own", "new", "text_hash", "h1", "shard", "k"]
+    rows = [(1, "the very same line", *range(10)), (2, "the very same line", *range(10)), (None, "the very same line", *range(10))]
+    df = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *(f"{n} int" for n in names)]))
+    out = sorted(dedup_lines(df).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"]))
+    assert [(r["doc_id"], r["n_dropped"], r["kept_text"]) for r in out] == [(1, 0, "the very same line"), (2, 1, ""), (None, 0, "the very same line")]
+    assert all([r[n] for n in names] == list(range(10)) for r in out)
 
 
 def test_empty_and_repeated(spark):
@@ -55,6 +65,8 @@ def test_index_is_reversible(spark):
     index = LineIndex(spark, shards=3)
     index.insert(frame(docs[:40]))
     index.insert(frame(docs[40:]))
+    with pytest.raises(ValueError):
+        index.insert(frame([(1, "some line that the index has not seen")]))
     assert result(index.decide(frame(docs))) == brute(docs)
     gone = [d for d in docs if d[0] % 3 == 0]
     left = [d for d in docs if d[0] % 3]
