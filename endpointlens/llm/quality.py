@@ -5,12 +5,13 @@ the compressed sizes, divided by the text's size (plus a constant that keeps ver
 single feature; a logistic curve fitted on labelled rows that the dictionaries never saw turns it into a
 probability.
 
-The fit uses a bounded sample, the same at every size of the corpus: `sample` labelled rows of each class, in the
-order of a hash of their id, six blocks of each. Scoring is one pass over whole texts without a shuffle.
+The fit uses a bounded sample of labelled rows, the same at every size of the corpus: `sample` rows of each class, in
+the order of a hash of their id, with their whole texts. Scoring is one pass over whole texts without a shuffle.
 
 Defined results: null or empty text has difference 0 and gets the curve's value there. If labelled rows of a class
 are missing, every text scores the share of good labels (0.5 without labels). Repeated ids are scored row by row.
-Extra columns are kept; `score` is replaced.
+Extra columns of any name are kept; `score` is replaced. Ids of any type do. A row of a null id is scored, but is never
+learned from. A very long text is scored block by block; in the sample it takes driver memory in proportion.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def labelled_sample(labels: DataFrame, label: str, doc_id: str, sample: int, see
     at = F.xxhash64(F.lit(seed), F.col(doc_id))
     rows = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("y"), at.alias("_at")).where(F.col(doc_id).isNotNull())
     classes = [rows.where(F.col("y") == k).dropDuplicates(["_id"]).orderBy("_at", "_id").limit(sample) for k in (1, 0)]
-    return classes[0].unionByName(classes[1]).select("_id", "y", F.pmod(F.xxhash64("_at"), F.lit(10)).cast("int").alias("part"))
+    return classes[0].unionByName(classes[1]).select("_id", "y", F.pmod(F.xxhash64("_at"), F.lit(10)).cast("int").alias("part"), "_at")
 
 
 class CompressionClassifier:
@@ -97,10 +98,9 @@ def fit(
     label: str = "quality",
     doc_id: str = "doc_id",
     text: str = "text",
-    sample: int = 6000,
+    sample: int = 3000,
     block: int = 1024,
     size: int = 1 << 18,
-    most_bytes: int = 12_000_000,
     seed: int = 11,
 ) -> CompressionClassifier:
     """Learn from the labelled rows given (doc_id, label in 0/1); label is null: the row is left out."""
@@ -112,28 +112,15 @@ def fit(
     chosen = F.broadcast(labelled_sample(labels, label, doc_id, sample, seed))
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(chosen, "_id")
 
-    def cut(batches):
-        for pdf in batches:
-            out = {"y": [], "at": [], "part": []}
-            for i, t, y in zip(pdf["_id"], pdf["_text"], pdf["y"]):
-                parts = blocks_of(t, block)
-                picked = range(len(parts)) if len(parts) <= 6 else np.random.default_rng(abs(hash(int(i)))).choice(len(parts), 6, replace=False)
-                for k in picked:
-                    out["y"].append(y)
-                    out["at"].append(int(i))
-                    out["part"].append(parts[k])
-            yield pd.DataFrame(out)
-
-    pieces = rows.where("part < 7").mapInPandas(cut, "y int, at long, part binary").toPandas()  # at most 12 * sample blocks
+    whole = rows.where("part < 7").select("y", "_at", "_text").toPandas()  # at most 2 * sample rows
     dictionaries = []
     for y in (1, 0):
-        own = pieces[pieces["y"] == y].sort_values(["at"], kind="stable")["part"].tolist()
+        texts = whole[whole["y"] == y].sort_values(["_at", "_text"], kind="stable")["_text"]
+        own = [p for t in texts for p in blocks_of(t, block)]
         np.random.default_rng(seed).shuffle(own)
-        ends = np.cumsum([len(p) for p in own])
-        own = own[: int(np.searchsorted(ends, most_bytes)) + 1]
         try:
-            dictionaries.append(zstandard.train_dictionary(min(size, int(ends[-1])), own).as_bytes())
-        except (zstandard.ZstdError, IndexError):  # too little text to find repeats in: the text itself is the dictionary
+            dictionaries.append(zstandard.train_dictionary(min(size, sum(map(len, own))), own).as_bytes())
+        except (zstandard.ZstdError, ValueError):  # too little text to find repeats in: the text itself is the dictionary
             dictionaries.append(b"".join(own)[-size:] or b"\0" * 8)
     model = CompressionClassifier(*dictionaries, 0.0, 0.0, block)
     seen = rows.where("part >= 7").select("y", model.differences(docs.sparkSession)("_text").alias("d")).toPandas()
