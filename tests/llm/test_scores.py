@@ -64,6 +64,72 @@ def test_classifiers_without_labels(spark, corpus, module, label):
     assert len({r["score"] for r in module.judge(docs, ones, label).collect()}) == 1
 
 
+def planted_votes(n=40_000):
+    """Votes of six voters with known rates; the fifth repeats the fourth in four of five rows, whatever the label."""
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    y = rng.random(n) < 0.15
+    rates = np.array([[0.02, 0.8], [0.05, 0.7], [0.01, 0.5], [0.2, 0.4], [0.2, 0.4], [0.3, 0.3]])
+    votes = (rng.random((n, 6)) < np.where(y[:, None], rates[:, 1], rates[:, 0])).astype(float)
+    same = rng.random(n) < 0.8
+    votes[same, 4] = votes[same, 3]
+    patterns, count = np.unique(votes, axis=0, return_counts=True)
+    first = np.where(patterns[:, :3].sum(1) >= 1, 0.6, 0.05)
+    return rates, patterns, count.astype(float), first
+
+
+def test_label_model_finds_planted_rates_and_correlation():
+    import numpy as np
+
+    rates, patterns, count, first = planted_votes()
+    model = toxicity.LabelModel(0.15).fit(patterns, count, first)
+    assert np.abs(model.accuracy - rates.T).max() < 0.03
+    assert {frozenset((i, j)) for i, j in enumerate(model.parent) if j >= 0} == {frozenset((3, 4))}
+    # the pair adds no more than one of its voters: without the tree it counts twice
+    both = np.array([[0, 0, 0, 1, 1, 0], [0, 0, 0, 1, 0, 0], [0, 0, 0, 0, 0, 0.0]])
+    naive = toxicity.LabelModel(0.15, dependent=np.inf).fit(patterns, count, first)
+    logit = lambda p: np.log(p / (1 - p))
+    gain = lambda m: logit(m.posterior(both))[0] - logit(m.posterior(both))[2]
+    assert gain(model) < 0.8 * gain(naive)
+
+
+def test_label_model_equals_a_slow_one():
+    """Independent voters: every row on its own, by the rule as it reads."""
+    import numpy as np
+
+    _, patterns, count, first = planted_votes(3000)
+    model = toxicity.LabelModel(0.15, dependent=np.inf).fit(patterns, count, first, rounds=12)
+    rows = [(pattern, p) for pattern, n, p in zip(patterns.tolist(), count, first) for _ in range(int(n))]
+    for _ in range(12):
+        size = [sum(1 - p for _, p in rows), sum(p for _, p in rows)]
+        hits = [[sum((p if y else 1 - p) * v[i] for v, p in rows) for i in range(6)] for y in (0, 1)]
+        rate = [[(hits[y][i] + (hits[y][i] + 0.5) / (size[y] + 1)) / (size[y] + 1) for i in range(6)] for y in (0, 1)]
+        new = []
+        for v, _ in rows:
+            like = [math.prod(rate[y][i] if v[i] else 1 - rate[y][i] for i in range(6)) for y in (0, 1)]
+            new.append((v, 0.15 * like[1] / (0.15 * like[1] + 0.85 * like[0])))
+        rows = new
+    slow = {tuple(v): p for v, p in rows}
+    assert all(abs(p - slow[tuple(v)]) < 1e-6 for v, p in zip(patterns.tolist(), model.posterior(patterns)))
+
+
+def test_linear_fit_equals_newton(spark):
+    """The summed quasi-Newton fit against plain Newton steps on the dense matrix."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = (rng.random((400, 7)) < 0.3).astype(float)
+    p = 1 / (1 + np.exp(-(x @ rng.normal(0, 2, 7) - 1)))
+    rows = [(np.flatnonzero(r).tolist(), float(q), 2) for r, q in zip(x, p)]
+    got = toxicity.linear_fit(spark.createDataFrame(rows, "places array<int>, p double, n long").repartition(3), 7, rounds=60)
+    design, beta, ridge = np.c_[x, np.ones(400)], np.zeros(8), np.diag([1.0] * 7 + [0.0])
+    for _ in range(30):
+        q = 1 / (1 + np.exp(-design @ beta))
+        beta -= np.linalg.solve((design * (2 * q * (1 - q))[:, None]).T @ design + ridge, design.T @ (2 * (q - p)) + ridge @ beta)
+    assert np.abs(got - beta).max() < 0.1
+
+
 def test_language_model(spark):
     rng = random.Random(4)
     words = [prose(rng, 1) for _ in range(40)]
