@@ -182,6 +182,16 @@ class Block:
         rows, value = self.told.get(kind, []), np.float32 if kind % 2 else np.int64
         return np.concatenate([np.zeros(0, value), *(spread(r["values"], value) for r in rows)]), np.concatenate([np.zeros(0, bool), *(spread(r["first"], bool) for r in rows)])
 
+    def places(self, strings: Strings, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(distinct keys in order, the place of each string's key); words are told apart by their codes."""
+        if size > 1:
+            return np.unique(strings.keys, return_inverse=True)
+        codes = np.flatnonzero(self.totals >= self.least)
+        codes = codes[np.argsort(self.hashes[codes])]
+        place = np.zeros(len(self.hashes), np.int64)
+        place[codes] = np.arange(len(codes))
+        return self.hashes[codes], place[self.codes[strings.at]]
+
     def candidates(self, own: Strings, size: int) -> tuple[Strings, np.ndarray]:
         """Strings of `size` words whose two parts of size - 1 are frequent, and the places of those to be counted.
 
@@ -204,7 +214,7 @@ class Block:
 
     def after(self, p: np.ndarray, contexts: Strings, strings: Strings, size: int) -> np.ndarray:
         """Probabilities of the tokens given up to `size` words before them, from those given fewer."""
-        rest = self.answer(2 * size + 1)[0][np.unique(contexts.keys, return_inverse=True)[1]].astype(np.float64)
+        rest = self.answer(2 * size + 1)[0][self.places(contexts, size)[1]].astype(np.float64)
         inside = ~np.isnan(rest) & (contexts.at + 1 < len(p))
         inside[inside] &= self.before[contexts.at[inside] + 1] >= size
         at, seen, out = contexts.at[inside] + 1, np.zeros(len(p), np.int64), p.copy()
@@ -296,7 +306,7 @@ def weights_of(discount: float, strict: float) -> Callable:
 
 def score_texts(
     docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text",
-    depth: int = 5, least: int = 2, discount: float = 0.5, strict: float = 3.0, block_tokens: int = 1_000_000, range_tokens: int = 1_000_000,
+    depth: int = 5, least: int = 4, discount: float = 0.5, strict: float = 3.0, block_tokens: int = 1_000_000, range_tokens: int = 1_000_000,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text; held-out ones teach nothing.
 
@@ -335,7 +345,7 @@ def score_texts(
                 keys, place = np.unique(found.keys[asked], return_inverse=True)
                 out.append((keys, [np.bincount(place, block.train[found.at[asked]], len(keys)).astype(np.int32)]))
             if weigh:
-                keys, place = np.unique(shorter.keys, return_inverse=True)
+                keys, place = block.places(shorter, k - 1)
                 above, at = np.zeros(len(keys)), np.zeros(len(p), np.int64)
                 above[place], at[shorter.at] = shorter.counts, place
                 mine = own.where(own.added)
