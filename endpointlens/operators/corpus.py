@@ -156,7 +156,9 @@ def builtin_corpus(spark: SparkSession, zone: str | None = None) -> DataFrame:
 
 
 def build_corpus(spark: SparkSession, mode: str, zone: str | None = None, external: DataFrame | None = None, allow_fallback: bool = False) -> DataFrame:
-    """controlled needs a zone, external a corpus; without it the fallback is taken only if allowed."""
+    """controlled needs a zone, external a corpus; without it the fallback is taken only if allowed. Other modes raise."""
+    if mode not in ("controlled", "external", "fallback"):
+        raise ValueError(f"unknown corpus mode: {mode}")
     if mode == "controlled":
         if not zone:
             raise ValueError("a controlled corpus needs a zone")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -129,11 +131,30 @@ def vote_negative(results: DataFrame, keys: list[str], check: str = "check_no",
     return out.select(*keys, F.col("rejection_reason").isNull().alias("accepted"), "rejection_reason")
 
 
-def fifo_match(plan: DataFrame, responses: DataFrame, keys: list[str], plan_order: str, response_order: str) -> tuple[DataFrame, DataFrame]:
-    """(matched, responses left over): the k-th response of a key consumes the k-th planned probe of it."""
-    rank = lambda df, order: df.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
-    p, r = rank(plan, plan_order), rank(responses, response_order)
-    return p.join(r, [*keys, "_k"]).drop("_k"), r.join(p.select(*keys, "_k"), [*keys, "_k"], "left_anti").drop("_k")
+def fifo_match(plan: DataFrame, responses: DataFrame, resolver: list[str], question: list[str], plan_order: str, response_order: str) -> tuple[DataFrame, DataFrame]:
+    """(probes with their response, responses left over).
+
+    A response consumes the oldest pending probe of its resolver and question: the k-th response takes the k-th probe.
+    A response whose resolver is null takes, after those, the oldest probe still pending for its question alone. Every
+    planned probe is returned; one that nothing answered has nulls. All columns but the keys must differ.
+    """
+
+    def rank(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+        return df.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+
+    mine = [c for c in responses.columns if c not in (*resolver, *question)]
+    named = reduce(Column.__and__, [F.col(c).isNotNull() for c in resolver])
+    keys = [*resolver, *question]
+    p = rank(plan, keys, plan_order)
+    r = rank(responses.where(named), keys, response_order)
+    first = p.join(r, [*keys, "_k"], "left").drop("_k")
+    left = r.join(p.select(*keys, "_k"), [*keys, "_k"], "left_anti").drop("_k")
+    answered = F.col(response_order).isNotNull()
+    pending = rank(first.where(~answered).drop(*mine), question, plan_order)
+    unnamed = rank(responses.where(~named).drop(*resolver), question, response_order)
+    second = pending.join(unnamed, [*question, "_k"], "left").drop("_k")
+    over = unnamed.join(pending.select(*question, "_k"), [*question, "_k"], "left_anti").drop("_k")
+    return first.where(answered).unionByName(second), left.unionByName(over, allowMissingColumns=True)
 
 
 def route_batches(df: DataFrame, max_queries: int) -> DataFrame:

@@ -17,6 +17,14 @@ def failed_only(results: DataFrame) -> DataFrame:
     return results.withColumns({"all_probes_failed": F.when(all_failed, True), "probes": F.when(~all_failed, failed)})
 
 
+def with_median_latency(results: DataFrame) -> DataFrame:
+    """Adds median_latency_ms, of the probes that succeeded with a latency; null without any."""
+    good = F.array_sort(F.transform(F.filter("probes", lambda p: p["ok"] & p["latency_ms"].isNotNull()), lambda p: p["latency_ms"]))
+    n, at = F.size("_good"), lambda k: F.get("_good", k.cast("int"))
+    middle = (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2
+    return results.withColumn("_good", good).withColumn("median_latency_ms", F.when(n > 0, middle)).drop("_good")
+
+
 def json_lines(df: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """One compact JSON text per row, in order."""
     return (df.orderBy(*order) if order else df).select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))

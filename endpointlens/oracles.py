@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from .testviews import ERRORS, LAST_DAY
+from .testviews import ERRORS
 
 _ERRORS = "[" + ", ".join(f"'{e}'" for e in ERRORS) + "]"
-_LAST = f"DATE '{LAST_DAY}'"
+_LAST = "(SELECT max(CAST(ts AS DATE)) FROM events)"
 _SEVERE = "['nxdomain_spoofing', 'tls_name_mismatch', 'tls_error', 'answer_mismatch', 'doh_path_invalid']"
 
 PROBES = f"""probes AS (
@@ -147,7 +147,7 @@ HOSTS = r"""hosts AS (
 firsts AS (SELECT *, row_number() OVER (PARTITION BY host, port, transport, good ORDER BY ordinal) AS rn FROM hosts)"""
 ANSWERS = """answers AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS probe_id, l_partkey AS part, 'q' || CAST(l_partkey AS VARCHAR) AS qname, CAST(l_suppkey AS VARCHAR) AS resolver, l_returnflag AS answer,
-    CASE WHEN l_linestatus = 'O' THEN 'NOERROR' WHEN l_returnflag = 'A' THEN 'NXDOMAIN' ELSE 'REFUSED' END AS rcode, CASE WHEN l_quantity > 45 THEN 'timed out' END AS error, l_linenumber % 2 AS check_no FROM lineitem)"""
+    CASE WHEN l_linestatus = 'O' THEN 'NOERROR' WHEN l_returnflag = 'A' THEN 'NXDOMAIN' ELSE 'REFUSED' END AS rcode, CASE WHEN l_quantity > 45 THEN 'timed out' END AS error, l_linenumber % 2 AS check_no, l_tax >= 0.08 AS lost FROM lineitem)"""
 _UNMATCHED = "timeout_or_error:massdns_unmatched"
 
 ORACLE_SQL: dict[str, str] = {
@@ -166,7 +166,7 @@ ORACLE_SQL: dict[str, str] = {
     "scrape_links": """WITH found AS (SELECT page_id AS page, regexp_extract_all(html, 'href="([^"]+)"', 1) AS l FROM pages),
 each AS (SELECT page, unnest(l) AS raw, unnest(range(len(l))) AS "at" FROM found), urls AS (SELECT page, "at", regexp_replace(raw, '[.,;)]+$', '') AS endpoint_url FROM each)
 SELECT page, "at", endpoint_url FROM urls WHERE endpoint_url <> '' QUALIFY row_number() OVER (PARTITION BY endpoint_url ORDER BY page, "at") = 1""",
-    "fill_down": """WITH rows AS (SELECT conv_id, turn, role, trim(substr(text, 1, 12), '* ') AS head FROM conversations),
+    "fill_down": """WITH rows AS (SELECT conv_id, turn, role, trim(split_part(text, chr(10), 1), '* ') AS head FROM conversations),
 filled AS (SELECT *, last_value(CASE WHEN role = 'user' THEN head END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS provider FROM rows)
 SELECT conv_id, turn, provider, 'https://x/' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS endpoint_url FROM filled WHERE role <> 'user'""",
     "reliability_split": """WITH rows AS (SELECT *, unnest(['dns-udp', 'dns-tcp']) AS transport FROM customer)
@@ -211,11 +211,11 @@ SELECT candidate_id, CAST(round AS INT) AS round, CAST(CASE WHEN transport = 'do
   coalesce(qname, substr(sha256(CAST(candidate_id AS VARCHAR) || '-' || CAST(round AS VARCHAR) || '-' || CAST(p AS VARCHAR)), 1, 40) || '.invalid.') AS qname,
   transport || ':' || kind || ':' || kind || '-' || rdtype || '-' || CAST(p AS VARCHAR) AS probe_name FROM c, q, range(3) r(round)
 UNION ALL SELECT candidate_id, 0, 0, 'tls', NULL, NULL, 'doh:tls:handshake' FROM c WHERE transport = 'doh'""",
-    "evaluate_positive": f"""WITH {ANSWERS}, e AS (SELECT probe_id, CASE WHEN part % 11 = 0 THEN '{_UNMATCHED}' WHEN error IS NOT NULL THEN 'timeout_or_error:timed out' WHEN rcode NOT IN ('NOERROR', 'NXDOMAIN') THEN 'unexpected_rcode:' || rcode
+    "evaluate_positive": f"""WITH {ANSWERS}, e AS (SELECT probe_id, CASE WHEN lost THEN '{_UNMATCHED}' WHEN error IS NOT NULL THEN 'timeout_or_error:timed out' WHEN rcode NOT IN ('NOERROR', 'NXDOMAIN') THEN 'unexpected_rcode:' || rcode
   WHEN rcode = 'NXDOMAIN' THEN 'unexpected_nxdomain' WHEN answer <> 'N' THEN 'answer_mismatch' END AS error FROM answers) SELECT probe_id, error IS NULL AS ok, error FROM e""",
-    "evaluate_negative": f"""WITH {ANSWERS}, e AS (SELECT probe_id, CASE WHEN part % 11 = 0 THEN '{_UNMATCHED}' WHEN error IS NOT NULL THEN 'timeout_or_error:timed out' WHEN rcode <> 'NXDOMAIN' THEN 'nxdomain_spoofing' END AS error
+    "evaluate_negative": f"""WITH {ANSWERS}, e AS (SELECT probe_id, CASE WHEN lost THEN '{_UNMATCHED}' WHEN error IS NOT NULL THEN 'timeout_or_error:timed out' WHEN rcode <> 'NXDOMAIN' THEN 'nxdomain_spoofing' END AS error
   FROM answers) SELECT probe_id, error IS NULL AS ok, error FROM e""",
-    "unresolved_probes": f"WITH {ANSWERS} SELECT probe_id, FALSE AS ok, '{_UNMATCHED}' AS error FROM answers WHERE part % 11 = 0",
+    "unresolved_probes": f"WITH {ANSWERS} SELECT probe_id, FALSE AS ok, '{_UNMATCHED}' AS error FROM answers WHERE lost",
     "consensus_baseline": f"WITH {ANSWERS} SELECT qname, CASE WHEN count(DISTINCT answer) = 1 AND count(DISTINCT resolver) = 4 THEN min(answer) END AS agreed FROM answers WHERE error IS NULL GROUP BY qname",
     "quorum_exact": f"""WITH {ANSWERS}, w AS (SELECT *, error IS NULL AND (rcode <> 'NOERROR' OR answer <> 'N') AS wrong FROM answers),
 g AS (SELECT qname, count(*) AS n, count(error) AS t, count_if(wrong) AS bad, arg_min(CASE WHEN rcode <> 'NOERROR' THEN rcode ELSE answer END, probe_id) FILTER (wrong) AS observed FROM w GROUP BY qname),
@@ -229,9 +229,20 @@ SELECT qname, rejection_reason IS NULL AS accepted, rejection_reason, CASE WHEN
 c AS (SELECT qname, check_no, count_if(nx) AS nx, count_if(bad) AS bad FROM w GROUP BY qname, check_no),
 f AS (SELECT qname, check_no, CASE WHEN bad > 0 THEN 'negative_parent_wildcard_like' WHEN nx < 1 THEN 'insufficient_baseline_consensus' END AS reason FROM c)
 SELECT qname, count(reason) = 0 AS accepted, arg_min(reason, check_no) FILTER (reason IS NOT NULL) AS rejection_reason FROM f GROUP BY qname""",
-    "fifo_match": """WITH p AS (SELECT o_custkey % 150 AS key, o_orderkey AS probe, row_number() OVER (PARTITION BY o_custkey % 150 ORDER BY o_orderkey) AS k FROM orders),
-r AS (SELECT user_id % 150 AS key, event_id AS response, row_number() OVER (PARTITION BY user_id % 150 ORDER BY event_id) AS k FROM events)
-SELECT r.key, probe, response FROM r LEFT JOIN p ON p.key = r.key AND p.k = r.k""",
+    "fifo_match": """WITH p AS (SELECT o_custkey % 50 AS resolver, o_custkey % 3 AS question, o_orderkey AS probe, row_number() OVER (PARTITION BY o_custkey % 50, o_custkey % 3 ORDER BY o_orderkey) AS k FROM orders),
+e AS (SELECT CASE WHEN event_type <> 'error' THEN user_id % 60 END AS resolver, event_id % 3 AS question, event_id AS response FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY resolver, question ORDER BY response) AS k FROM e WHERE resolver IS NOT NULL),
+m AS (SELECT p.question, probe, response FROM p LEFT JOIN r ON p.resolver = r.resolver AND p.question = r.question AND p.k = r.k),
+p2 AS (SELECT question, probe, row_number() OVER (PARTITION BY question ORDER BY probe) AS k FROM m WHERE response IS NULL),
+r2 AS (SELECT question, response, row_number() OVER (PARTITION BY question ORDER BY response) AS k FROM e WHERE resolver IS NULL)
+SELECT * FROM m WHERE response IS NOT NULL UNION ALL SELECT coalesce(p2.question, r2.question) AS question, probe, response FROM p2 FULL JOIN r2 ON p2.question = r2.question AND p2.k = r2.k
+UNION ALL SELECT r.question, NULL, response FROM r WHERE response NOT IN (SELECT response FROM m WHERE response IS NOT NULL)""",
+    "route_batches": """SELECT l_orderkey AS a, l_linenumber AS b, l_returnflag AS rdtype, CAST((row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey * 10 + l_linenumber) - 1) // 500 AS INT) AS batch
+FROM lineitem WHERE l_suppkey % 3 = 0 AND l_partkey % 4 <> 0""",
+    "recent_days": f"WITH {DAILY} SELECT CAST(run_date AS VARCHAR) AS run_date, resolver_key, day_status FROM daily WHERE resolver_key = 'k|1' QUALIFY row_number() OVER (ORDER BY daily.run_date DESC) <= 7",
+    "host_ports": "SELECT c_custkey, c_name AS host, CASE WHEN c_custkey % 3 = 1 THEN c_nationkey ELSE 53 END AS port FROM customer",
+    "probe_ids": "SELECT p_partkey, lower('exact-' || replace(replace(p_name, ' ', '.'), '.', '-') || '-' || p_brand) AS probe_id FROM part",
+    "results_payload": """WITH p AS (SELECT user_id AS endpoint, CASE WHEN event_type <> 'error' THEN value * (1 + user_id % 8) END AS x FROM events) SELECT endpoint, median(x) AS median_latency_ms FROM p GROUP BY endpoint""",
     "score_bands": f"""WITH {RESULTS}, {BANDS}, g AS (SELECT {BAND} AS band, count(*) AS n, count_if(status = 'accepted') AS accepted, count_if(status = 'candidate') AS candidate, count_if(status = 'rejected') AS rejected FROM results GROUP BY 1)
 SELECT band, coalesce(n, 0) AS n, coalesce(accepted, 0) AS accepted, coalesce(candidate, 0) AS candidate, coalesce(rejected, 0) AS rejected FROM bands LEFT JOIN g USING (band)""",
     "score_histogram": f"WITH {RESULTS} SELECT score, count(*) AS n FROM results GROUP BY score",
@@ -241,7 +252,7 @@ g AS (SELECT band, reason, count(*) AS n FROM e GROUP BY band, reason) SELECT ba
 SELECT band, round(coalesce(a, 0.0), 6) AS avg_p50, round(coalesce(b, 0.0), 6) AS avg_p95, round(coalesce(c, 0.0), 6) AS avg_jitter, CAST(0.0 AS DOUBLE) AS avg_runs_seen_30d FROM bands LEFT JOIN g USING (band)""",
     "top_caps": f"WITH {RESULTS}, e AS (SELECT unnest(caps) AS cap FROM results) SELECT cap, count(*) AS n FROM e GROUP BY cap ORDER BY n DESC, cap LIMIT 10",
     "confidence_stats": f"WITH {RESULTS} SELECT round(avg(confidence_score), 6) AS mean_confidence, count_if(confidence_score > 0) AS with_confidence FROM results",
-    "compare_bands": f"""WITH {RESULTS}, {BANDS}, g AS (SELECT {BAND} AS band, count_if(day < DATE '2024-01-16') AS a, count_if(day >= DATE '2024-01-16') AS b FROM results GROUP BY 1),
+    "compare_bands": f"""WITH {RESULTS}, {BANDS}, g AS (SELECT {BAND} AS band, count_if(day < {_LAST} - INTERVAL 14 DAY) AS a, count_if(day >= {_LAST} - INTERVAL 14 DAY) AS b FROM results GROUP BY 1),
 f AS (SELECT band, coalesce(a, 0) AS old_n, coalesce(b, 0) AS new_n FROM bands LEFT JOIN g USING (band))
 SELECT band, old_n, new_n, new_n - old_n AS delta, round((new_n - old_n) * CAST(100 AS DOUBLE) / (sum(old_n) OVER ()), 6) AS delta_pct FROM f""",
     "status_totals": f"WITH {RESULTS} SELECT status, count(*) AS n FROM results GROUP BY status",
@@ -256,7 +267,7 @@ SELECT CAST(run_date AS VARCHAR) AS latest_run_date, run_id AS latest_run_id, (S
     "capped_count": f"WITH {STABLE} SELECT count(*) AS capped FROM daily d JOIN stable s USING (resolver_key) WHERE d.run_date = {_LAST} AND d.day_status = 'accepted' AND s.runs_seen_30d < 29",
     "even_shards": "SELECT c_custkey, CAST(ntile(7) OVER (ORDER BY c_name, c_custkey) - 1 AS INT) AS shard FROM customer",
     "sorted_export": """SELECT '{"s_suppkey":' || CAST(s_suppkey AS VARCHAR) || ',"s_name":"' || s_name || '","s_nationkey":' || CAST(s_nationkey AS VARCHAR) || '}' AS value FROM supplier""",
-    "size_bounded_parts": """WITH RECURSIVE rows AS (SELECT doc_id, source, n_chars AS size, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents),
+    "size_bounded_parts": """WITH RECURSIVE rows AS (SELECT doc_id, source, strlen(coalesce(text, '')) + length(CAST(doc_id AS VARCHAR)) + 20 AS size, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents),
 fold AS (
   SELECT source, doc_id, k, CAST(1 AS BIGINT) AS part, 2 + size AS used FROM rows WHERE k = 1
   UNION ALL

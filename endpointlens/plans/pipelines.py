@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions.text import PLAIN_TRANSPORTS, endpoint_order
 from ..operators import analyze, corpus, dedup, evaluate, export, history
 from ..operators.score import score_probes
 from ..sources import readers
+from .lineage import checkpointed
 
 
 def discover(sources: list) -> tuple[DataFrame, DataFrame]:
@@ -58,13 +63,54 @@ def validate_corpus(probes: DataFrame, minimums: dict[str, int] = corpus.MINIMUM
 
 
 def update_history(spark: SparkSession, base: str, runs: DataFrame, run_status: DataFrame, run_date: Column, days: int = 30) -> None:
-    """Puts one day's runs into the history, rebuilds the day's rollup and drops days past the retention.
+    """Puts runs into the history, rebuilds the rollups of their days, drops old days and moves the quarantine on.
 
-    Tables are partitioned by run_date; a day is replaced by a partition overwrite, so repeating a job is harmless.
+    runs (run_id, run_date, ...) and run_status (run_id, ...) replace those of the same run ids and join the others of
+    their days. Tables are partitioned by run_date: the touched days are overwritten, days before the last `days` up
+    to run_date are deleted with their partitions. Repeating a job leaves the tables as they are; the quarantine steps
+    once for run_date, from the hosts' outcomes of that day and their streak of 14 rejected days.
     """
-    for name, df in (("runs", runs), ("run_status", run_status), ("daily", history.daily_rollup(runs, run_status))):
-        kept = history.retain(df, run_date, days)
-        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(f"{base}/{name}")
+    today = spark.range(1).select(run_date.alias("d")).first()["d"]
+    stored = {name: readers.read_history(spark, base, name) if readers.existing(spark, f"{base}/{name}/run_date=*") else None for name in ("runs", "run_status", "daily")}
+    new_ids, touched = runs.select("run_id").distinct(), runs.select("run_date").distinct()
+    dated = run_status.drop("run_date").join(runs.select("run_id", "run_date"), "run_id")
+
+    def merged(new: DataFrame, old: DataFrame | None) -> DataFrame:
+        """All rows of the touched days, the new runs' rows in place of older ones."""
+        if old is None:
+            return checkpointed(new)
+        others = old.join(touched, "run_date", "left_semi").join(new_ids, "run_id", "left_anti")
+        return checkpointed(new.unionByName(others, allowMissingColumns=True))
+
+    all_runs, all_status = merged(runs, stored["runs"]), merged(dated, stored["run_status"])
+    for name, df in (("runs", all_runs), ("run_status", all_status), ("daily", history.daily_rollup(all_runs, all_status))):
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(f"{base}/{name}")
+        for folder in readers.existing(spark, f"{base}/{name}/run_date=*"):
+            if folder.rpartition("=")[2] < str(today - timedelta(days=days - 1)):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    outcomes = history.rejected_streak(history.host_day(readers.read_history(spark, base, "daily"))).where(F.col("run_date") == run_date)
+    known = readers.existing(spark, f"{base}/quarantine/*.parquet")
+    state = readers.read_history(spark, base, "quarantine") if known else spark.createDataFrame([], schemas.HISTORY["quarantine"])
+    moved = checkpointed(history.quarantine_step(outcomes, state, run_date).select(state.columns))
+    moved.write.mode("overwrite").parquet(f"{base}/quarantine")
+
+
+def refresh(sources: list, plan: Callable[[DataFrame], DataFrame], answers: Callable[[DataFrame], DataFrame], metrics: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(results, rejected): discover and validate in one go; `plan` makes probes of candidates, `answers` observes them."""
+    candidates, rejected = discover(sources)
+    candidates = checkpointed(candidates.withColumn("candidate_id", F.monotonically_increasing_id()))
+    made = plan(candidates)
+    return validate(candidates, made, answers(made), metrics=metrics), rejected
+
+
+def materialize(results: DataFrame, filtered: DataFrame | None, path: str, max_bytes: int | None = None) -> None:
+    """Every format of scored results below `path`: JSON by status (in parts of at most max_bytes), lists, filtered rows."""
+    export.write_results(results, f"{path}/results", ("accepted", "candidate", "rejected"), pruned="probes" in results.columns, max_bytes=max_bytes)
+    for kind in ("text", "urls", "backends", "forwarders"):
+        export_format(results, kind).write.text(f"{path}/{kind}")
+    if filtered is not None:
+        export.write_filtered(filtered, f"{path}/filtered")
 
 
 def apply_quarantine(candidates: DataFrame, filtered: DataFrame | None, state: DataFrame, run_date: Column) -> tuple[DataFrame, DataFrame]:

@@ -95,7 +95,7 @@ def scrape_links(s, d):
 def fill_down(s, d):
     rows = v.table(s, d, "conversations").select(
         F.col("conv_id").alias("file"), F.col("turn").alias("line_no"),
-        F.when(F.col("role") == "user", F.concat(F.lit("### "), F.substring("text", 1, 12))).otherwise(F.concat(F.lit("DNS-over-HTTPS https://x/"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))).alias("value"),
+        F.when(F.col("role") == "user", F.concat(F.lit("### "), F.split("text", "\n")[0])).otherwise(F.concat(F.lit("DNS-over-HTTPS https://x/"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))).alias("value"),
     )
     out = readers.markdown_table_endpoints(rows, r"(?s)^### (.*)$")
     return out.select(F.col("ordinal.file").alias("conv_id"), F.col("ordinal.line_no").alias("turn"), "provider", "endpoint_url")
@@ -131,7 +131,7 @@ def flapped_days(s, d):
 
 @query
 def run_status_join(s, d):
-    return v.runs(s, d).join(v.run_status(s, d), "run_id").where(F.col("run_date") == v.last_day()).select(text_of("run_date"), "run_id", "resolver_key", "status")
+    return v.runs(s, d).join(v.run_status(s, d), "run_id").where(F.col("run_date") == v.last_day(s, d)).select(text_of("run_date"), "run_id", "resolver_key", "status")
 
 
 @query
@@ -144,7 +144,7 @@ STABILITY = ["runs_seen_7d", "runs_seen_30d", "success_days_7d", "success_days_3
 
 @query
 def stability_metrics(s, d):
-    return history.stability_metrics(v.daily(s, d), v.last_day()).select("resolver_key", *STABILITY)
+    return history.stability_metrics(v.daily(s, d), v.last_day(s, d)).select("resolver_key", *STABILITY)
 
 
 @query
@@ -159,7 +159,7 @@ def rejected_streak(s, d):
 
 @query
 def history_retention(s, d):
-    return shown(history.retain(v.daily(s, d), v.last_day(), 10), ["run_date", "resolver_key"])
+    return shown(history.retain(v.daily(s, d), v.last_day(s, d), 10), ["run_date", "resolver_key"])
 
 
 @query
@@ -177,15 +177,15 @@ def quarantine_renewal(s, d):
 @query
 def quarantine_apply(s, d):
     state = history.quarantine_fold(history.host_day(v.daily(s, d)), streak=2)
-    kept, out = history.apply_quarantine(v.scored(s, d).select("endpoint", "day", "host", "transport"), state, v.last_day())
+    kept, out = history.apply_quarantine(v.scored(s, d).select("endpoint", "day", "host", "transport"), state, v.last_day(s, d))
     shape = lambda df, reason: df.select("endpoint", text_of("day"), reason)
     return shape(kept, F.lit(None).cast("string").alias("reason")).unionByName(shape(out, F.col("reason")))
 
 
 @query
 def score_with_history(s, d):
-    m = history.stability_metrics(v.daily(s, d), v.last_day()).withColumn("endpoint", F.substring_index("resolver_key", "|", -1).cast("long"))
-    today = v.probes(s, d).where(F.col("day") == v.last_day())
+    m = history.stability_metrics(v.daily(s, d), v.last_day(s, d)).withColumn("endpoint", F.substring_index("resolver_key", "|", -1).cast("long"))
+    today = v.probes(s, d).where(F.col("day") == v.last_day(s, d))
     return score_probes(today, ["endpoint"], m).select("endpoint", "score", "status", "history_score", "confidence_score", listed("reasons"), listed("score_caps_applied"))
 
 
@@ -199,19 +199,19 @@ def probe_plan(s, d):
 def evaluate_positive(s, d):
     a = v.answers(s, d)
     plan = a.select("probe_id", "qname", "rdtype", F.lit("exact_rrset").alias("expected_mode"), F.array(F.lit("N")).alias("expected_answers"))
-    return evaluate.evaluate_positive(plan, a.where("part % 11 <> 0")).select("probe_id", "ok", "error")
+    return evaluate.evaluate_positive(plan, a.where("not lost")).select("probe_id", "ok", "error")
 
 
 @query
 def evaluate_negative(s, d):
     a = v.answers(s, d)
-    return evaluate.evaluate_negative(a.select("probe_id"), a.where("part % 11 <> 0")).select("probe_id", "ok", "error")
+    return evaluate.evaluate_negative(a.select("probe_id"), a.where("not lost")).select("probe_id", "ok", "error")
 
 
 @query
 def unresolved_probes(s, d):
     a = v.answers(s, d)
-    return dedup.unresolved(a.select("probe_id"), a.where("part % 11 <> 0")).select("probe_id", "ok", "error")
+    return dedup.unresolved(a.select("probe_id"), a.where("not lost")).select("probe_id", "ok", "error")
 
 
 @query
@@ -238,10 +238,42 @@ def quorum_negative(s, d):
 
 @query
 def fifo_match(s, d):
-    plan = v.table(s, d, "orders").select((F.col("o_custkey") % 150).alias("key"), F.col("o_orderkey").alias("probe"))
-    answers = v.table(s, d, "events").select((F.col("user_id") % 150).alias("key"), F.col("event_id").alias("response"))
-    matched, left = evaluate.fifo_match(plan, answers, ["key"], "probe", "response")
-    return matched.select("key", "probe", "response").unionByName(left.select("key", F.lit(None).cast("long").alias("probe"), "response"))
+    plan = v.table(s, d, "orders").select((F.col("o_custkey") % 50).alias("resolver"), (F.col("o_custkey") % 3).alias("question"), F.col("o_orderkey").alias("probe"))
+    named = F.when(F.col("event_type") != "error", F.col("user_id") % 60)
+    answers = v.table(s, d, "events").select(named.alias("resolver"), (F.col("event_id") % 3).alias("question"), F.col("event_id").alias("response"))
+    matched, left = evaluate.fifo_match(plan, answers, ["resolver"], ["question"], "probe", "response")
+    return matched.select("question", "probe", "response").unionByName(left.select("question", F.lit(None).cast("long").alias("probe"), "response"))
+
+
+@query
+def route_batches(s, d):
+    c = v.table(s, d, "lineitem").select(
+        F.col("l_orderkey").alias("a"), F.col("l_linenumber").alias("b"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), v.transport_of(F.col("l_suppkey")).alias("transport"),
+        F.when(F.col("l_partkey") % 4 == 0, 5353).otherwise(53).alias("port"), F.col("l_returnflag").alias("rdtype"),
+    )
+    return evaluate.route_batches(c, 500).select("a", "b", "rdtype", "batch")
+
+
+@query
+def recent_days(s, d):
+    return shown(history.recent_days(v.daily(s, d), "k|1", 7), ["run_date", "resolver_key", "day_status"])
+
+
+@query
+def host_ports(s, d):
+    text = F.concat_ws(":", "c_name", F.when(F.col("c_custkey") % 3 > 0, F.when(F.col("c_custkey") % 3 == 1, F.col("c_nationkey").cast("string")).otherwise("x")))
+    return v.table(s, d, "customer").select("c_custkey", t.parse_endpoint(text).alias("p")).select("c_custkey", F.col("p.host").alias("host"), F.col("p.port").alias("port"))
+
+
+@query
+def probe_ids(s, d):
+    return v.table(s, d, "part").select("p_partkey", t.probe_id(F.lit("exact"), F.concat(F.replace("p_name", F.lit(" "), F.lit(".")), F.lit("..")), F.col("p_brand")).alias("probe_id"))
+
+
+@query
+def results_payload(s, d):
+    probes = v.probes(s, d).groupBy("endpoint").agg(F.collect_list(F.struct("ok", "latency_ms")).alias("probes"))
+    return export.with_median_latency(probes).select("endpoint", "median_latency_ms")
 
 
 @query
@@ -276,8 +308,8 @@ def confidence_stats(s, d):
 
 @query
 def compare_bands(s, d):
-    r = v.scored(s, d)
-    return analyze.compare_bands(r.where("day < date'2024-01-16'"), r.where("day >= date'2024-01-16'")).withColumn("delta_pct", F.round("delta_pct", 6))
+    r, half = v.scored(s, d), F.date_sub(v.last_day(s, d), 14)
+    return analyze.compare_bands(r.where(F.col("day") < half), r.where(F.col("day") >= half)).withColumn("delta_pct", F.round("delta_pct", 6))
 
 
 @query
@@ -305,7 +337,7 @@ def history_depth(s, d):
 @query
 def capped_count(s, d):
     daily = v.daily(s, d)
-    return analyze.capped_count(daily, history.stability_metrics(daily, v.last_day()), v.last_day(), 29)
+    return analyze.capped_count(daily, history.stability_metrics(daily, v.last_day(s, d)), v.last_day(s, d), 29)
 
 
 @query
@@ -321,7 +353,8 @@ def sorted_export(s, d):
 
 @query
 def size_bounded_parts(s, d):
-    docs = v.table(s, d, "documents").select("doc_id", "source", F.col("n_chars").alias("size"))
+    record = F.octet_length(F.coalesce("text", F.lit(""))) + F.length(F.col("doc_id").cast("string")) + 20  # {"doc_id":1,"text":"..."} without escapes
+    docs = v.table(s, d, "documents").select("doc_id", "source", record.cast("long").alias("size"))
     w = F.row_number().over(_by_source()) - 1
     return export.pack_by_bytes(docs.withColumn("pos", w.cast("long")), ["source"], 20_000).select("doc_id", F.col("part").cast("long").alias("part"))
 
@@ -360,5 +393,5 @@ def backend_lines(s, d):
 
 @query
 def host_outcomes(s, d):
-    r = v.scored(s, d).where(F.col("day") == v.last_day())
+    r = v.scored(s, d).where(F.col("day") == v.last_day(s, d))
     return history.host_outcomes(r).select("host", "status", "accepted_count", "candidate_count", "rejected_count", "udp_status", "tcp_status", "reasons_signature")

@@ -120,8 +120,24 @@ def read_results(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_results_parts(spark: SparkSession, path: str) -> DataFrame:
-    """A file or a glob of part files; nothing there is an error (Spark raises it)."""
-    return read_results(spark, path)
+    """The file itself, or where it is missing its parts `stem.part-*` with the same ending; none is an error."""
+    stem, dot, ending = path.rpartition(".")
+    return read_results(spark, path if existing(spark, path) else existing(spark, f"{stem}.part-*{dot}{ending}") or path)
+
+
+def existing(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a pattern names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [str(f.getPath()) for f in found or []]
+
+
+def read_source(kind: str, *args, **options):
+    """The reader of a source type; an unknown type raises."""
+    kinds = {"csv": read_csv_list, "scrape": scrape_urls, "markdown": markdown_table_endpoints}
+    if kind not in kinds:
+        raise ValueError(f"unknown source type: {kind}")
+    return kinds[kind](*args, **options)
 
 
 def read_corpus(spark: SparkSession, path: str, version: int | None = None, strict: bool = True) -> tuple[DataFrame, DataFrame]:

@@ -10,15 +10,15 @@ from .operators.metrics import endpoint_metrics
 from .operators.score import score_probes
 
 ERRORS = ("nxdomain_spoofing", "answer_mismatch", "unexpected_rcode:REFUSED", "unexpected_nxdomain", "http_error:503", "connect_error:x", "timeout_or_error:t")
-LAST_DAY = "2024-01-30"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def last_day():
-    return F.lit(LAST_DAY).cast("date")
+def last_day(spark: SparkSession, sf_dir: str):
+    """The newest day of the events."""
+    return F.lit(table(spark, sf_dir, "events").agg(F.max(F.to_date("ts"))).first()[0]).cast("date")
 
 
 def transport_of(key):
@@ -90,4 +90,5 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").cast("string").alias("resolver"), F.array("l_returnflag").alias("answers"), key.alias("seq"),
         F.when(F.col("l_linestatus") == "O", "NOERROR").when(F.col("l_returnflag") == "A", "NXDOMAIN").otherwise("REFUSED").alias("rcode"),
         F.when(F.col("l_quantity") > 45, "timed out").alias("error"), (F.col("l_linenumber") % 2).alias("check_no"),
+        (F.col("l_tax") >= 0.08).alias("lost"),
     )

@@ -1,5 +1,6 @@
 """User-level jobs and document readers, end to end on small inputs."""
 
+import datetime
 import json
 
 import pytest
@@ -99,6 +100,44 @@ def test_history_update_is_repeatable(spark, tmp_path):
     assert report["capped"].first()["capped"] == 1 and report["transports"].count() == 2
 
 
+def test_history_over_days(spark, tmp_path):
+    """Two runs of a day in two calls, repeats, days past the retention, fourteen rejected days."""
+    base, first = str(tmp_path / "h"), datetime.date(2024, 1, 1)
+
+    def put(n, run, status, host="192.0.2.9"):
+        day = F.lit(first + datetime.timedelta(days=n)).cast("date")
+        runs = spark.createDataFrame([(run,)], "run_id string").withColumn("run_date", day)
+        rows = [(run, f"k-{host}", host, "dns-udp", status, ["timeout"])]
+        made = spark.createDataFrame(rows, "run_id string, resolver_key string, host string, transport string, status string, reasons array<string>")
+        pipelines.update_history(spark, base, runs, made.withColumns({c: F.lit(1.0) for c in ("p50_latency_ms", "p95_latency_ms", "jitter_ms")}), day)
+
+    put(0, "old", "accepted")
+    for n in range(28, 42):
+        put(n, f"r{n}", "rejected")
+    put(41, "r41", "rejected")  # again
+    daily = readers.read_history(spark, base, "daily")
+    assert daily.count() == 14 and daily.agg(F.min("run_date")).first()[0] == first + datetime.timedelta(days=28)
+    q = readers.read_history(spark, base, "quarantine").collect()
+    assert [(r["host"], r["cycles"], r["retry_after"]) for r in q] == [("192.0.2.9", 1, first + datetime.timedelta(days=131))]
+    put(42, "a", "accepted", "192.0.2.1")
+    put(42, "b", "rejected", "192.0.2.1")
+    row = readers.read_history(spark, base, "daily").where("host = '192.0.2.1'").first()
+    assert (row["runs"], row["day_status"], row["flapped_within_day"]) == (2, "candidate", True)
+    assert readers.read_history(spark, base, "quarantine").count() == 1
+
+
+def test_unknown_kinds_raise(spark, tmp_path):
+    from endpointlens.operators import corpus
+
+    with pytest.raises(ValueError):
+        corpus.build_corpus(spark, "bogus")
+    with pytest.raises(ValueError):
+        readers.read_source("bogus")
+    (tmp_path / "x.part-1.json").write_text('[{"host": "h", "status": "accepted"}]')
+    (tmp_path / "x.part-2.json").write_text('[{"host": "i", "status": "rejected"}]')
+    assert readers.read_results_parts(spark, str(tmp_path / "x.json")).count() == 2
+
+
 def test_exports(spark, tmp_path):
     rows = [("accepted", "dns-udp", None, "192.0.2.1", 53, None, 1), ("accepted", "doh", "https://h/dns-query", "h", 443, "/dns-query", 2), ("rejected", "dns-udp", None, "192.0.2.3", 53, None, 3)]
     r = spark.createDataFrame(rows, "status string, transport string, endpoint_url string, host string, port int, path string, ordinal int").withColumn("tls_server_name", F.lit(None).cast("string"))
