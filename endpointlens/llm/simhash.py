@@ -90,7 +90,7 @@ def weighted_fingerprints(hashes: np.ndarray, draws: int) -> list[int]:
             x = mixed(hashes[at : at + (1 << 12)], 2 * draw)
             bits = np.unpackbits(mixed(x, 2 * draw + 1).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             weight = 1 / ((x >> np.uint64(11)).astype(np.float64) / 2**53 + 2.0**-54)
-            votes += 2 * (weight @ bits) - weight.sum()
+            votes += 2 * (weight @ bits.astype(np.float64)) - weight.sum()
         out.append(int(np.packbits(votes > 0, bitorder="little").view("<i8")[0]))
     return out
 
@@ -133,14 +133,16 @@ def hamming_links(points: DataFrame, crowd: int = 32) -> DataFrame:
     found = []
     for width in (4, 2, 1):
         cells = written(spread(points, width), "cells")
-        members = cells.join(cells.groupBy("draw", "cell").agg(F.count("*").alias("n")).where("n > 1"), ["draw", "cell"])
-        few = members if width == 1 else members.where(F.col("n") <= crowd)
+        few = cells
+        if width > 1:
+            full = settled(cells.groupBy("draw", "cell").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("draw", "cell"), "full-cells")
+            few = cells.join(full, ["draw", "cell"], "left_anti")
         close = (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= 2)
         same = (F.col("a.draw") == F.col("b.draw")) & (F.col("a.cell") == F.col("b.cell"))
         pairs = few.alias("a").join(few.alias("b"), same & close).select("a.draw", F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct()
         found.append(settled(pairs, "grid-links"))
         if width > 1:
-            points = settled(members.where(F.col("n") > crowd).select("draw", "fp").distinct(), "crowded")
+            points = settled(cells.join(full, ["draw", "cell"], "left_semi").select("draw", "fp").distinct(), "crowded")
         forget(cells)
         if width > 1 and points.isEmpty():
             break
