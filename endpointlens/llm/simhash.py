@@ -12,7 +12,9 @@ from bounded cells alone, however many fingerprints there are, and none is left
 shingles: two texts of Jaccard 0.8 differ in some ten bits of a plain fingerprint, which no grid can search, so it
 uses `draws` fingerprints whose shingles weigh 1 / u, u a random number of the shingle and the draw. The few heaviest
 shingles decide such a fingerprint: two texts of Jaccard 0.8 are within two bits in a draw with a chance of 0.44, and
-in one of eight with a chance of 0.99. Candidates pass by their plain fingerprints, then by their exact shingle sets.
+in one of eight with a chance of 0.99. Candidates pass by their plain fingerprints, then by their exact shingle sets. Texts
+of one fingerprint meet the smallest of them; where a group's members aren't alike, those that share two draws meet
+the smallest of theirs, so candidates grow with the rows, not with the square of a group.
 
 Defined results: fewer words than a shingle make one shingle of the whole sequence; no words (or null) give
 fingerprint zero, which links like any other. Ties of the bit vote (exactly half) give 0. Repeated ids are rows of
@@ -219,10 +221,16 @@ def similar_documents(docs: DataFrame, row: str = "row", text: str = "text", wor
     close = F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= spare
     first = settled(stars.select("a", "b", "pa", "pb").unionByName(met).where(close).select("a", "b").distinct(), "candidates")
     edges = alike(docs, first, words, similarity, seed)
-    # texts that aren't like their head meet the other texts of the group
-    lost = stars.join(edges, ["a", "b"], "left_anti").select("draw", "fp", F.col("b").alias("node"), F.col("pb").alias("plain"))
-    again = lost.alias("x").join(drawn.alias("y"), (F.col("x.draw") == F.col("y.draw")) & (F.col("x.fp") == F.col("y.fp")) & (F.col("x.node") != F.col("y.node")) & (F.bit_count(F.col("x.plain").bitwiseXOR(F.col("y.plain"))) <= spare))
-    again = again.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    # the texts of a group with members that aren't like its head meet the smallest of those that share two draws
+    mixed_groups = stars.join(edges, ["a", "b"], "left_anti").select("draw", "fp").distinct()
+    members = settled(drawn.join(mixed_groups, ["draw", "fp"], "left_semi").select("node").distinct(), "members")
+    pairs_of = [(k, m) for m in range(draws) for k in range(m)]
+    twice = texts.withColumnRenamed("row", "node").join(members, "node", "left_semi").select(
+        "node", "plain", F.explode(F.array(*[F.xxhash64(F.lit(k * draws + m), F.col("fps")[k], F.col("fps")[m]) for k, m in pairs_of])).alias("key")
+    )
+    tops = twice.groupBy("key").agg(F.min(F.struct("node", "plain")).alias("head"), F.count("*").alias("n")).where("n > 1")
+    again = twice.join(tops, "key").where((F.col("node") > F.col("head.node")) & (F.bit_count(F.col("plain").bitwiseXOR(F.col("head.plain"))) <= spare))
+    again = again.select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     edges = edges.unionByName(alike(docs, settled(again, "candidates"), words, similarity, seed))
     groups = texts.select("same", F.col("row").alias("node")).join(components(edges), "node", "left").select("same", F.coalesce("root", "node").alias("group"))
     return marked.select("row", "same").join(groups, "same").select("row", "group")
