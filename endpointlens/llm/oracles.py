@@ -48,3 +48,27 @@ h AS (SELECT hosts.*, dp.mean AS p, dp.weight AS w FROM hosts JOIN dp USING (dom
 {_named("parts", "placed")}
 SELECT q.page_id, q.host, q.path, f.text AS rule, coalesce(f.verdict, CASE WHEN coalesce(hp.lower, dp.lower, sp.lower, 0) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
 FROM placed q LEFT JOIN fits f USING (page_id) LEFT JOIN hp ON hp.host = q.host LEFT JOIN dp ON dp.domain = q.domain LEFT JOIN sp ON sp.suffix = q.suffix"""
+
+
+def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """A CTE pair for each round: a<k> assigns all parts to the codebook c<k-1>, c<k> replaces its entries."""
+    away = "list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(p.x, c.x)])"
+    assigned = lambda k: f"a{k} AS (SELECT row, pos, min({{'d': {away}, 'k': c.k}}) AS best FROM cut p JOIN c{k - 1} c USING (pos) GROUP BY row, pos)"
+    floor = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+    replaced = lambda k: f"""s{k} AS (SELECT pos, k, j, sum(v) AS s, count(*) AS n FROM (SELECT pos, best.k AS k, unnest(x) AS v, unnest(range(len(x))) AS j FROM a{k} JOIN cut USING (row, pos)) GROUP BY pos, k, j),
+m{k} AS (SELECT pos, k, list({floor} ORDER BY j) AS x FROM s{k} GROUP BY pos, k),
+c{k} AS (SELECT pos, k, coalesce(m{k}.x, c.x) AS x FROM c{k - 1} c LEFT JOIN m{k} USING (pos, k))"""
+    steps = ",\n".join(f"{assigned(k)},\n{replaced(k)}" for k in range(1, rounds + 1))
+    return f"""WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+positions AS (SELECT unnest(range({parts})) AS pos),
+cut AS (SELECT row, pos, v[pos * (len(v) // {parts}) + 1 : (pos + 1) * (len(v) // {parts})] AS x FROM kept, positions),
+c0 AS (SELECT pos, row - 1 AS k, x FROM cut WHERE row <= {entries}),
+{steps},
+{assigned(rounds + 1)},
+coded AS (SELECT vec_id, label, string_agg(printf('%02x', best.k), '' ORDER BY pos) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a{rounds + 1} JOIN kept USING (row) GROUP BY row, vec_id, label),
+books AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY pos, k)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, books"""
+
+
+VECTOR_CODES = _vector_codes()

@@ -13,12 +13,15 @@ from .line_dedup import dedup_lines
 from .mixing import mix
 from .media import picture_copies
 from .nearest import nearest
-from .oracles import LINE_DEDUP, URL_FILTER
+from .oracles import LINE_DEDUP, URL_FILTER, VECTOR_CODES
 from .packing import pack
 from .pictures import render
+from .resampling import resample
+from .sentence_pieces import decode, encode
 from .simhash import near_duplicates
 from .suffix_tree import score_texts
 from .url_filter import filter_urls, url_host, url_path
+from .vector_codes import compress, digest, with_label_errors
 
 URL_RULES = [
     ("allow", "com/"),
@@ -98,6 +101,24 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(docs, fold_of(F.col("doc_id"), 10) == 0)
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = vocabulary("piece_bpe_32k.model")
+    coded = decode(encode(read(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text"), model)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = compress(read(spark, sf_dir, "embeddings"))
+    return with_label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
@@ -109,7 +130,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_media_copies": op9_media_copies,
     "op10_language_model": op10_language_model,
+    "op11_resampling": op11_resampling,
+    "op12_sentence_pieces": op12_sentence_pieces,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 #: The others rest on hashes, models or a tokenizer that SQL has not; tests hold them against plain Python.
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP, "op4_url_filter": URL_FILTER}
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP, "op4_url_filter": URL_FILTER, "op13_vector_codes": VECTOR_CODES}
