@@ -169,7 +169,8 @@ def error_text(prefix: str, error: Column) -> Column:
 
 
 def quarantine_detail(retry_after: Column, reasons: Column) -> Column:
-    return F.concat(F.lit("retry_after="), F.date_format(retry_after, "yyyy-MM-dd"), F.lit(" reasons="), F.array_join(reasons, ","))
+    why = F.array_join(reasons, ", ")
+    return F.concat(F.lit("historically rejected for 14 consecutive days; retry after "), F.date_format(retry_after, "yyyy-MM-dd"), F.lit("; last reasons: "), why)
 
 
 def by_status(*statuses: str) -> Column:

@@ -152,7 +152,7 @@ def apply_quarantine(candidates: DataFrame, state: DataFrame, run_date: Column)
     """(eligible, filtered): plain candidates of an actively quarantined host are filtered, URL candidates never."""
     active = active_quarantine(state, run_date).select("host", "retry_after", F.col("reasons").alias("_why"))
     both = candidates.join(active, "host", "left").withColumn("_out", F.col("retry_after").isNotNull() & F.col("transport").isin(*PLAIN_TRANSPORTS))
-    out = both.where("_out").withColumns({"reason": F.lit("dns_host_quarantined"), "detail": quarantine_detail(F.col("retry_after"), F.col("_why")), "stage": F.lit("history")})
+    out = both.where("_out").withColumns({"reason": F.lit("historical_dns_quarantine"), "detail": quarantine_detail(F.col("retry_after"), F.col("_why")), "stage": F.lit("history")})
     return both.where("not _out").drop("_out", "_why", "retry_after"), out.drop("_out", "_why", "retry_after")
 
 

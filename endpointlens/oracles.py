@@ -199,7 +199,7 @@ fold AS (
 SELECT host, CAST(f AS VARCHAR) AS first_quarantined_on, CAST(l AS VARCHAR) AS last_quarantined_on, CAST(r AS VARCHAR) AS retry_after, sig AS reasons_signature, c AS cycles
 FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY k DESC) AS last FROM fold) WHERE last = 1 AND r IS NOT NULL""",
     "quarantine_apply": f"""WITH {STREAKS}, c AS (SELECT DISTINCT user_id AS endpoint, CAST(ts AS DATE) AS day FROM events)
-SELECT endpoint, CAST(day AS VARCHAR) AS day, CASE WHEN endpoint % 3 <> 2 AND q.first_day + INTERVAL 90 DAY > {_LAST} THEN 'dns_host_quarantined' END AS reason
+SELECT endpoint, CAST(day AS VARCHAR) AS day, CASE WHEN endpoint % 3 <> 2 AND q.first_day + INTERVAL 90 DAY > {_LAST} THEN 'historical_dns_quarantine' END AS reason
 FROM c LEFT JOIN quarantine q ON q.host = 'h' || CAST(endpoint % 40 AS VARCHAR)""",
     "score_with_history": f"""WITH {STABLE}, {metrics('endpoint', 'm', 'weighted', f'day = {_LAST}')},
 mh AS (SELECT m.*, s.* EXCLUDE (resolver_key) FROM m LEFT JOIN stable s ON s.resolver_key = 'k|' || CAST(endpoint AS VARCHAR)), {scoring('scored', 'mh', True)}

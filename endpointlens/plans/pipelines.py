@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas
 from ..functions.text import PLAIN_TRANSPORTS, endpoint_order
 from ..operators import analyze, corpus, dedup, evaluate, export, history
 from ..operators.score import score_probes
+from ..sources import history_store as store
 from ..sources import readers
 from .lineage import checkpointed
 
@@ -62,38 +63,43 @@ def validate_corpus(probes: DataFrame, minimums: dict[str, int] = corpus.MINIMUM
     return corpus.logic_errors(probes).where(F.size("errors") > 0)
 
 
-def update_history(spark: SparkSession, base: str, runs: DataFrame, run_status: DataFrame, run_date: Column, days: int = 30) -> None:
+def update_history(spark: SparkSession, base: str, runs: DataFrame, run_status: DataFrame, run_date: Column, days: int = 30, keep: int = 2) -> None:
     """Puts runs into the history, rebuilds the rollups of their days, drops old days and moves the quarantine on.
 
-    runs (run_id, run_date, ...) and run_status (run_id, ...) replace those of the same run ids and join the others of
-    their days. Tables are partitioned by run_date: the touched days are overwritten, days before the last `days` up
-    to run_date are deleted with their partitions. Repeating a job leaves the tables as they are; the quarantine steps
-    once for run_date, from the hosts' outcomes of that day and their streak of 14 rejected days.
+    runs (run_id, run_date, ...) and run_status (run_id, ...) replace those of the same run ids, whatever day those had:
+    the stored runs tell in which days an id is, and both its old and its new day are rebuilt. All other days keep
+    their folders; days before the last `days` up to run_date go. The quarantine steps once for run_date, from the
+    hosts' outcomes of that day and their streak of 14 rejected days. All of it takes effect in one commit at the end:
+    a job that fails earlier changes nothing, and repeating a job leaves the tables as they are. Two rows of one
+    run id are the caller's fault; the days of a job and of the history are few, so they are listed on the driver.
     """
     today = spark.range(1).select(run_date.alias("d")).first()["d"]
-    stored = {name: readers.read_history(spark, base, name) if readers.existing(spark, f"{base}/{name}/run_date=*") else None for name in ("runs", "run_status", "daily")}
-    new_ids, touched = runs.select("run_id").distinct(), runs.select("run_date").distinct()
+    first = str(today - timedelta(days=days - 1))
+    number, commit = store.head(spark, base)
+    runs, run_status = checkpointed(runs), checkpointed(run_status)
+    new_ids = runs.select("run_id").distinct()
+    before = store.read_table(spark, base, commit, "runs").select("run_id", "run_date").join(F.broadcast(new_ids) if runs.count() <= 100_000 else new_ids, "run_id", "left_semi")
+    touched = {str(r["run_date"]) for r in before.select("run_date").unionByName(runs.select("run_date")).distinct().collect()}
     dated = run_status.drop("run_date").join(runs.select("run_id", "run_date"), "run_id")
-
-    def merged(new: DataFrame, old: DataFrame | None) -> DataFrame:
-        """All rows of the touched days, the new runs' rows in place of older ones."""
-        if old is None:
-            return checkpointed(new)
-        others = old.join(touched, "run_date", "left_semi").join(new_ids, "run_id", "left_anti")
-        return checkpointed(new.unionByName(others, allowMissingColumns=True))
-
-    all_runs, all_status = merged(runs, stored["runs"]), merged(dated, stored["run_status"])
-    for name, df in (("runs", all_runs), ("run_status", all_status), ("daily", history.daily_rollup(all_runs, all_status))):
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(f"{base}/{name}")
-        for folder in readers.existing(spark, f"{base}/{name}/run_date=*"):
-            if folder.rpartition("=")[2] < str(today - timedelta(days=days - 1)):
-                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    outcomes = history.rejected_streak(history.host_day(readers.read_history(spark, base, "daily"))).where(F.col("run_date") == run_date)
-    known = readers.existing(spark, f"{base}/quarantine/*.parquet")
-    state = readers.read_history(spark, base, "quarantine") if known else spark.createDataFrame([], schemas.HISTORY["quarantine"])
-    moved = checkpointed(history.quarantine_step(outcomes, state, run_date).select(state.columns))
-    moved.write.mode("overwrite").parquet(f"{base}/quarantine")
+    job = uuid.uuid4().hex
+
+    def rebuilt(table: str, rows: DataFrame) -> dict[str, str]:
+        """The commit's days of a table with the touched ones in new folders; a day without rows is left out."""
+        written = store.write_table(rows, base, table, job)
+        others = {day: folder for day, folder in commit.get(table, {}).items() if day not in touched}
+        return {day: folder for day, folder in (others | written).items() if day >= first}
+
+    def others(table: str) -> DataFrame:
+        return store.read_table(spark, base, commit, table, touched).join(new_ids, "run_id", "left_anti")
+
+    after = {table: rebuilt(table, new.unionByName(others(table), allowMissingColumns=True)) for table, new in (("runs", runs), ("run_status", dated))}
+    whole = [store.read_table(spark, base, after, table, touched) for table in ("runs", "run_status")]
+    after["daily"] = rebuilt("daily", history.daily_rollup(*whole))
+    outcomes = history.rejected_streak(history.host_day(store.read_table(spark, base, after, "daily"))).where(F.col("run_date") == run_date)
+    state = store.read_table(spark, base, commit, "quarantine")
+    after["quarantine"] = store.write_table(history.quarantine_step(outcomes, state, run_date), base, "quarantine", job)
+    store.publish(spark, base, number + 1, after)
+    store.sweep(spark, base, keep)
 
 
 def refresh(sources: list, plan: Callable[[DataFrame], DataFrame], answers: Callable[[DataFrame], DataFrame], metrics: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

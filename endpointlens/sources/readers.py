@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from .. import schemas
 from ..functions.text import PLAIN_TRANSPORTS, parse_endpoint, url_parts
 from ..operators.dedup import keep_first, rejected, union_all
+from . import history_store
 
 
 def _plain(transport: Column | str) -> Column:
@@ -122,14 +123,7 @@ def read_results(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_results_parts(spark: SparkSession, path: str) -> DataFrame:
     """The file itself, or where it is missing its parts `stem.part-*` with the same ending; none is an error."""
     stem, dot, ending = path.rpartition(".")
-    return read_results(spark, path if existing(spark, path) else existing(spark, f"{stem}.part-*{dot}{ending}") or path)
-
-
-def existing(spark: SparkSession, pattern: str) -> list[str]:
-    """The paths that a pattern names."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return [str(f.getPath()) for f in found or []]
+    return read_results(spark, path if history_store.paths(spark, path) else history_store.paths(spark, f"{stem}.part-*{dot}{ending}") or path)
 
 
 def read_source(kind: str, *args, **options):
@@ -193,5 +187,5 @@ def read_run_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_history(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """A history table; runs of a day are partitions of it."""
-    return spark.read.schema(schemas.HISTORY[table]).parquet(f"{base}/{table}")
+    """A table of the history as of its newest commit."""
+    return history_store.read_table(spark, base, history_store.head(spark, base)[1], table)
