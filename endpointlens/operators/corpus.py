@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from ..functions.text import probe_id, render_qname
 from ..plans.lineage import checkpointed
+from .components import components
 from .dedup import duplicate_ids
 from .evaluate import vote_consensus, vote_exact, vote_negative
 
@@ -15,25 +20,58 @@ from .evaluate import vote_consensus, vote_exact, vote_negative
 MINIMUMS = {"positive_exact": 6, "positive_consensus": 3, "negative_generated": 3}
 
 
-def greedy_quota(items: DataFrame, zone_cap: int, family_cap: int, most_rounds: int = 100) -> DataFrame:
+def greedy_quota(items: DataFrame, zone_cap: int, family_cap: int) -> DataFrame:
     """items (ordinal, zone, family, want) with `takes`: greedy in order under a cap of probes a zone and of hosts a family.
 
     Every item has a lower and an upper bound of what it takes; each round bounds it anew from prefix sums of the
-    others' bounds. The rule is monotone, and the first open item of the order becomes exact each round.
+    others' bounds. Rounds go on while they settle half of the open items. What then is still open are chains, in
+    which one item waits for the next: items linked by a zone or family are one component, and each component is
+    gone through once in order, with counters only in memory. Ordinals tell items apart.
     """
     before = lambda key: Window.partitionBy(key).orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
     used = lambda c, key: F.coalesce(F.sum(c).over(before(key)), F.lit(0))
+    hosts = lambda c: (F.col(c) > 0).cast("int")
     state = checkpointed(items.withColumns({"lo": F.lit(0).cast("long"), "hi": F.col("want").cast("long")}))
-    for _ in range(most_rounds):
-        hosts = lambda c: (F.col(c) > 0).cast("int")
+    unsettled = F.col("lo") != F.col("hi")
+    left, last = state.where(unsettled).count(), None
+    while left and (last is None or 2 * left <= last):
         sums = state.withColumns(
             {"zl": used(F.col("lo"), "zone"), "zh": used(F.col("hi"), "zone"), "fl": used(hosts("lo"), "family"), "fh": used(hosts("hi"), "family")}
         )
         take = lambda zone, family: F.when(F.col(family) >= family_cap, 0).otherwise(F.least(F.col("want"), F.greatest(F.lit(zone_cap) - F.col(zone), F.lit(0)))).cast("long")
         state = checkpointed(sums.select(*items.columns, take("zh", "fh").alias("lo"), take("zl", "fl").alias("hi")))
-        if not state.where("lo <> hi").limit(1).count():
-            return state.withColumn("takes", F.col("lo")).drop("lo", "hi")
-    raise RuntimeError("quota bounds did not meet")
+        left, last = state.where(unsettled).count(), left
+    if not left:
+        return state.withColumn("takes", F.col("lo")).drop("lo", "hi")
+    settled = F.when(~unsettled, F.col("lo")).otherwise(0)
+    ahead = state.withColumns({"_z": used(settled, "zone"), "_f": used((settled > 0).cast("int"), "family")}).where(unsettled)
+    found = walked(checkpointed(ahead.select("ordinal", "zone", "family", F.col("want").cast("long").alias("want"), "_z", "_f")), zone_cap, family_cap)
+    return state.join(found, "ordinal", "left").withColumn("takes", F.coalesce("_takes", "lo")).drop("lo", "hi", "_takes")
+
+
+def walked(waiting: DataFrame, zone_cap: int, family_cap: int) -> DataFrame:
+    """(ordinal, _takes) of waiting items (ordinal, zone, family, want, _z, _f), the last two what others took ahead of them."""
+    name = lambda c: F.concat(F.lit(f"{c}:"), F.coalesce(F.col(c).cast("string"), F.lit("")))
+    of = components(waiting.select(name("zone").alias("u"), name("family").alias("v"))).withColumnRenamed("node", "_node")
+    placed = waiting.join(of, name("zone") == F.col("_node")).select("component", "ordinal", "zone", "family", "want", "_z", "_f")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, probes, taken = None, {}, {}
+        for batch in batches:
+            takes = []
+            for component, zone, family, want, z, f in zip(*[batch.column(c).to_pylist() for c in ("component", "zone", "family", "want", "_z", "_f")]):
+                if component != at:
+                    at, probes, taken = component, {}, {}
+                room = max(0, zone_cap - z - probes.get(zone, 0))
+                take = min(want, room) if f + taken.get(family, 0) < family_cap else 0
+                if take:
+                    probes[zone] = probes.get(zone, 0) + take
+                    taken[family] = taken.get(family, 0) + 1
+                takes.append(take)
+            yield pa.RecordBatch.from_arrays([batch.column("ordinal"), pa.array(takes, pa.int64())], names=["ordinal", "_takes"])
+
+    sorted_ = placed.repartition("component").sortWithinPartitions("component", "ordinal")
+    return sorted_.mapInArrow(walk, StructType([placed.schema["ordinal"]]).add("_takes", "long"))
 
 
 def exact_hosts(roots: DataFrame, delegations: DataFrame) -> DataFrame:

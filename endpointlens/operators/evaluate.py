@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import error_text, normalize_answers, probe_name, render_qname
+from .ranks import ahead, slices
 
 
 def probe_plan(candidates: DataFrame, corpus: DataFrame, rounds: int = 3) -> DataFrame:
@@ -52,8 +53,11 @@ def transport_error(plain: bool, kind: Column, error: Column, code: Column | Non
 def baseline_consensus(observations: DataFrame, n_resolvers: int) -> DataFrame:
     """(qname, rdtype, agreed): the one sorted answer set of all baseline resolvers, null where they don't agree."""
     ok = observations.where("error is null").withColumn("_a", F.array_sort("answers"))
-    seen = ok.groupBy("qname", "rdtype").agg(F.count_distinct("_a").alias("_kinds"), F.count_distinct("resolver").alias("_n"), F.min("_a").alias("_set"))
-    return seen.select("qname", "rdtype", F.when((F.col("_kinds") == 1) & (F.col("_n") == n_resolvers), F.col("_set")).alias("agreed"))
+    # one row for each question, resolver and set, then for each question and resolver; no distinct count expands the rows
+    of_resolver = ok.groupBy("qname", "rdtype", "resolver", "_a").agg(F.lit(1).alias("_one")).groupBy("qname", "rdtype", "resolver").agg(F.min("_a").alias("_low"), F.max("_a").alias("_high"))
+    n = F.count(F.when(F.col("resolver").isNotNull(), 1))
+    seen = of_resolver.groupBy("qname", "rdtype").agg(n.alias("_n"), F.min("_low").alias("_set"), F.max("_high").alias("_other"))
+    return seen.select("qname", "rdtype", F.when((F.col("_set") == F.col("_other")) & (F.col("_n") == n_resolvers), F.col("_set")).alias("agreed"))
 
 
 def evaluate_positive(plan: DataFrame, observations: DataFrame, baseline: DataFrame | None = None) -> DataFrame:
@@ -131,34 +135,45 @@ def vote_negative(results: DataFrame, keys: list[str], check: str = "check_no",
     return out.select(*keys, F.col("rejection_reason").isNull().alias("accepted"), "rejection_reason")
 
 
-def fifo_match(plan: DataFrame, responses: DataFrame, resolver: list[str], question: list[str], plan_order: str, response_order: str) -> tuple[DataFrame, DataFrame]:
+def fifo_match(
+    plan: DataFrame, responses: DataFrame, resolver: list[str], question: list[str], plan_order: str, response_order: str, width: int = 100_000
+) -> tuple[DataFrame, DataFrame]:
     """(probes with their response, responses left over).
 
     A response consumes the oldest pending probe of its resolver and question: the k-th response takes the k-th probe.
     A response whose resolver is null takes, after those, the oldest probe still pending for its question alone. Every
-    planned probe is returned; one that nothing answered has nulls. All columns but the keys must differ.
+    planned probe is returned; one that nothing answered has nulls. All columns but the keys must differ, the orders
+    are numbers, and a null question is one of its own.
+
+    Both sides are one table of events, counted on in slices of `width` sequence numbers; the k-th probe and the k-th
+    response of a key meet in one aggregation, whose groups have two rows at most.
     """
+    mine = [c for c in plan.columns if c not in (*resolver, *question)]
+    theirs = [c for c in responses.columns if c not in (*resolver, *question)]
+    named = reduce(Column.__and__, [F.col(c).isNotNull() for c in resolver])
 
-    def rank(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-        return df.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+    def events(df: DataFrame, keys: list[str], side: int, order: str, kept: list[str]) -> DataFrame:
+        row = F.struct(*kept)
+        none = lambda d, columns: F.lit(None).cast(d.select(F.struct(*columns)).schema[0].dataType)
+        p, r = (row, none(responses, theirs)) if side == 0 else (none(plan, [*resolver, *mine]), row)
+        return df.select(*keys, F.lit(side).alias("_side"), F.col(order).alias("_order"), p.alias("_p"), r.alias("_r"))
+
+    def met(both: DataFrame, keys: list[str]) -> DataFrame:
+        ranked = ahead(both, [*keys, "_side"], ["_order"], slices(F.col("_order"), width))
+        return ranked.groupBy(*keys, "before").agg(F.first("_p", ignorenulls=True).alias("_p"), F.first("_r", ignorenulls=True).alias("_r")).drop("before")
 
-    mine = [c for c in responses.columns if c not in (*resolver, *question)]
-    named = reduce(Column.__and__, [F.col(c).isNotNull() for c in resolver])
     keys = [*resolver, *question]
-    p = rank(plan, keys, plan_order)
-    r = rank(responses.where(named), keys, response_order)
-    first = p.join(r, [*keys, "_k"], "left").drop("_k")
-    left = r.join(p.select(*keys, "_k"), [*keys, "_k"], "left_anti").drop("_k")
-    answered = F.col(response_order).isNotNull()
-    pending = rank(first.where(~answered).drop(*mine), question, plan_order)
-    unnamed = rank(responses.where(~named).drop(*resolver), question, response_order)
-    second = pending.join(unnamed, [*question, "_k"], "left").drop("_k")
-    over = unnamed.join(pending.select(*question, "_k"), [*question, "_k"], "left_anti").drop("_k")
-    return first.where(answered).unionByName(second), left.unionByName(over, allowMissingColumns=True)
-
-
-def route_batches(df: DataFrame, max_queries: int) -> DataFrame:
-    """Endpoints on udp port 53 with their batch number within each record type, in order of seq."""
+    first = met(events(plan, keys, 0, plan_order, [*resolver, *mine]).unionByName(events(responses.where(named), keys, 1, response_order, theirs)), keys)
+    waiting = first.where("_r is null").select(*question, "_p.*")
+    unnamed = responses.where(~named)
+    second = met(events(waiting, question, 0, plan_order, [*resolver, *mine]).unionByName(events(unnamed, question, 1, response_order, theirs)), question)
+    shown = lambda df: df.select(*[F.col(f"_p.{c}") if c in mine or c in resolver else c for c in plan.columns], *[F.col(f"_r.{c}") for c in theirs])
+    over = lambda df, named: df.where("_p is null").select(*[c if c in (question if not named else keys) else F.col(f"_r.{c}") if c in theirs else F.lit(None).cast(responses.schema[c].dataType).alias(c) for c in responses.columns])
+    return shown(first.where("_p is not null and _r is not null")).unionByName(shown(second.where("_p is not null"))), over(first, True).unionByName(over(second, False))
+
+
+def route_batches(df: DataFrame, max_queries: int, width: int = 100_000) -> DataFrame:
+    """Endpoints on udp port 53 with their batch number within each record type, in order of seq, a number."""
     batched = df.where((F.col("transport") == "dns-udp") & (F.col("port") == 53))
-    n = F.row_number().over(Window.partitionBy("rdtype").orderBy("seq"))
-    return batched.withColumn("batch", F.floor((n - 1) / max_queries).cast("int"))
+    placed = ahead(batched, ["rdtype"], ["seq"], slices(F.col("seq"), width))
+    return placed.withColumn("batch", F.floor(F.col("before") / max_queries).cast("int")).drop("before")

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import bisect
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import PLAIN_TRANSPORTS, endpoint_order, filtered_order
 from .dedup import keep_first
+from .ranks import same
 
 
 def failed_only(results: DataFrame) -> DataFrame:
@@ -37,54 +44,130 @@ def write_results(df: DataFrame, path: str, statuses: tuple[str, ...] = ("accept
     if max_bytes is None:
         out.orderBy(*endpoint_order()).select("status", "value").write.partitionBy("status").text(path)
         return
-    order = Window.partitionBy("status").orderBy(*endpoint_order())
-    sized = out.withColumns({"pos": F.row_number().over(order) - 1, "size": F.octet_length("value")})
-    pack_by_bytes(sized, ["status"], max_bytes).select("status", "part", "value").write.partitionBy("status", "part").text(path)
+    sized = out.select("status", "value", F.octet_length("value").alias("size"), *[c.alias(f"_by_{k}") for k, c in enumerate(endpoint_order())])
+    order = [F.col(f"_by_{k}") for k in range(len(endpoint_order()))] + [F.col("value")]
+    parts = pack_by_bytes(sized, ["status"], order, max_bytes)
+    parts.repartition("status", "part").sortWithinPartitions("status", "part", *order).select("status", "part", "value").write.partitionBy("status", "part").text(path)
 
 
 def write_filtered(df: DataFrame, path: str) -> None:
     json_lines(df, filtered_order()).write.text(path)
 
 
-def part_starts(rows: DataFrame, keys: list[str], limit: int, slice_rows: int = 100_000) -> DataFrame:
-    """(keys, pos) where a part begins, for next-fit over rows (keys, pos, size) with pos 0, 1, 2, ...
+def in_slices(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """df sorted over all keys, with the `_slice` and `_at` (place in it) of each row; a key's slices are in order.
 
-    A part of rows i..j-1 has their sizes, a comma between and two brackets. `P` is the prefix sum of size + 1, in two
-    levels; the first row that no longer fits is found by a range frame on P. Beginnings are then reached from row 0
-    by pointer doubling: log2(rows) joins, no sequential pass.
+    A slice is a partition of a range shuffle. Cuts come from a sample, so the result is written once.
     """
-    cut = rows.select(*keys, "pos", (F.col("size") + 1).alias("w"), F.floor(F.col("pos") / slice_rows).alias("s"))
-    sums = cut.groupBy(*keys, "s").agg(F.sum("w").alias("t"))
-    ahead = F.coalesce(F.sum("t").over(Window.partitionBy(*keys).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inside = F.coalesce(F.sum("w").over(Window.partitionBy(*keys, "s").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = cut.withColumn("i", inside).join(sums.withColumn("b", ahead).drop("t"), [*keys, "s"]).select(*keys, "pos", (F.col("b") + F.col("i")).alias("P"))
-    end = cut.groupBy(*keys).agg((F.max("pos") + 1).alias("pos"), F.sum("w").alias("P"))
-    frame = Window.partitionBy(*keys).orderBy("P").rangeBetween(1, limit - 1)
-    jumps = placed.unionByName(end.select(*keys, "pos", "P")).withColumn("next", F.col("pos") + F.greatest(F.count("*").over(frame), F.lit(1))).select(*keys, "pos", "next")
     from ..plans.lineage import checkpointed
 
-    jumps = checkpointed(jumps)
-    reached = checkpointed(jumps.groupBy(*keys).agg(F.min("pos").alias("pos")))
-    most = jumps.agg(F.max("pos")).first()[0] or 0
-    for _ in range(max(1, int(most).bit_length())):
-        further = reached.join(jumps, [*keys, "pos"]).select(*keys, F.col("next").alias("pos"))
-        reached = checkpointed(reached.unionByName(further).distinct())
-        then = jumps.select(*keys, F.col("pos").alias("next"), F.col("next").alias("_n"))
-        jumps = checkpointed(jumps.join(then, [*keys, "next"]).select(*keys, "pos", F.col("_n").alias("next")))
-        if not jumps.join(reached, [*keys, "pos"], "left_semi").join(end.select(*keys, F.col("pos").alias("next")), [*keys, "next"], "left_anti").limit(1).count():
-            further = reached.join(jumps, [*keys, "pos"]).select(*keys, F.col("next").alias("pos"))
-            reached = reached.unionByName(further).distinct()
-            break
-    return reached.join(end.select(*keys, "pos"), [*keys, "pos"], "left_anti")
-
-
-def pack_by_bytes(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    """df (keys, pos, size) with `part`, from 1: consecutive rows whose JSON array stays within `limit` bytes; a longer record is alone."""
-    starts = part_starts(df, keys, limit).withColumn("part", F.row_number().over(Window.partitionBy(*keys).orderBy("pos")))
-    nxt = starts.withColumn("_end", F.lead("pos").over(Window.partitionBy(*keys).orderBy("pos"))).withColumnRenamed("pos", "_from")
-    # a range lookup as a window: the part of a row is the last that began at or before it
-    marked = df.join(nxt.select(*keys, F.col("_from").alias("pos"), "part"), [*keys, "pos"], "left")
-    return marked.withColumn("part", F.last("part", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)))
+    n = max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    by = [*map(F.col, keys), *order]
+    ranged = df.repartitionByRange(n, *by).sortWithinPartitions(*by)
+    return checkpointed(ranged.withColumns({"_slice": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+
+
+class SliceMap:
+    """What a slice of rows does to the open part, for every fill that it may find there.
+
+    Rows join the open part while it has room; the first that doesn't fit begins a part, and from there on all is
+    settled. So the map is a list of pieces, one for each row that may be the first not to fit: at most the rows of
+    one part, fewer since pieces that end alike are one.
+    """
+
+    def __init__(self, sizes: np.ndarray, limit: int):
+        #: a part of rows i to j - 1 has their sizes, a comma between and two brackets
+        self.sums, self.room = np.concatenate([[0], np.cumsum(sizes.astype(np.int64) + 1)]), limit - 1
+        n = len(sizes)
+        fitting = np.searchsorted(self.sums, self.sums[:-1] + self.room, side="right") - 1
+        self.next = np.maximum(fitting, np.arange(1, n + 1)).tolist()
+
+    def settled(self) -> tuple[list[int], list[int]]:
+        """(fill at the end, parts begun) if a part begins with row i."""
+        n = len(self.next)
+        fill, parts = [0] * n, [0] * n
+        for i in range(n - 1, -1, -1):
+            j = self.next[i]
+            fill[i], parts[i] = (int(self.sums[n] - self.sums[i]), 1) if j >= n else (fill[j], parts[j] + 1)
+        return fill, parts
+
+    def pieces(self) -> tuple[list[int], list[int], list[int], int]:
+        """(most fill, fill at the end, parts begun) of the pieces, by falling fill, and the bytes of all rows."""
+        fill, parts = self.settled()
+        reach = int(np.searchsorted(self.sums, self.room, side="right"))
+        most: list[int] = []
+        ends: list[tuple[int, int]] = []
+        for j in range(min(reach, len(fill))):
+            # row j is the first not to fit if the fill is above what row j leaves, and at most what row j - 1 leaves
+            bound = int(self.room - self.sums[j])
+            if ends and ends[-1] == (fill[j], parts[j]):
+                continue
+            most.append(bound)
+            ends.append((fill[j], parts[j]))
+        return most, [e[0] for e in ends], [e[1] for e in ends], int(self.sums[-1])
+
+    def parts_of_rows(self, fill: int, part: int) -> list[int]:
+        """The part of each row, if the part before has this number and fill; a fill of 0 is no open part."""
+        n = len(self.next)
+        at = max(0, int(np.searchsorted(self.sums, self.room - fill, side="right")) - 1) if fill else 0
+        at = min(at, n)
+        out = [part] * at
+        while at < n:
+            part += 1
+            out += [part] * (min(self.next[at], n) - at)
+            at = self.next[at]
+        return out
+
+
+def passed(most: list[int], fills: list[int], parts: list[int], whole: int, room: int, fill: int, part: int) -> tuple[int, int]:
+    """(fill, part) after a slice, from what was before it."""
+    if not fill:
+        return fills[0], part + parts[0]
+    if fill + whole <= room:
+        return fill + whole, part
+    # the last piece whose most fill isn't below this one; above all of them the first row doesn't fit
+    k = max(0, bisect.bisect_right(most, -fill, key=lambda b: -b) - 1)
+    return fills[k], part + parts[k]
+
+
+def pack_by_bytes(df: DataFrame, keys: list[str], order: list[Column], limit: int, size: str = "size") -> DataFrame:
+    """df with `part`, from 1 within each key: consecutive rows whose JSON array stays within `limit` bytes; a longer record is alone.
+
+    The rule runs from row to row, but not through one task: every slice of the order gives its map from the fill of
+    the open part to the fill and the parts behind it, the maps of a key are passed through in order - a short row
+    for each slice -, and then every slice numbers its own rows.
+    """
+    names = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    rows = in_slices(df, keys, order)
+
+    def maps(key: tuple, found: pd.DataFrame) -> pd.DataFrame:
+        most, fills, parts, whole = SliceMap(found.sort_values("_at")["_size"].to_numpy(), limit).pieces()
+        return pd.DataFrame([[*key, most, fills, parts, whole]], columns=[*keys, "_slice", "most", "fills", "parts", "whole"])
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, fill, part = None, 0, 0
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                if (key := tuple(r[k] for k in keys)) != of:
+                    of, fill, part = key, 0, 0
+                out.append({**{k: r[k] for k in keys}, "_slice": r["_slice"], "_fill": fill, "_part": part})
+                fill, part = passed(r["most"], r["fills"], r["parts"], r["whole"], limit - 1, fill, part)
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=pa.schema([*[batch.schema.field(k) for k in keys], ("_slice", pa.int32()), ("_fill", pa.int64()), ("_part", pa.int64())]))
+
+    def number(_: tuple, found: pd.DataFrame) -> pd.DataFrame:
+        found = found.sort_values("_at")
+        parts = SliceMap(found["_size"].to_numpy(), limit).parts_of_rows(int(found["_fill"].iloc[0]), int(found["_part"].iloc[0]))
+        return pd.DataFrame({"_row": found["_at"], "part": np.array(parts, np.int64)})
+
+    sized = rows.select(*keys, "_slice", "_at", F.col(size).cast("long").alias("_size"))
+    found = sized.groupBy(*keys, "_slice").applyInPandas(maps, f"{names}, _slice int, most array<long>, fills array<long>, parts array<long>, whole long")
+    entered = found.repartition(*keys).sortWithinPartitions(*keys, "_slice").mapInArrow(entries, f"{names}, _slice int, _fill long, _part long")
+    of = entered.select(*[F.col(c).alias(f"_of_{k}") for k, c in enumerate([*keys, "_slice"])], "_fill", "_part")
+    met = sized.join(of, same([F.col(c) for c in [*keys, "_slice"]], [F.col(f"_of_{k}") for k in range(len(keys) + 1)]))
+    numbered = met.groupBy(*keys, "_slice").applyInPandas(number, "_row long, part long")
+    return rows.join(numbered, F.col("_at") == F.col("_row")).drop("_slice", "_at", "_row")
 
 
 def plain_list(results: DataFrame, include_doh: bool = False) -> DataFrame:

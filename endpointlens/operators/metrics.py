@@ -1,11 +1,13 @@
-"""Aggregates over probe results: counts, error histograms, latency statistics. One shuffle on the endpoint each."""
+"""Aggregates over probe results: counts, error histograms, latency statistics. Partial sums go before every shuffle."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import classify_error
+from .ranks import UP_TO_HERE, carried, same
 
 #: Points a failed probe costs, by reason; any other reason costs DEFAULT_WEIGHT.
 WEIGHTS = {
@@ -34,28 +36,43 @@ def weight_of(reason: Column) -> Column:
     return F.when(reason.isNotNull(), F.coalesce(F.try_element_at(table, reason), F.lit(DEFAULT_WEIGHT))).otherwise(0)
 
 
-def latency_columns(samples: str = "_lat") -> dict[str, Column]:
-    """p50 (mean of the middle two), p95 (sorted[min(int(0.95 n), n - 1)]), jitter and n of a sorted array."""
-    n = F.size(samples)
-    half = F.floor(n / 2).cast("int")
-    at = lambda k: F.try_element_at(F.col(samples), (k + 1).cast("int"))
-    p50 = F.when(n % 2 == 0, (at(half - 1) + at(half)) / 2).otherwise(at(half))
-    p95 = at(F.least(F.floor(n * 95 / 100), n - 1))
-    some = n > 0
-    return {
-        "p50_latency_ms": F.when(some, p50), "p95_latency_ms": F.when(some, p95),
-        "jitter_ms": F.when(some, F.greatest(F.lit(0.0), p95 - p50)), "latency_sample_count": n.cast("long"),
-    }
-
-
-def latency_samples() -> Column:
-    return F.array_sort(F.collect_list(F.when(F.col("ok"), F.col("latency_ms"))))
+def latency_quantiles(probes: DataFrame, keys: list[str], slice_ms: float = 1 / 16) -> DataFrame:
+    """keys, p50_latency_ms (mean of the middle two), p95_latency_ms (number min(int(0.95 n), n - 1)), jitter_ms, latency_sample_count.
+
+    Exact selection in two steps: samples are counted in slices of `slice_ms`, which gives the slices of the wanted
+    positions and the samples before them; only the samples of those slices - three at most for a key - are then
+    counted by value. No row and no task holds the samples of a key. Keys without a sample have no row.
+    """
+    good = probes.where(F.col("ok") & F.col("latency_ms").isNotNull())
+    slice_ = F.when(F.isnan("latency_ms"), F.lit(2**63 - 1)).otherwise(F.floor(F.col("latency_ms") / slice_ms)).cast("long")
+    sliced = good.select(*keys, "latency_ms", slice_.alias("_slice"))
+    counted = carried(sliced.groupBy(*keys, "_slice").agg(F.count("*").alias("_n")), keys, "_slice", "_n")
+    n = F.col("total")
+    at = {"_low": F.floor((n - 1) / 2), "_high": F.floor(n / 2), "_p95": F.least(F.floor(n * 95 / 100), n - 1)}
+    holds = lambda k: (F.col("before") <= at[k]) & (at[k] < F.col("before") + F.col("_n"))
+    names = [*keys, "_slice"]
+    wanted = counted.where(holds("_low") | holds("_high") | holds("_p95")).select(*[F.col(c).alias(f"_of_{k}") for k, c in enumerate(names)], F.col("before").alias("_base"), "total")
+    met = sliced.join(wanted, same([F.col(c) for c in names], [F.col(f"_of_{k}") for k in range(len(names))]))
+    values = met.groupBy(*names, "latency_ms").agg(F.count("*").alias("_n"), F.first("_base").alias("_base"), F.first("total").alias("total"))
+    inside = Window.partitionBy(*names).orderBy("latency_ms").rowsBetween(*UP_TO_HERE)
+    placed = values.withColumn("before", F.col("_base") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    found = placed.groupBy(*keys).agg(F.max("total").alias("latency_sample_count"), *[F.max(F.when(holds(k), F.col("latency_ms"))).alias(k) for k in at])
+    p50 = F.when(F.col("latency_sample_count") % 2 == 0, (F.col("_low") + F.col("_high")) / 2).otherwise(F.col("_high"))
+    jitter = F.greatest(F.lit(0.0), F.col("_p95") - p50)
+    return found.select(*keys, p50.alias("p50_latency_ms"), F.col("_p95").alias("p95_latency_ms"), jitter.alias("jitter_ms"), "latency_sample_count")
+
+
+def with_latency(counts: DataFrame, probes: DataFrame, keys: list[str]) -> DataFrame:
+    """counts, a row a key, with the latency columns; keys without a sample have none and a count of 0."""
+    found = latency_quantiles(probes, keys)
+    of = found.select(*[F.col(c).alias(f"_of_{k}") for k, c in enumerate(keys)], *[c for c in found.columns if c not in keys])
+    met = counts.join(of, same([counts[c] for c in keys], [of[f"_of_{k}"] for k in range(len(keys))]), "left").drop(*[f"_of_{k}" for k in range(len(keys))])
+    return met.withColumn("latency_sample_count", F.coalesce("latency_sample_count", F.lit(0)).cast("long"))
 
 
 def latency_stats(probes: DataFrame, keys: list[str]) -> DataFrame:
     """keys, p50_latency_ms, p95_latency_ms, jitter_ms, latency_sample_count over ok probes with a latency."""
-    sorted_ = probes.groupBy(*keys).agg(latency_samples().alias("_lat"))
-    return sorted_.select(*keys, *[c.alias(k) for k, c in latency_columns().items()])
+    return with_latency(probes.select(*keys).distinct(), probes, keys).select(*keys, "p50_latency_ms", "p95_latency_ms", "jitter_ms", "latency_sample_count")
 
 
 def error_histogram(probes: DataFrame, keys: list[str]) -> DataFrame:
@@ -79,13 +96,14 @@ def availability_points(ok: Column, total: Column) -> Column:
 
 
 def endpoint_metrics(probes: DataFrame, keys: list[str]) -> DataFrame:
-    """All that scoring needs of the probes of an endpoint, in one aggregation."""
-    reason = failed_reason()
-    counted = probes.withColumn("_reason", reason).groupBy(*keys).agg(
-        F.count("*").alias("total"), F.count_if("ok").alias("ok_count"),
-        F.sum(weight_of(F.col("_reason"))).cast("long").alias("penalty"),
-        F.count_if(~F.col("ok") & F.coalesce(F.col("error"), F.lit("")).contains("timeout")).alias("timeouts"),
-        F.array_sort(F.collect_list(F.when(F.col("_reason").isNotNull(), F.struct("seq", "_reason")))).alias("_errors"),
-        latency_samples().alias("_lat"),
+    """All that scoring needs of the probes of an endpoint. Reasons are few, so they are counted before they are listed."""
+    error = F.coalesce(F.col("error"), F.lit(""))
+    of_reason = probes.withColumn("_reason", failed_reason()).groupBy(*keys, "_reason").agg(
+        F.count("*").alias("_n"), F.count_if("ok").alias("_ok"), F.count_if(~F.col("ok") & error.contains("timeout")).alias("_late"), F.min("seq").alias("_first")
+    )
+    listed = F.array_sort(F.collect_list(F.when(F.col("_reason").isNotNull(), F.struct("_first", "_reason"))))
+    counted = of_reason.groupBy(*keys).agg(
+        F.sum("_n").alias("total"), F.sum("_ok").alias("ok_count"), F.sum(weight_of(F.col("_reason")) * F.col("_n")).cast("long").alias("penalty"),
+        F.sum("_late").alias("timeouts"), F.transform(listed, lambda e: e["_reason"]).alias("error_reasons"),
     )
-    return counted.withColumns({**latency_columns(), "error_reasons": F.array_distinct(F.transform("_errors", lambda e: e["_reason"]))}).drop("_errors", "_lat")
+    return with_latency(counted, probes, keys)

@@ -267,12 +267,21 @@ SELECT CAST(run_date AS VARCHAR) AS latest_run_date, run_id AS latest_run_id, (S
     "capped_count": f"WITH {STABLE} SELECT count(*) AS capped FROM daily d JOIN stable s USING (resolver_key) WHERE d.run_date = {_LAST} AND d.day_status = 'accepted' AND s.runs_seen_30d < 29",
     "even_shards": "SELECT c_custkey, CAST(ntile(7) OVER (ORDER BY c_name, c_custkey) - 1 AS INT) AS shard FROM customer",
     "sorted_export": """SELECT '{"s_suppkey":' || CAST(s_suppkey AS VARCHAR) || ',"s_name":"' || s_name || '","s_nationkey":' || CAST(s_nationkey AS VARCHAR) || '}' AS value FROM supplier""",
-    "size_bounded_parts": """WITH RECURSIVE rows AS (SELECT doc_id, source, strlen(coalesce(text, '')) + length(CAST(doc_id AS VARCHAR)) + 20 AS size, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents),
+    "size_bounded_parts": """WITH RECURSIVE rows AS (SELECT doc_id, source, strlen(CAST(to_json({'doc_id': doc_id, 'text': text}) AS VARCHAR)) AS size, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents),
 fold AS (
   SELECT source, doc_id, k, CAST(1 AS BIGINT) AS part, 2 + size AS used FROM rows WHERE k = 1
   UNION ALL
   SELECT r.source, r.doc_id, r.k, CASE WHEN used + 1 + r.size <= 20000 THEN part ELSE part + 1 END, CASE WHEN used + 1 + r.size <= 20000 THEN used + 1 + r.size ELSE 2 + r.size END
   FROM fold f JOIN rows r ON r.source = f.source AND r.k = f.k + 1) SELECT doc_id, part FROM fold""",
+    "quota_select": """WITH RECURSIVE items AS (SELECT p_partkey AS ordinal, p_brand AS zone, p_type AS family, p_size % 3 AS want, row_number() OVER (ORDER BY p_partkey) AS k FROM part),
+fold AS (
+  SELECT CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS ordinal, CAST(0 AS BIGINT) AS takes, CAST(MAP {} AS MAP(VARCHAR, BIGINT)) AS probes, CAST(MAP {} AS MAP(VARCHAR, BIGINT)) AS hosts
+  UNION ALL
+  SELECT k, ordinal, takes, map_concat(probes, MAP {zone: coalesce(element_at(probes, zone)[1], 0) + takes}), map_concat(hosts, MAP {family: coalesce(element_at(hosts, family)[1], 0) + CASE WHEN takes > 0 THEN 1 ELSE 0 END})
+  FROM (SELECT i.k, i.ordinal, i.zone, i.family, f.probes, f.hosts,
+      CAST(CASE WHEN coalesce(element_at(hosts, family)[1], 0) >= 25 THEN 0 ELSE least(want, greatest(40 - coalesce(element_at(probes, zone)[1], 0), 0)) END AS BIGINT) AS takes
+    FROM fold f JOIN items i ON i.k = f.k + 1))
+SELECT ordinal, takes FROM fold WHERE takes > 0""",
     "plain_list": f"WITH {RESULTS} SELECT DISTINCT host || ':' || CAST(port AS VARCHAR) AS line FROM results WHERE status = 'accepted' AND transport <> 'doh'",
     "url_list": f"WITH {RESULTS} SELECT DISTINCT endpoint_url AS line FROM results WHERE status = 'accepted' AND transport = 'doh'",
     "forwarder_lines": f"""WITH {RESULTS}, f AS (SELECT * FROM results WHERE status = 'accepted' AND transport <> 'doh' QUALIFY row_number() OVER (PARTITION BY host ORDER BY day, endpoint) = 1)

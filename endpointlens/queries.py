@@ -353,16 +353,9 @@ def sorted_export(s, d):
 
 @query
 def size_bounded_parts(s, d):
-    record = F.octet_length(F.coalesce("text", F.lit(""))) + F.length(F.col("doc_id").cast("string")) + 20  # {"doc_id":1,"text":"..."} without escapes
+    record = F.octet_length(F.to_json(F.struct("doc_id", "text"), {"ignoreNullFields": "false"}))
     docs = v.table(s, d, "documents").select("doc_id", "source", record.cast("long").alias("size"))
-    w = F.row_number().over(_by_source()) - 1
-    return export.pack_by_bytes(docs.withColumn("pos", w.cast("long")), ["source"], 20_000).select("doc_id", F.col("part").cast("long").alias("part"))
-
-
-def _by_source():
-    from pyspark.sql.window import Window
-
-    return Window.partitionBy("source").orderBy("doc_id")
+    return export.pack_by_bytes(docs, ["source"], [F.col("doc_id")], 20_000).select("doc_id", "part")
 
 
 @query

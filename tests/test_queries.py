@@ -49,5 +49,5 @@ def test_against_sql(spark, duck, name):
     assert got
 
 
-def test_all_but_the_greedy_one_have_sql():
-    assert set(q.QUERIES) - set(q.ORACLE_SQL) == {"quota_select"}
+def test_all_have_sql():
+    assert set(q.QUERIES) == set(q.ORACLE_SQL)
