@@ -35,7 +35,7 @@ CUTS = (r"▁*[A-Za-zÀ-ÖØ-öø-ɏ]+|▁*[0-9]|▁*[^▁A-Za-zÀ-ÖØ-öø-ɏ0
 class PieceTable:
     """The vocabulary of one model, with what it has learned about pairs and words."""
 
-    def __init__(self, path: str, most: int = 1_000_000, longest: int = 64):
+    def __init__(self, path: str, most: int = 300_000, longest: int = 64):
         from sentencepiece import SentencePieceProcessor
 
         self.model = m = SentencePieceProcessor(model_file=path)
@@ -178,7 +178,15 @@ def table(path: str) -> PieceTable:
     return _LOADED[path]
 
 
-def _with_column(df: DataFrame, source: str, name: str, kind: DataType, each, most: int = 1 << 24) -> DataFrame:
+def decoder(path: str):
+    """The library's decoding of the ids in an Arrow list."""
+    from sentencepiece import SentencePieceProcessor
+
+    model = SentencePieceProcessor(model_file=path)
+    return lambda ids: model.decode(ids.values.to_numpy().tolist() if ids.is_valid else [])
+
+
+def _with_column(df: DataFrame, source: str, name: str, kind: DataType, each, most: int = 1 << 22) -> DataFrame:
     """df with a column of each(value), text or the bytes of 32-bit ids; batches are passed on in slices of about so many bytes."""
     kept = [c for c in df.columns if c != name]
     schema = StructType([df.schema[c] for c in kept]).add(name, kind)
@@ -213,4 +221,4 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """encoded with the text that the ids stand for; null ids are no ids."""
-    return _with_column(encoded, ids, decoded, StringType(), lambda: lambda ids: table(path).model.decode(ids.values.to_numpy().tolist() if ids.is_valid else []))
+    return _with_column(encoded, ids, decoded, StringType(), lambda: decoder(path))
