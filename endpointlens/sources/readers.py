@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from .. import schemas
 from ..functions.text import PLAIN_TRANSPORTS, parse_endpoint, url_parts
 from ..operators.dedup import keep_first, rejected, union_all
-from . import history_store
+from . import documents, history_store
 
 
 def _plain(transport: Column | str) -> Column:
@@ -126,42 +126,40 @@ def read_results_parts(spark: SparkSession, path: str) -> DataFrame:
     return read_results(spark, path if history_store.paths(spark, path) else history_store.paths(spark, f"{stem}.part-*{dot}{ending}") or path)
 
 
-def read_source(kind: str, *args, **options):
-    """The reader of a source type; an unknown type raises."""
-    kinds = {"csv": read_csv_list, "scrape": scrape_urls, "markdown": markdown_table_endpoints}
-    if kind not in kinds:
+#: The reader of each source type.
+SOURCES = {"csv": read_csv_list, "scrape": scrape_urls, "markdown": markdown_table_endpoints, "lines": read_line_list, "records": read_endpoint_records}
+
+
+def read_source(kind: str, *args, **options) -> tuple[DataFrame, DataFrame | None]:
+    """(candidates, rejected or None) of a source type; an unknown type raises."""
+    if kind not in SOURCES:
         raise ValueError(f"unknown source type: {kind}")
-    return kinds[kind](*args, **options)
+    out = SOURCES[kind](*args, **options)
+    return out if isinstance(out, tuple) else (out, None)
+
+
+def read_sources(plain: list[tuple], urls: list[tuple]) -> tuple[DataFrame, DataFrame | None]:
+    """(candidates, rejected) of configured sources (type, arguments...): those of hosts first, then those of URLs, each in order."""
+    return discover([read_source(kind, *args) for kind, *args in [*plain, *urls]])
+
+
+def whole_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, value): each file as one text."""
+    return spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
 
 
 def read_corpus(spark: SparkSession, path: str, version: int | None = None, strict: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(probes, errors) of corpus documents. errors: (file, error), empty for a valid document."""
-    allowed = [f.strip().split(" ")[0] for f in schemas.CORPUS.split("probes array")[0].rstrip(", ").split(", ")] + ["probes"]
-    raw = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value", F.from_json("value", schemas.CORPUS).alias("d"))
-    two = F.col("d.schema_version") >= 2
-    checks = [
-        F.when(F.col("d.schema_version").isNull(), "schema_version is missing"),
-        F.when(F.col("d.corpus_version").isNull(), "corpus_version is missing"),
-        F.when(F.col("d.probes").isNull(), "probes is missing"),
-        F.when(two & (F.col("d.generator_version").isNull() | F.col("d.sources_used").isNull() | F.col("d.probe_counts").isNull()), "a field of version 2 is missing"),
-    ]
-    if version is not None:
-        checks.append(F.when(F.col("d.schema_version") != version, "schema_version differs"))
-    if strict:
-        unknown = F.array_except(F.json_object_keys("value"), F.array(*[F.lit(a) for a in allowed]))
-        checks.append(F.when(F.size(unknown) > 0, F.concat(F.lit("unknown fields: "), F.array_join(unknown, ","))))
-    errors = raw.select("file", F.explode(F.array_compact(F.array(*checks))).alias("error"))
-    probes = raw.select(F.explode("d.probes").alias("p")).select("p.*")
-    mode = F.when(F.col("expected_mode") == "baseline_match", "consensus_match").otherwise(F.col("expected_mode"))
-    return probes.withColumn("expected_mode", mode), errors
-
-
-def read_seeds(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(roots, delegations with exact_hosts), each with its position."""
+    """(probes, errors) of corpus documents. errors: (file, path, field, error), none for a valid document."""
+    raw = whole_files(spark, path)
+    return documents.corpus_probes(raw), documents.corpus_errors(raw, version, strict)
+
+
+def read_seeds(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(roots, delegations with exact_hosts, errors), the first two with their position."""
     df = spark.read.schema(schemas.SEEDS).option("multiLine", True).json(path)
     roots = df.select(F.posexplode_outer("root_servers").alias("position", "r")).where("r is not null").select("position", "r.*")
     delegations = df.select(F.posexplode_outer("delegations").alias("position", "d")).where("d is not null").select("position", "d.*")
-    return roots, delegations
+    return roots, delegations, documents.seed_errors(whole_files(spark, path))
 
 
 def read_responses(lines: DataFrame, default_rdtype: str = "A") -> tuple[DataFrame, DataFrame]:

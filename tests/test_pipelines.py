@@ -21,7 +21,9 @@ SEEDS = {
 def seeds(spark, tmp_path_factory):
     path = tmp_path_factory.mktemp("seeds") / "seeds.json"
     path.write_text(json.dumps(SEEDS))
-    return readers.read_seeds(spark, str(path))
+    *found, errors = readers.read_seeds(spark, str(path))
+    assert [(r["path"], r["field"]) for r in errors.where("error not like '%source%'").collect() if r["field"] != "source"] == []
+    return found
 
 
 def test_exact_probes_respect_both_caps(seeds):
@@ -63,12 +65,13 @@ def test_validate_scores_missing_answers_as_failures(spark):
 
 
 def test_documents(spark, tmp_path):
-    good = {"schema_version": 2, "corpus_version": "1", "generated_at": "x", "generator_version": "g", "sources_used": [], "probe_counts": {}, "probes": [{"id": "p", "kind": "positive_consensus", "expected_mode": "baseline_match"}]}
+    good = {"schema_version": 2, "corpus_version": "1", "generated_at": "x", "generator_version": "g", "sources_used": ["s"], "probe_counts": {"positive_consensus": 1}, "probes": [{"id": "p", "kind": "positive_consensus", "qname": "q.", "qtype": "NS", "expected_mode": "baseline_match"}]}
     (tmp_path / "good.json").write_text(json.dumps(good))
     (tmp_path / "bad.json").write_text(json.dumps({"corpus_version": "1", "probes": [], "surprise": 1}))
     probes, errors = readers.read_corpus(spark, str(tmp_path / "good.json"), 2)
     assert probes.first()["expected_mode"] == "consensus_match" and errors.count() == 0
-    assert sorted(r["error"] for r in readers.read_corpus(spark, str(tmp_path / "bad.json"), 2)[1].collect()) == ["schema_version is missing", "unknown fields: surprise"]
+    found = sorted((r["field"], r["error"]) for r in readers.read_corpus(spark, str(tmp_path / "bad.json"), 2)[1].collect())
+    assert found == [("", "unsupported fields: surprise"), ("generated_at", "missing or invalid string field"), ("schema_version", "missing or invalid integer field")]
     (tmp_path / "c.json").write_text(json.dumps([{"transport": "doh", "host": "h"}]))
     c = readers.read_candidates(spark, str(tmp_path / "c.json")).first()
     assert (c["source"], c["metadata"], c["bootstrap_ipv4"]) == ("loaded", {}, [])
