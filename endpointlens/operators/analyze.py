@@ -71,6 +71,12 @@ def compare_bands(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.withColumn("delta_pct", F.when(total > 0, F.col("delta") * 100.0 / total).otherwise(0.0))
 
 
+def compare_shares(old: DataFrame, new: DataFrame) -> DataFrame:
+    """One row: the share of accepted results with a full score in both, and its change."""
+    one = lambda df, name: share_at_100(df).select(F.col("share_at_100").alias(name), F.lit(1).alias("_one"))
+    return one(old, "old_share").join(one(new, "new_share"), "_one").select("old_share", "new_share", (F.col("new_share") - F.col("old_share")).alias("change"))
+
+
 def status_totals(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count("*").alias("n"))
 
@@ -105,6 +111,21 @@ def seen_in_last_n(daily: DataFrame, days: tuple[int, ...] = (7, 14, 30)) -> Dat
     return counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("days"), F.col(f"d{n}").alias("n_keys")) for n in days])).alias("r")).select("r.*")
 
 
+def key_sketches(daily: DataFrame, lg_k: int = 12) -> DataFrame:
+    """(run_date, transport, keys): a mergeable sketch of the resolver keys of each day and transport, a few KB each.
+
+    Stored once a day, they answer distinct counts of any window without reading the days again. The standard error
+    of a merged count is 1.04 / sqrt(2^lg_k) or less, 1.6 % at 12.
+    """
+    return daily.groupBy("run_date", "transport").agg(F.hll_sketch_agg("resolver_key", lg_k).alias("keys"))
+
+
+def approximate_keys(sketches: DataFrame, run_date: Column, days: int) -> DataFrame:
+    """(transport, n_keys): about how many keys each transport had in the last `days` days up to run_date."""
+    window = sketches.where((F.col("run_date") <= run_date) & (F.col("run_date") > F.date_sub(run_date, days)))
+    return window.groupBy("transport").agg(F.hll_sketch_estimate(F.hll_union_agg("keys")).alias("n_keys"))
+
+
 def capped_count(daily: DataFrame, metrics: DataFrame, run_date: Column, least: int = 14) -> DataFrame:
     """How many keys accepted on run_date have been seen on fewer than `least` of the last 30 days."""
     accepted = daily.where((F.col("run_date") == run_date) & (F.col("day_status") == "accepted")).select("resolver_key")

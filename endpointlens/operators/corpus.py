@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from ..functions.text import probe_id, render_qname
+from ..functions.text import normalize_answers, probe_id, render_qname
 from ..plans.lineage import checkpointed
 from .components import components
 from .dedup import duplicate_ids
@@ -108,10 +108,12 @@ def consensus_probes(delegations: DataFrame) -> DataFrame:
 
 
 def negative_probes(zones: DataFrame) -> DataFrame:
-    """One probe per parent zone; a zone must end in a dot."""
+    """One probe per parent zone; a zone that doesn't end in a dot has no parent_zone, which is a logic error."""
+    bare = F.regexp_replace("zone", r"\.+$", "")
     return zones.select(
-        probe_id(F.lit("negative"), F.col("zone"), F.lit("A")).alias("id"), F.lit("negative_generated").alias("kind"), F.concat(F.lit("{uuid}."), "zone").alias("qname_template"),
+        probe_id(F.lit("negative-generated"), F.col("zone"), F.lit("A")).alias("id"), F.lit("negative_generated").alias("kind"), F.concat(F.lit("{uuid}."), bare, F.lit(".")).alias("qname_template"),
         F.lit("A").alias("qtype"), F.lit("nxdomain").alias("expected_mode"), F.when(F.col("zone").endswith("."), F.col("zone")).alias("parent_zone"),
+        F.lit("negative-parent-pool").alias("source"), F.lit(0.8).alias("stability_score"),
     )
 
 
@@ -128,14 +130,19 @@ def baseline_plan(candidates: DataFrame, resolvers: list[str], rounds: dict[str,
 
 
 def vote(candidates: DataFrame, observations: DataFrame, quorum: int = 2) -> DataFrame:
-    """candidates with accepted and rejection_reason, by the rule of their kind; an unknown kind is refused."""
+    """candidates with accepted, rejection_reason, agreed and observed, by the rule of their kind; an unknown kind is refused.
+
+    The expected answers of exact probes are held in the form in which answers are compared.
+    """
+    candidates = candidates.withColumn("expected_answers", normalize_answers(F.col("expected_answers"), F.col("qtype")))
     rows = observations.join(candidates.select("id", "kind", F.col("expected_answers").alias("expected"), F.col("qtype").alias("rdtype")), "id")
     of = lambda kind: rows.where(F.col("kind") == kind)
     cols = ["id", "accepted", "rejection_reason"]
+    none = lambda name: F.lit(None).cast("string").alias(name)
     votes = (
-        vote_exact(of("positive_exact"), ["id"], quorum).select(*cols, F.lit(None).cast("string").alias("agreed"))
-        .unionByName(vote_consensus(of("positive_consensus"), ["id"], quorum).select(*cols, "agreed"))
-        .unionByName(vote_negative(of("negative_generated"), ["id"], quorum=quorum).select(*cols, F.lit(None).cast("string").alias("agreed")))
+        vote_exact(of("positive_exact"), ["id"], quorum).select(*cols, none("agreed"), "observed")
+        .unionByName(vote_consensus(of("positive_consensus"), ["id"], quorum).select(*cols, "agreed", none("observed")))
+        .unionByName(vote_negative(of("negative_generated"), ["id"], quorum=quorum).select(*cols, none("agreed"), none("observed")))
     )
     known = F.col("kind").isin("positive_exact", "positive_consensus", "negative_generated")
     out = candidates.join(votes, "id", "left")
@@ -145,9 +152,21 @@ def vote(candidates: DataFrame, observations: DataFrame, quorum: int = 2) -> Dat
 
 
 def apply_agreed(voted: DataFrame) -> DataFrame:
-    """Agreed name servers replace the expected ones where there are any."""
+    """Of accepted probes, what the baseline agreed on replaces what was expected, where it is anything.
+
+    Exact probes agree on their expected answers, sorted and in compared form; consensus probes on name servers.
+    """
     agreed = F.split("agreed", ",")
-    return voted.withColumn("expected_nameservers", F.when(F.col("agreed") != "", agreed).otherwise(F.col("expected_nameservers")))
+    named = F.col("accepted") & (F.col("agreed") != "")
+    return voted.withColumn("expected_nameservers", F.when(named, agreed).otherwise(F.col("expected_nameservers")))
+
+
+def vote_trail(observations: DataFrame, voted: DataFrame) -> DataFrame:
+    """(id, kind, asked, failed, accepted, rejection_reason, agreed, observed): how the vote on each probe came about."""
+    failed = F.coalesce(F.col("error"), F.lit("")) != ""
+    asked = observations.groupBy("id").agg(F.count("*").alias("asked"), F.count_if(failed).alias("failed"))
+    rows = voted.select("id", "kind", "accepted", "rejection_reason", "agreed", "observed").join(asked, "id", "left")
+    return rows.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("asked", "failed")})
 
 
 def generation_report(voted: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import bisect
+import json
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .. import schemas
 from ..functions.text import PLAIN_TRANSPORTS, endpoint_order, filtered_order
 from .dedup import keep_first
 from .ranks import same
@@ -50,8 +53,45 @@ def write_results(df: DataFrame, path: str, statuses: tuple[str, ...] = ("accept
     parts.repartition("status", "part").sortWithinPartitions("status", "part", *order).select("status", "part", "value").write.partitionBy("status", "part").text(path)
 
 
+def filtered_records(df: DataFrame) -> DataFrame:
+    """Filtered rows as records: what is known of the candidate in one field, beside reason, detail and stage."""
+    own = [f"{c}" for c in df.columns if c in schemas.CANDIDATE_FIELDS]
+    return df.select(F.struct(*own).alias("candidate"), "reason", "detail", "stage")
+
+
 def write_filtered(df: DataFrame, path: str) -> None:
-    json_lines(df, filtered_order()).write.text(path)
+    """JSON lines of filtered records, sorted by stage, reason and endpoint."""
+    absent = {c: F.lit(None).cast(kind) for c, kind in (("endpoint_url", "string"), ("host", "string"), ("port", "int"), ("path", "string")) if c not in df.columns}
+    json_lines(filtered_records(df.withColumns(absent).orderBy(*filtered_order()))).write.text(path)
+
+
+def write_corpus(probes: DataFrame, report: DataFrame, path: str, header: dict) -> None:
+    """The corpus as one JSON document, and its counts as another, below `path`.
+
+    header: schema_version, corpus_version, generated_at, generator_version, sources_used. probes (position, ...) are
+    written line by line in order, so the document is never held in memory. report (kind, rejection_reason, n) is small.
+    """
+    from ..plans.lineage import checkpointed
+
+    spark, probes = probes.sparkSession, checkpointed(probes)
+    counts = {r["kind"]: r["n"] for r in probes.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    head = json.dumps({**header, "probe_counts": counts})[:-1] + ', "probes": ['
+    shown = [c for c in schemas.CORPUS_PROBE_FIELDS if c in probes.columns]
+    last = probes.agg(F.max("position")).first()[0]
+    text = F.concat(F.to_json(F.struct(*shown)), F.when(F.col("position") == last, "").otherwise(","))
+    ends = spark.createDataFrame([(0, None, head), (2, None, "]}")], "part int, position long, value string")
+    lines = ends.unionByName(probes.select(F.lit(1).alias("part"), F.col("position").cast("long").alias("position"), text.alias("value")))
+    lines.repartition(1).sortWithinPartitions("part", "position").select("value").write.text(f"{path}/probe-corpus")
+    known = [r.asDict() for r in report.collect()]
+    accepted = {r["kind"]: r["n"] for r in known if r["rejection_reason"] is None}
+    total, rejected, reasons = Counter(), Counter(), Counter()
+    for r in known:
+        total[r["kind"]] += r["n"]
+        if r["rejection_reason"] is not None:
+            rejected[r["kind"]] += r["n"]
+            reasons[r["rejection_reason"]] += r["n"]
+    facts = {**header, "candidate_counts": total, "accepted_counts": accepted, "rejected_counts": rejected, "rejected_by_reason": reasons}
+    spark.createDataFrame([(json.dumps(facts),)], "value string").write.text(f"{path}/metadata")
 
 
 def in_slices(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -36,10 +36,10 @@ def host_day(daily: DataFrame) -> DataFrame:
 
 
 def host_outcomes(results: DataFrame) -> DataFrame:
-    """One row per host of scored results, with the first udp and tcp status in input order."""
+    """One row per host of scored results, sorted by host, with the first udp and tcp status in input order."""
     plain = results.where(F.col("transport").isin(*PLAIN_TRANSPORTS))
     first = lambda t: F.min_by(F.when(F.col("transport") == t, F.col("status")), F.when(F.col("transport") == t, F.col("ordinal")))
-    return _best(plain, ["host"], "status", udp_status=first("dns-udp"), tcp_status=first("dns-tcp"))
+    return _best(plain, ["host"], "status", udp_status=first("dns-udp"), tcp_status=first("dns-tcp")).orderBy("host")
 
 
 def _best(df: DataFrame, keys: list[str], status: str, **more: Column) -> DataFrame:

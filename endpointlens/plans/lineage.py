@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
 
+from pyspark.sql import DataFrame, SparkSession
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint; spark.checkpoint.dir names the folder, and only a local session may go without it."""
-    spark = df.sparkSession
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share; spark.checkpoint.dir names it, and only a local session may go without."""
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         named = spark.conf.get("spark.checkpoint.dir", None)
@@ -16,4 +17,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             named = "/tmp/checkpoints"
         sc.setCheckpointDir(named)
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """The path of a folder in the shared one that nothing else uses."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -53,10 +53,24 @@ def generate_corpus(roots: DataFrame, delegations: DataFrame, zones: DataFrame,
     """(accepted probes, report) from seeds and the answers of baseline resolvers."""
     parts = [corpus.exact_probes(roots, delegations), corpus.consensus_probes(delegations), corpus.negative_probes(zones)]
     made = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
-    voted = corpus.apply_agreed(corpus.vote(made, observations, quorum))
+    voted = checkpointed(corpus.apply_agreed(corpus.vote(made, observations, quorum)))
     return voted.where("accepted"), corpus.generation_report(voted)
 
 
+def build_and_write(
+    roots: DataFrame, delegations: DataFrame, zones: DataFrame, observations: DataFrame, path: str, header: dict, quorum: int = 2, minimums: dict[str, int] = corpus.MINIMUMS
+) -> DataFrame:
+    """Generates a corpus, checks it and writes its documents; raises if it has logic errors or too few probes. Returns the probes."""
+    kept, report = generate_corpus(roots, delegations, zones, observations, quorum)
+    kinds = F.array_position(F.array(*[F.lit(k) for k in ("positive_exact", "positive_consensus", "negative_generated")]), F.col("kind"))
+    placed = checkpointed(export.in_slices(kept.withColumn("_kind", kinds), [], [F.col("_kind"), F.col("id")]).withColumn("position", F.col("_at")).drop("_at", "_slice", "_kind"))
+    wrong = validate_corpus(placed, minimums).limit(20).collect()
+    if wrong:
+        raise ValueError("logic errors: " + "; ".join(f"{r['id']}: {', '.join(r['errors'])}" for r in wrong))
+    export.write_corpus(placed, report, path, header)
+    return placed
+
+
 def validate_corpus(probes: DataFrame, minimums: dict[str, int] = corpus.MINIMUMS) -> DataFrame:
     """Rows with logic errors; raises if a kind has too few probes. Kinds are three, so their counts fit the driver."""
     corpus.check_minimums({r["kind"]: r["n"] for r in probes.groupBy("kind").agg(F.count("*").alias("n")).collect()}, minimums)

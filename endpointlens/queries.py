@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import job_queries
 from . import testviews as v
 from .functions import text as t
-from .oracles import ORACLE_SQL  # noqa: F401
+from .job_oracles import JOB_SQL
+from .oracles import ORACLE_SQL as QUERY_SQL
 from .operators import analyze, corpus, dedup, evaluate, export, history, metrics
 from .operators.score import score_probes
 from .sources import readers
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(job_queries.QUERIES)
+ORACLE_SQL: dict[str, str] = {**QUERY_SQL, **JOB_SQL}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -4,19 +4,21 @@ CANDIDATE = (
     "provider string, source string, transport string, endpoint_url string, host string, port int, path string, "
     "bootstrap_ipv4 array<string>, bootstrap_ipv6 array<string>, tls_server_name string, metadata map<string,string>"
 )
+CANDIDATE_FIELDS = [f.strip().split(" ")[0] for f in CANDIDATE.replace("map<string,string>", "map").split(", ")]
 FILTERED = f"candidate struct<{', '.join(f.strip().replace(' ', ':', 1) for f in CANDIDATE.replace('map<string,string>', 'map<string;string>').split(', '))}>, reason string, detail string, stage string".replace(";", ",")
 PROBE = "ok boolean, probe string, latency_ms double, error string, details map<string,string>"
 PARTS = "correctness int, availability int, performance int, history int"
 RESULT = (
     CANDIDATE + ", status string, score int, accepted boolean, reasons array<string>, confidence_score int, "
     "score_breakdown struct<correctness:int,availability:int,performance:int,history:int>, correctness_score int, availability_score int, "
-    "performance_score int, history_score int, score_caps_applied array<string>, "
+    "performance_score int, history_score int, score_caps_applied array<string>, all_probes_failed boolean, "
     "probes array<struct<ok:boolean,probe:string,latency_ms:double,error:string,details:map<string,string>>>"
 )
 CORPUS_PROBE = (
     "id string, kind string, qname string, qname_template string, qtype string, expected_mode string, expected_answers array<string>, "
     "expected_nameservers array<string>, parent_zone string, source string, stability_score double, notes string"
 )
+CORPUS_PROBE_FIELDS = [f.strip().split(" ")[0] for f in CORPUS_PROBE.split(", ")]
 CORPUS = (
     "schema_version int, corpus_version string, generated_at string, generator_version string, sources_used array<string>, probe_counts map<string,int>, "
     "probes array<struct<" + ",".join(f.strip().replace(" ", ":", 1) for f in CORPUS_PROBE.split(", ")) + ">>"

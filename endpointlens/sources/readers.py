@@ -97,9 +97,37 @@ def discover(sources: list[tuple[DataFrame, DataFrame | None]]) -> tuple[DataFra
     return kept, union_all(out) if out else None
 
 
-def read_candidates(spark: SparkSession, path: str) -> DataFrame:
-    """Candidates from a JSON array or lines, absent fields defaulted."""
-    df = spark.read.schema(schemas.CANDIDATE).option("multiLine", True).json(path)
+def read_records(spark: SparkSession, path: str | list[str], schema: str, lines: bool = False) -> DataFrame:
+    """Records of JSON documents or arrays, a file each; or, with `lines`, of JSON lines in all files below the path.
+
+    The schema is forced and absent fields are nulls. Lines that aren't JSON objects, or have a value of another type,
+    are left out here; bad_lines has them.
+    """
+    if not lines:
+        return spark.read.schema(schema).option("multiLine", True).json(path)
+    return _parsed(_lines(spark, path), schema).where(~_bad()).select("r.*").drop("_bad")
+
+
+def bad_lines(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    """(file, value): the lines that read_records leaves out."""
+    return _parsed(_lines(spark, path), schema).where(_bad()).select("file", "value")
+
+
+def _bad() -> Column:
+    return F.col("r").isNull() | F.col("r._bad").isNotNull()
+
+
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", True).text(path).select(F.input_file_name().alias("file"), "value").where(F.trim("value") != "")
+
+
+def _parsed(lines: DataFrame, schema: str) -> DataFrame:
+    return lines.withColumn("r", F.from_json("value", schema + ", _bad string", {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}))
+
+
+def read_candidates(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Candidates from JSON arrays or lines, absent fields defaulted."""
+    df = read_records(spark, path, schemas.CANDIDATE, lines)
     empty = F.array().cast("array<string>")
     return df.withColumns(
         {
@@ -109,13 +137,13 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_filtered(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.FILTERED).option("multiLine", True).json(path)
+def read_filtered(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    return read_records(spark, path, schemas.FILTERED, lines)
 
 
-def read_results(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_results(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
     """Scored results with their probes; parts of the score come from the breakdown, else the flat fields, else 0."""
-    df = spark.read.schema(schemas.RESULT).option("multiLine", True).json(path)
+    df = read_records(spark, path, schemas.RESULT, lines)
     part = lambda c: F.coalesce(F.col(f"score_breakdown.{c}"), F.col(f"{c}_score"), F.lit(0))
     return df.withColumns({f"{c}_score": part(c) for c in ("correctness", "availability", "performance", "history")})
 
@@ -145,7 +173,7 @@ def read_sources(plain: list[tuple], urls: list[tuple]) -> tuple[DataFrame, Data
 
 def whole_files(spark: SparkSession, path: str) -> DataFrame:
     """(file, value): each file as one text."""
-    return spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
+    return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
 
 
 def read_corpus(spark: SparkSession, path: str, version: int | None = None, strict: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -177,9 +205,9 @@ def read_responses(lines: DataFrame, default_rdtype: str = "A") -> tuple[DataFra
     return out, parsed.where(F.col("r").isNull() | F.col("r._bad").isNotNull() | name.isNull()).select("line_no", "value")
 
 
-def read_run_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """One row: generated_at in UTC and its date."""
-    df = spark.read.schema("generated_at string, github_run_id string, repo_sha string, crawler_sha string").option("multiLine", True).json(path)
+def read_run_metadata(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """A row a run: generated_at in UTC and its date."""
+    df = read_records(spark, path, "generated_at string, github_run_id string, repo_sha string, crawler_sha string", lines)
     at = F.to_timestamp(F.regexp_replace("generated_at", "Z$", "+00:00"))
     return df.withColumns({"generated_at": at, "run_date": F.to_date(at), "run_id": F.concat_ws("_", "github_run_id", "generated_at")})
 

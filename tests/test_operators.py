@@ -142,7 +142,7 @@ def test_byte_parts_against_a_loop(spark):
                 part, used = part + 1, 2 + n
             want[g, k] = part
     df = spark.createDataFrame(rows, "g string, pos long, size long").repartition(3)
-    assert {(r["g"], r["pos"]): r["part"] for r in export.pack_by_bytes(df, ["g"], 200).collect()} == want
+    assert {(r["g"], r["pos"]): r["part"] for r in export.pack_by_bytes(df, ["g"], [F.col("pos")], 200).collect()} == want
 
 
 def test_shards_lists_and_pruning(spark):

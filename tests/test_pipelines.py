@@ -39,7 +39,7 @@ def test_generated_corpus(spark, seeds):
     counts = {r["kind"]: r["count"] for r in plan.groupBy("kind").count().collect()}
     assert counts == {"positive_exact": 12 * 4, "positive_consensus": 3 * 4, "negative_generated": 3 * 3 * 3 * 2}
     known = made.select("id", "expected_answers", "expected_nameservers")
-    bad = F.col("id") == "negative-org-a"
+    bad = F.col("id") == "negative-generated-org-a"
     seen = plan.join(known, "id").select(
         "id", "check_no", (F.col("round") * 2 + F.col("check_no")).alias("seq"), F.when((F.col("kind") == "negative_generated") & ~bad, "NXDOMAIN").otherwise("NOERROR").alias("rcode"),
         F.coalesce("expected_answers", "expected_nameservers", F.array().cast("array<string>")).alias("answers"), F.lit(None).cast("string").alias("error"),
@@ -151,3 +151,79 @@ def test_exports(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "out")).groupBy("status", "part").count().count() == 3
     manifest = pipelines.split_candidates(r.select("transport", "endpoint_url", "host", "port", "path"), 2, str(tmp_path / "shards"))
     assert [(m["shard"], m["n"]) for m in manifest.collect()] == [(0, 2), (1, 1)]
+
+
+def test_build_and_write(spark, seeds, tmp_path):
+    zones = spark.createDataFrame([("com.",), ("org.",), ("net.",)], "zone string")
+    made = corpus.exact_probes(*seeds).unionByName(corpus.consensus_probes(seeds[1]), allowMissingColumns=True).unionByName(corpus.negative_probes(zones), allowMissingColumns=True)
+    plan = corpus.baseline_plan(made.select("id", "kind", "qname", "qname_template"), ["r1", "r2"])
+    seen = plan.join(made.select("id", "expected_answers", "expected_nameservers"), "id").select(
+        "id", "check_no", (F.col("round") * 2 + F.col("check_no")).alias("seq"), F.when(F.col("kind") == "negative_generated", "NXDOMAIN").otherwise("NOERROR").alias("rcode"),
+        F.coalesce("expected_answers", "expected_nameservers", F.array().cast("array<string>")).alias("answers"), F.lit(None).cast("string").alias("error"),
+    )
+    header = {"schema_version": 2, "corpus_version": "7", "generated_at": "now", "generator_version": "g", "sources_used": ["s"]}
+    placed = pipelines.build_and_write(*seeds, zones, seen, str(tmp_path / "c"), header)
+    assert placed.count() == 18
+    text = "".join(f.read_text() for f in (tmp_path / "c" / "probe-corpus").glob("*.txt"))
+    document = json.loads(text)
+    assert document["probe_counts"] == {"positive_exact": 12, "positive_consensus": 3, "negative_generated": 3} and document["corpus_version"] == "7"
+    assert [p["kind"] for p in document["probes"]] == ["positive_exact"] * 12 + ["positive_consensus"] * 3 + ["negative_generated"] * 3
+    probes, errors = readers.read_corpus(spark, str(tmp_path / "c" / "probe-corpus"), 2)
+    assert probes.count() == 18 and errors.count() == 0
+    facts = json.loads("".join(f.read_text() for f in (tmp_path / "c" / "metadata").glob("*.txt")))
+    assert facts["accepted_counts"] == document["probe_counts"] and facts["rejected_by_reason"] == {}
+    with pytest.raises(ValueError):
+        pipelines.build_and_write(*seeds, zones, seen, str(tmp_path / "d"), header, minimums={"positive_exact": 99})
+
+
+def test_agreed_answers_are_written_back(spark):
+    probes = spark.createDataFrame([("e", "positive_exact", "A", ["192.0.2.9", "192.0.2.1"], None), ("n", "positive_exact", "NS", ["B.", "a"], None), ("c", "positive_consensus", "NS", None, ["old."])], "id string, kind string, qtype string, expected_answers array<string>, expected_nameservers array<string>")
+    rows = [(i, s, 0, "NOERROR", a, None) for i, answers in (("e", ["192.0.2.1", "192.0.2.9"]), ("n", ["A.", "b"]), ("c", ["new.", "also."])) for s, a in enumerate([answers, answers[::-1]])]
+    seen = spark.createDataFrame(rows, "id string, seq int, check_no int, rcode string, answers array<string>, error string")
+    voted = corpus.apply_agreed(corpus.vote(probes, seen))
+    got = {r["id"]: (r["accepted"], r["expected_answers"], r["expected_nameservers"]) for r in voted.collect()}
+    assert got == {"e": (True, ["192.0.2.1", "192.0.2.9"], None), "n": (True, ["a.", "b."], None), "c": (True, None, ["also.", "new."])}
+    trail = {r["id"]: (r["asked"], r["failed"], r["agreed"]) for r in corpus.vote_trail(seen, voted).collect()}
+    assert trail == {"e": (2, 0, None), "n": (2, 0, None), "c": (2, 0, "also.,new.")}
+
+
+def test_refresh_and_materialize(spark, tmp_path):
+    """Discovery to files in one go: a host that answers, one that doesn't, a URL, rejects on the way."""
+    lines = spark.createDataFrame([(0, "192.0.2.1"), (1, "192.0.2.2"), (2, "192.0.2.1"), (3, "192.0.2.999")], "ordinal int, value string")
+    records = spark.createDataFrame([(0, "https://dns.example/q"), (1, "ftp://x")], "ordinal int, url string")
+
+    def plan(candidates):
+        made = evaluate.probe_plan(candidates, corpus.builtin_corpus(spark), 2)
+        return made.withColumns({"probe_id": F.concat_ws("-", "candidate_id", "seq"), "expected_mode": F.lit("exact_rrset"), "expected_answers": F.array(F.lit("192.0.2.9"))})
+
+    def answers(made):
+        hosts = made.where("transport <> 'dns-tcp'").select("probe_id", "rdtype", "kind", "candidate_id")
+        alive = hosts.join(hosts.groupBy().agg(F.min("candidate_id").alias("_least")), F.col("candidate_id") == F.col("_least"))
+        return alive.select(
+            "probe_id", F.when(F.col("kind") == "nxdomain", "NXDOMAIN").otherwise("NOERROR").alias("rcode"), F.array(F.when(F.col("rdtype") == "NS", "192.0.2.9.").otherwise("192.0.2.9")).alias("answers"),
+            F.lit(None).cast("string").alias("error"), F.lit(20.0).alias("latency_ms"),
+        )
+
+    sources = [readers.read_source("lines", lines), readers.read_source("records", records)]
+    results, rejected = pipelines.refresh(sources, plan, answers)
+    rows = results.collect()
+    assert sorted((r["transport"], r["host"]) for r in rows) == [("dns-tcp", "192.0.2.1"), ("dns-tcp", "192.0.2.2"), ("dns-udp", "192.0.2.1"), ("dns-udp", "192.0.2.2"), ("doh", "dns.example")]
+    assert [r["status"] for r in rows].count("accepted") == 1
+    assert sorted({r["reason"] for r in rejected.collect()}) == ["duplicate_dns_candidate", "invalid_dns_host", "invalid_doh_url"]
+    pipelines.materialize(results, rejected, str(tmp_path / "out"), max_bytes=4000)
+    back = readers.read_results(spark, str(tmp_path / "out" / "results"), lines=True)
+    assert sorted((r["host"], r["status"], r["score"]) for r in back.collect()) == sorted((r["host"], r["status"], r["score"]) for r in rows)
+    assert spark.read.text(str(tmp_path / "out" / "text")).count() == 1 and spark.read.text(str(tmp_path / "out" / "urls")).count() == 0
+    filtered = readers.read_filtered(spark, str(tmp_path / "out" / "filtered"), lines=True).collect()
+    assert sorted((r["candidate"]["transport"], r["reason"]) for r in filtered) == sorted((r["transport"], r["reason"]) for r in rejected.collect())
+
+
+def test_lines_that_are_no_records(spark, tmp_path):
+    from endpointlens import schemas
+
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.json").write_text('{"host": "h", "port": "no number"}\n{"host": \n\n{"host": "i", "more": 1}\nnull\n')
+    kept = readers.read_candidates(spark, str(tmp_path), lines=True).collect()
+    assert [(r["host"], r["port"], r["source"]) for r in kept] == [("i", None, "loaded")]
+    bad = {r["value"] for r in readers.bad_lines(spark, str(tmp_path), schemas.CANDIDATE).collect()}
+    assert bad == {'{"host": "h", "port": "no number"}', '{"host": ', "null"}
