@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracles import _LAST, DAILY, HOST_DAY, HOSTS, PROBES, RESULTS, STATUS, metrics, scoring
+from .oracles import _LAST, DAILY, HOST_DAY, HOSTS, KEPT, ORACLE_SQL, PROBES, RESULTS, STATUS, STREAKS, metrics, scoring
 
 _MOVED = f"(ends_with(run_id, '-0') AND run_date < {_LAST})"
 _UPSERT = f"""{STATUS},
@@ -51,6 +51,9 @@ _RELIABLE = (
     .replace("['source_reliability_unknown',", "[CASE WHEN endpoint % 10 IN (1, 2) THEN 'source_reliability_unknown' END,")
 )
 
+_GENERATED = _VOTES.replace(">= 4 THEN 0 ELSE least(want, greatest(5 -", ">= 3 THEN 0 ELSE least(want, greatest(3 -")
+_of = ORACLE_SQL.__getitem__
+
 JOB_SQL: dict[str, str] = {
     "score_reliability": f"""WITH {PROBES}, {metrics("endpoint, day")}, mr AS (SELECT *, CASE WHEN endpoint % 10 > 2 THEN (endpoint % 10 + 1) / 11 END AS rel, ['dns-udp', 'dns-tcp', 'doh'][endpoint % 3 + 1] AS transport FROM m), {_RELIABLE}
 SELECT endpoint, CAST(day AS VARCHAR) AS day, score, status, CAST(confidence_score AS INT) AS confidence_score, array_to_string(reasons, '|') AS reasons, array_to_string(list_sort(caps), '|') AS caps FROM scored""",
@@ -138,4 +141,39 @@ SELECT l_orderkey, l_linenumber, CASE k WHEN 0 THEN 'timeout:' || t WHEN 1 THEN
 o AS (SELECT coalesce(max(CASE WHEN old AND a > 0 THEN b / a END), 0.0) AS x, coalesce(max(CASE WHEN NOT old AND a > 0 THEN b / a END), 0.0) AS y FROM s) SELECT round(x, 9) AS old_share, round(y, 9) AS new_share, round(y - x, 9) AS change FROM o""",
     "key_sketches": f"""WITH {DAILY}, w AS (SELECT unnest([7, 14, 30]) AS days)
 SELECT transport, CAST(days AS INT) AS days, count(DISTINCT resolver_key) AS n_keys, TRUE AS close FROM daily, w WHERE run_date <= {_LAST} AND datediff('day', run_date, {_LAST}) < days GROUP BY transport, days""",
+    "normal_forms": """SELECT c_custkey, CASE WHEN c_custkey % 4 > 0 THEN CASE WHEN c_custkey % 60000 = 0 THEN '2001:db8::' ELSE '2001:db8::' || lower(to_hex(c_custkey % 60000)) END END AS address,
+  concat_ws('|', ['dns-udp', 'dns-tcp'][c_custkey % 2 + 1], c_name, CASE WHEN c_custkey % 3 > 0 THEN c_nationkey END) AS key, ['dns-udp', 'dns-tcp'][c_custkey % 2 + 1] AS transport, c_name AS host,
+  CAST(CASE WHEN c_custkey % 3 > 0 THEN c_nationkey ELSE 53 END AS INT) AS port, CASE WHEN c_custkey % 2 = 0 THEN 'a. a. ' || lower(c_name) || '.z.' ELSE 'A ' || c_name || '.Z.. a.' END AS answers FROM customer""",
+    "discover_candidates": f"""SELECT 'customers' AS source, transport, host, port, NULL AS endpoint_url, NULL AS reason FROM (WITH {HOSTS} SELECT * FROM firsts WHERE good AND rn = 1)
+UNION ALL SELECT 'customers', transport, CASE WHEN good THEN host ELSE ' ' || host END, port, NULL, CASE WHEN good THEN 'duplicate_dns_candidate' ELSE 'invalid_dns_host' END FROM (WITH {HOSTS} SELECT * FROM firsts WHERE NOT good OR rn > 1)
+UNION ALL SELECT 'pages', 'doh', host, port, endpoint_url, NULL FROM ({_of("url_dedup")})
+UNION ALL SELECT 'pages', 'doh', NULL, NULL, pages.url, reason FROM ({_of("url_rejects")}) r JOIN pages ON pages.page_id = r.ordinal""",
+    "validate_candidates": f"""WITH asked AS (SELECT s_suppkey AS endpoint, r.r * 8 + q.q AS seq, q.q >= 6 AS nx FROM supplier, range(2) r(r), range(8) q(q)),
+weighted AS (SELECT *, reason IS NULL AS ok, CASE WHEN reason = 'timeout_or_error' THEN 'timeout_or_error:x' ELSE reason END AS error, CASE reason WHEN 'nxdomain_spoofing' THEN 50 WHEN 'answer_mismatch' THEN 25 WHEN 'timeout_or_error' THEN 5 ELSE 0 END AS weight,
+  CASE WHEN reason IS NULL OR reason <> 'timeout_or_error' THEN CAST((endpoint % 90) * 10 + seq AS DOUBLE) END AS latency_ms
+  FROM (SELECT *, CASE WHEN (endpoint + seq) % (endpoint % 9 + 2) = 0 THEN 'timeout_or_error' WHEN nx AND endpoint % 7 = 1 THEN 'nxdomain_spoofing' WHEN NOT nx AND endpoint % 5 = 2 AND seq % 8 = 0 THEN 'answer_mismatch' END AS reason FROM asked)),
+{metrics("endpoint")}, {scoring("scored", "m")},
+firsts AS (SELECT endpoint, list(reason ORDER BY first) AS found FROM (SELECT endpoint, reason, min(seq) AS first FROM weighted WHERE reason IS NOT NULL GROUP BY ALL) GROUP BY endpoint)
+SELECT endpoint AS candidate_id, score, status, correctness_score, availability_score, performance_score,
+  array_to_string(list_concat(coalesce(found, []), list_filter([CASE WHEN timeouts * 2 > total THEN 'timeout_rate_high' END, CASE WHEN n = 0 THEN 'no_latency_samples' END, CASE WHEN p50 > 1500 THEN 'latency_very_high' WHEN p50 > 700 THEN 'latency_high' WHEN p50 > 100 THEN 'latency_moderate' END,
+    CASE WHEN p95 > 1500 THEN 'latency_p95_high' END, CASE WHEN jitter > 400 THEN 'latency_jitter_high' END], lambda x: x IS NOT NULL)), '|') AS reasons FROM scored LEFT JOIN firsts USING (endpoint)""",
+    "materialized_formats": f"""SELECT 'results ' || status AS format, count(*) AS n, CAST(sum(score) AS BIGINT) AS total FROM (WITH {RESULTS} SELECT * FROM results) GROUP BY status
+UNION ALL SELECT 'text', count(*), NULL FROM ({_of("plain_list")}) UNION ALL SELECT 'urls', count(*), NULL FROM ({_of("url_list")}) UNION ALL SELECT 'forwarders', count(*), NULL FROM ({_of("forwarder_lines")})
+UNION ALL SELECT 'backends', CAST(sum(n * len(string_split(line, chr(10)))) AS BIGINT), NULL FROM ({_of("backend_lines")})
+UNION ALL SELECT 'filtered ' || reason, count(*), NULL FROM ({_of("dedup_rejects")}) GROUP BY reason""",
+    "parts_round_trip": f"WITH {RESULTS} SELECT host, status, count(*) AS n, CAST(sum(score) AS BIGINT) AS total FROM results GROUP BY host, status",
+    "quarantined_candidates": f"""WITH {STREAKS}, c AS (SELECT DISTINCT user_id AS endpoint, CAST(ts AS DATE) AS day FROM events),
+m AS (SELECT endpoint, CAST(day AS VARCHAR) AS day, 'h' || CAST(endpoint % 40 AS VARCHAR) AS host, ['dns-udp', 'dns-tcp', 'doh'][endpoint % 3 + 1] AS transport FROM c),
+j AS (SELECT m.*, q.*  EXCLUDE (host), endpoint % 10 > 0 AND transport <> 'doh' AND q.first_day + INTERVAL 90 DAY > {_LAST} AS out FROM m LEFT JOIN quarantine q USING (host))
+SELECT endpoint, day, host, transport, CASE WHEN endpoint % 10 = 0 THEN 'earlier' WHEN out THEN 'historical_dns_quarantine' END AS reason,
+  CASE WHEN out THEN 'historically rejected for 14 consecutive days; retry after ' || CAST(CAST(first_day + 90 AS DATE) AS VARCHAR) || '; last reasons: ' || replace(sig, '|', ', ') END AS detail, CASE WHEN endpoint % 10 = 0 THEN 'source' WHEN out THEN 'history' END AS stage FROM j""",
+    "score_reports": f"""SELECT 'bands' AS report, band AS key, CAST(accepted AS DOUBLE) AS n FROM ({_of("score_bands")}) UNION ALL SELECT 'histogram', CAST(score AS VARCHAR), n FROM ({_of("score_histogram")})
+UNION ALL SELECT 'reasons', band || ' ' || reason, n FROM ({_of("band_reasons")}) UNION ALL SELECT 'averages', band, avg_p95 FROM ({_of("band_averages")}) UNION ALL SELECT 'confidence', 'mean', mean_confidence FROM ({_of("confidence_stats")})
+UNION ALL SELECT 'caps', cap, n FROM ({_of("top_caps")})""",
+    "history_reports": f"""SELECT 'transports' AS report, transport AS key, n_keys AS n FROM ({_of("transport_breakdown")}) UNION ALL SELECT 'depth', CAST(days AS VARCHAR), n_keys FROM ({_of("history_depth")})
+UNION ALL SELECT 'capped', 'capped', capped FROM ({_of("capped_count").replace("< 29", "< 14")})""",
+    "corpus_generated": f"""WITH RECURSIVE {_GENERATED} SELECT kind, rejection_reason, count(*) AS n FROM voted WHERE rejection_reason IS NOT NULL GROUP BY ALL UNION ALL SELECT kind, 'kept', count(*) FROM voted WHERE accepted GROUP BY kind""",
+    "corpus_validation": """WITH p AS (SELECT p_partkey AS part, p_partkey % 10 AS k, CASE WHEN p_partkey % 10 = 3 THEN 'p' || (p_partkey // 40) || 'x' ELSE 'p' || p_partkey END AS id FROM part),
+e AS (SELECT part, list_filter([CASE WHEN k = 1 THEN 'unknown kind' END, CASE WHEN k = 8 THEN 'negative probe without parent_zone' END, CASE WHEN count(*) OVER (PARTITION BY id) > 1 THEN 'duplicate id' END], lambda x: x IS NOT NULL) AS l FROM p)
+SELECT part, array_to_string(l, '|') AS errors FROM e WHERE len(l) > 0""",
 }

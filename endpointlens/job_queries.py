@@ -363,3 +363,131 @@ def key_sketches(s, d):
         one = both.select("transport", F.lit(days).alias("days"), "n_keys", close.alias("close"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@query
+def normal_forms(s, d):
+    """Addresses and answers in canonical form, keys of plain endpoints built and parsed again."""
+    k = F.col("c_custkey")
+    long = F.concat(F.lit(" 2001:0DB8:0:0000:0:0:0:"), F.lower(F.hex(k % 60000)))
+    host = F.when(k % 4 == 0, F.concat(F.lit("2001:db8::x"), k.cast("string"))).otherwise(long)
+    key = t.resolver_key(v.transport_of(k % 2), F.col("c_name"), F.when(k % 3 > 0, F.col("c_nationkey").cast("int")), F.lit(None).cast("string"))
+    names = F.array(F.concat("c_name", F.lit(".Z..")), F.lit("A"), F.lit("a."))
+    rows = v.table(s, d, "customer").select(
+        "c_custkey", t.normalize_ip(host).alias("address"), key.alias("key"), t.parse_key(key).alias("p"),
+        F.array_join(t.normalize_answers(names, F.when(k % 2 == 0, "NS").otherwise("TXT")), " ").alias("answers"),
+    )
+    return rows.select("c_custkey", "address", "key", F.col("p.transport").alias("transport"), F.col("p.host").alias("host"), F.col("p.port").alias("port"), "answers")
+
+
+@query
+def discover_candidates(s, d):
+    """Hosts and page URLs as two sources: what is kept, and why the rest isn't."""
+    hosts = v.host_candidates(s, d).withColumn("source", F.lit("customers"))
+    urls = v.url_candidates(s, d).withColumns({"source": F.lit("pages"), "transport": F.lit("doh")})
+    kept, out = pipelines.discover([(hosts, None), (urls, None)])
+    columns = ["source", "transport", "host", "port", "endpoint_url"]
+    return kept.select(*columns, F.lit(None).cast("string").alias("reason")).unionByName(out.select(*columns, "reason"))
+
+
+@query
+def validate_candidates(s, d):
+    """Suppliers as candidates: asked in two rounds, some answers lost, wrong or spoofed, then scored."""
+    k = F.col("s_suppkey")
+    candidates = v.table(s, d, "supplier").select(k.alias("candidate_id"), F.lit("dns-udp").alias("transport"))
+    right = F.array(F.when(F.col("rdtype") == "NS", "right.").otherwise("right"))
+    plan = evaluate.probe_plan(candidates, corpus.builtin_corpus(s), 2).withColumns(
+        {"probe_id": F.concat_ws("-", "candidate_id", "seq"), "expected_mode": F.lit("exact_rrset"), "expected_answers": right}
+    )
+    c, nx = F.col("candidate_id"), F.col("kind") == "nxdomain"
+    rcode = F.when(nx & (c % 7 != 1), "NXDOMAIN").otherwise("NOERROR")
+    answers = F.when(~nx & (c % 5 == 2) & (F.col("seq") % 8 == 0), F.array(F.lit("wrong"))).otherwise(F.col("expected_answers"))
+    seen = plan.where((c + F.col("seq")) % (c % 9 + 2) != 0).select("probe_id", rcode.alias("rcode"), answers.alias("answers"), F.lit(None).cast("string").alias("error"), ((c % 90) * 10 + F.col("seq")).cast("double").alias("latency_ms"))
+    out = pipelines.validate(candidates, plan, seen)
+    return out.select("candidate_id", "score", "status", "correctness_score", "availability_score", "performance_score", joined("reasons"))
+
+
+def _materialized(s, d) -> tuple[str, DataFrame]:
+    path, r = new_folder(s, "materialized"), v.scored(s, d)
+    out = v.host_candidates(s, d)
+    pipelines.materialize(checkpointed(r), dedup.normalize_hosts(out)[1], path, max_bytes=100_000)
+    return path, r
+
+
+@query
+def materialized_formats(s, d):
+    """Every format of the results, written and counted: results by status, lines of lists, filtered rows."""
+    path, _ = _materialized(s, d)
+    results = readers.read_results(s, f"{path}/results", lines=True).groupBy("status").agg(F.count("*").alias("n"), F.sum("score").alias("total"))
+    out = results.select(F.concat(F.lit("results "), "status").alias("format"), "n", "total")
+    for kind in ("text", "urls", "backends", "forwarders"):
+        out = out.unionByName(s.read.text(f"{path}/{kind}").agg(F.lit(kind).alias("format"), F.count("*").alias("n"), F.lit(None).cast("long").alias("total")))
+    filtered = readers.read_filtered(s, f"{path}/filtered", lines=True).groupBy("reason").agg(F.count("*").alias("n"))
+    return out.unionByName(filtered.select(F.concat(F.lit("filtered "), "reason").alias("format"), "n", F.lit(None).cast("long").alias("total")))
+
+
+@query
+def parts_round_trip(s, d):
+    """Results in parts beside each other, read as one."""
+    path, r = new_folder(s, "parts"), v.scored(s, d)
+    lines = export.json_lines(r.withColumn("part", F.col("endpoint") % 3)).withColumn("part", F.get_json_object("value", "$.part"))
+    lines = checkpointed(lines)
+    for k in range(3):
+        lines.where(F.col("part") == str(k)).select("value").write.text(f"{path}/results.part-{k}.json")
+    return readers.read_results_parts(s, f"{path}/results.json", lines=True).groupBy("host", "status").agg(F.count("*").alias("n"), F.sum("score").alias("total"))
+
+
+@query
+def quarantined_candidates(s, d):
+    """Candidates of hosts in quarantine join those that were filtered before."""
+    state = history.quarantine_fold(history.host_day(v.daily(s, d)), streak=2)
+    rows = v.scored(s, d).select("endpoint", "day", "host", "transport")
+    before = rows.where("endpoint % 10 = 0").select("*", F.lit("earlier").alias("reason"), F.lit(None).cast("string").alias("detail"), F.lit("source").alias("stage"))
+    kept, out = pipelines.apply_quarantine(rows.where("endpoint % 10 > 0"), before, state, v.last_day(s, d))
+    columns = ["endpoint", text_of("day"), "host", "transport"]
+    return kept.select(*columns).unionByName(out.select(*columns, "reason", "detail", "stage"), allowMissingColumns=True)
+
+
+@query
+def score_reports(s, d):
+    """All reports on scores as one table."""
+    r = pipelines.score_report(checkpointed(v.scored(s, d)))
+    one = lambda name, key, n: r[name].select(F.lit(name).alias("report"), key.cast("string").alias("key"), n.cast("double").alias("n"))
+    rows = [
+        one("bands", F.col("band"), F.col("accepted")), one("histogram", F.col("score"), F.col("n")), one("reasons", F.concat_ws(" ", "band", "reason"), F.col("n")),
+        one("averages", F.col("band"), F.round("avg_p95", 6)), one("confidence", F.lit("mean"), F.round("mean_confidence", 6)), one("caps", F.col("cap"), F.col("n")),
+    ]
+    return dedup.union_all(rows)
+
+
+@query
+def history_reports(s, d):
+    """All reports on the history as one table."""
+    daily, last = v.daily(s, d), v.last_day(s, d)
+    r = pipelines.history_report(daily, history.stability_metrics(daily, last), last)
+    one = lambda name, key, n: r[name].select(F.lit(name).alias("report"), key.cast("string").alias("key"), n.alias("n"))
+    return dedup.union_all([one("transports", F.col("transport"), F.col("n_keys")), one("depth", F.col("days"), F.col("n_keys")), one("capped", F.lit("capped"), F.col("capped"))])
+
+
+@query
+def corpus_generated(s, d):
+    """The generation job from seeds and answers to its report."""
+    roots, delegations, zones = _seeds(s, d)
+    made = checkpointed(corpus.exact_probes(roots, delegations).unionByName(corpus.consensus_probes(delegations), allowMissingColumns=True).unionByName(corpus.negative_probes(zones), allowMissingColumns=True))
+    plan = corpus.baseline_plan(made.select("id", "kind", "qname", "qname_template"), ["a", "b"])
+    seen = _answered(plan.join(made.select("id", "expected_answers", "expected_nameservers"), "id"))
+    kept, report = pipelines.generate_corpus(roots, delegations, zones, seen)
+    by_kind = kept.groupBy("kind").agg(F.count("*").alias("n")).select("kind", F.lit("kept").alias("rejection_reason"), "n")
+    return report.where("rejection_reason is not null").unionByName(by_kind)
+
+
+@query
+def corpus_validation(s, d):
+    """Probes of a corpus that break a rule, after the gates of least probes a kind."""
+    k = F.col("p_partkey") % 10
+    p = v.table(s, d, "part").select(
+        F.concat(F.lit("p"), F.floor(F.col("p_partkey") / F.when(k == 3, 40).otherwise(1)).cast("string"), F.when(k == 3, "x").otherwise("")).alias("id"), F.col("p_partkey").alias("part"),
+        F.when(k == 1, "odd").when(k < 5, "positive_exact").when(k < 7, "positive_consensus").otherwise("negative_generated").alias("kind"),
+        F.when(k < 5, "exact_rrset").when(k < 7, "consensus_match").otherwise("nxdomain").alias("expected_mode"), F.when(k != 8, "z.").alias("parent_zone"),
+    )
+    return pipelines.validate_corpus(p).select("part", joined("errors"))

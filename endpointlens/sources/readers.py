@@ -148,10 +148,10 @@ def read_results(spark: SparkSession, path: str | list[str], lines: bool = False
     return df.withColumns({f"{c}_score": part(c) for c in ("correctness", "availability", "performance", "history")})
 
 
-def read_results_parts(spark: SparkSession, path: str) -> DataFrame:
+def read_results_parts(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """The file itself, or where it is missing its parts `stem.part-*` with the same ending; none is an error."""
     stem, dot, ending = path.rpartition(".")
-    return read_results(spark, path if history_store.paths(spark, path) else history_store.paths(spark, f"{stem}.part-*{dot}{ending}") or path)
+    return read_results(spark, path if history_store.paths(spark, path) else history_store.paths(spark, f"{stem}.part-*{dot}{ending}") or path, lines)
 
 
 #: The reader of each source type.
