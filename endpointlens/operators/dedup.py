@@ -14,14 +14,15 @@ from .ranks import same
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
     """(first row of each key, the later rows); the order tells the rows of a key apart. Null keys are keys.
 
-    The first place of a key is an aggregate with partial results, so a key that most rows share is no hot task; rows
-    find it by a join whose large partitions Spark splits.
+    First rows are an aggregate with partial results, so a key that most rows share is no hot task; later rows are
+    found by a join with the first places, whose large partitions Spark splits.
     """
+    whole = F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_row")
+    kept = df.groupBy(*[F.col(k).alias(f"_of_{n}") for n, k in enumerate(keys)]).agg(whole).select("_row.*")
     places = df.groupBy(*[F.col(k).alias(f"_of_{n}") for n, k in enumerate(keys)]).agg(F.min(F.struct(*order)).alias("_first"))
     met = df.join(places, same([F.col(k) for k in keys], [F.col(f"_of_{n}") for n in range(len(keys))]))
-    dropped = ["_first", *[f"_of_{n}" for n in range(len(keys))]]
-    first = F.struct(*order).eqNullSafe(F.col("_first"))
-    return met.where(first).drop(*dropped), met.where(~first).drop(*dropped)
+    later = met.where(~F.struct(*order).eqNullSafe(F.col("_first"))).drop("_first", *[f"_of_{n}" for n in range(len(keys))])
+    return kept, later
 
 
 def rejected(df: DataFrame, reason: str, detail: Column, stage: str = "normalize") -> DataFrame:

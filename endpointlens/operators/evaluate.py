@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import error_text, normalize_answers, probe_name, render_qname
-from .ranks import ahead, slices
+from ..plans.lineage import checkpointed
+from .ranks import ahead, largest, slices
 
 
 def probe_plan(candidates: DataFrame, corpus: DataFrame, rounds: int = 3) -> DataFrame:
@@ -136,7 +137,7 @@ def vote_negative(results: DataFrame, keys: list[str], check: str = "check_no",
 
 
 def fifo_match(
-    plan: DataFrame, responses: DataFrame, resolver: list[str], question: list[str], plan_order: str, response_order: str, width: int = 100_000
+    plan: DataFrame, responses: DataFrame, resolver: list[str], question: list[str], plan_order: str, response_order: str, width: int = 100_000, bound: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(probes with their response, responses left over).
 
@@ -158,12 +159,14 @@ def fifo_match(
         p, r = (row, none(responses, theirs)) if side == 0 else (none(plan, [*resolver, *mine]), row)
         return df.select(*keys, F.lit(side).alias("_side"), F.col(order).alias("_order"), p.alias("_p"), r.alias("_r"))
 
-    def met(both: DataFrame, keys: list[str]) -> DataFrame:
-        ranked = ahead(both, [*keys, "_side"], ["_order"], slices(F.col("_order"), width))
+    def met(both: DataFrame, keys: list[str], most: int | None = None) -> DataFrame:
+        ranked = ahead(both, [*keys, "_side"], ["_order"], slices(F.col("_order"), width), bound=bound, most=most)
         return ranked.groupBy(*keys, "before").agg(F.first("_p", ignorenulls=True).alias("_p"), F.first("_r", ignorenulls=True).alias("_r")).drop("before")
 
     keys = [*resolver, *question]
-    first = met(events(plan, keys, 0, plan_order, [*resolver, *mine]).unionByName(events(responses.where(named), keys, 1, response_order, theirs)), keys)
+    most = max(largest(plan, keys), largest(responses.where(named), keys))
+    first = met(events(plan, keys, 0, plan_order, [*resolver, *mine]).unionByName(events(responses.where(named), keys, 1, response_order, theirs)), keys, most)
+    first = checkpointed(first)  # read three times
     waiting = first.where("_r is null").select(*question, "_p.*")
     unnamed = responses.where(~named)
     second = met(events(waiting, question, 0, plan_order, [*resolver, *mine]).unionByName(events(unnamed, question, 1, response_order, theirs)), question)
@@ -172,8 +175,8 @@ def fifo_match(
     return shown(first.where("_p is not null and _r is not null")).unionByName(shown(second.where("_p is not null"))), over(first, True).unionByName(over(second, False))
 
 
-def route_batches(df: DataFrame, max_queries: int, width: int = 100_000) -> DataFrame:
+def route_batches(df: DataFrame, max_queries: int, width: int = 100_000, bound: int | None = None) -> DataFrame:
     """Endpoints on udp port 53 with their batch number within each record type, in order of seq, a number."""
     batched = df.where((F.col("transport") == "dns-udp") & (F.col("port") == 53))
-    placed = ahead(batched, ["rdtype"], ["seq"], slices(F.col("seq"), width))
+    placed = ahead(batched, ["rdtype"], ["seq"], slices(F.col("seq"), width), bound=bound)
     return placed.withColumn("batch", F.floor(F.col("before") / max_queries).cast("int")).drop("before")

@@ -15,13 +15,14 @@ def plans(df):
     return df._jdf.queryExecution().toString()
 
 
-def test_quantiles_of_one_endpoint_with_most_rows(spark):
+@pytest.mark.parametrize("bound", [0, 10**6])
+def test_quantiles_of_one_endpoint_with_most_rows(spark, bound):
     rng = random.Random(3)
     rows = [("hot", k, True, rng.choice([12.5, round(rng.expovariate(0.01), 3), -1.0])) for k in range(6000)]
     rows += [(f"e{k % 40}", k, rng.random() < 0.7, rng.choice([None, round(rng.random() * 900, 2)])) for k in range(500)]
     rows += [("none", 1, False, 5.0), ("nan", 1, True, float("nan")), ("nan", 2, True, 1.0), ("nan", 3, True, 2.0), (None, 1, True, 7.0)]
     df = spark.createDataFrame(rows, "endpoint string, seq int, ok boolean, latency_ms double").repartition(5)
-    got = {r["endpoint"]: r for r in metrics.latency_stats(df, ["endpoint"]).collect()}
+    got = {r["endpoint"]: r for r in metrics.latency_stats(df, ["endpoint"], bound=bound).collect()}
     good = defaultdict(list)
     for e, _, ok, x in rows:
         good[e] += [x] if ok and x is not None else []
@@ -39,7 +40,7 @@ def test_quantiles_of_one_endpoint_with_most_rows(spark):
         p95 = values[min(n * 95 // 100, n - 1)]
         assert (got[e]["p50_latency_ms"], got[e]["p95_latency_ms"], got[e]["jitter_ms"]) == (p50, p95, max(0.0, p95 - p50))
     assert got["nan"]["p50_latency_ms"] == 2.0
-    assert "collect_list" not in plans(metrics.latency_stats(df, ["endpoint"]))
+    assert "collect_list" not in plans(metrics.latency_stats(df, ["endpoint"], bound=bound))
 
 
 def test_quantiles_of_nothing(spark):
@@ -90,27 +91,29 @@ def test_written_parts_keep_to_their_bytes(spark, tmp_path):
     assert seen == 700
 
 
-def test_sums_ahead(spark):
+@pytest.mark.parametrize("bound", [0, 10**6])
+def test_sums_ahead(spark, bound):
     rng = random.Random(8)
     rows = [(rng.choice(["hot"] * 9 + ["b", None]), rng.choice([1, None]), k, rng.randint(0, 5)) for k in range(2000)]
     df = spark.createDataFrame(rows, "k string, j int, pos int, n int").repartition(4)
-    got = {r["pos"]: r["before"] for r in ahead(df, ["k", "j"], ["pos"], slices(F.col("pos"), 64), F.col("n")).collect()}
+    got = {r["pos"]: r["before"] for r in ahead(df, ["k", "j"], ["pos"], slices(F.col("pos"), 64), F.col("n"), bound).collect()}
     sums, want = defaultdict(int), {}
     for k, j, pos, n in rows:
         want[pos] = sums[k, j]
         sums[k, j] += n
     assert got == want
-    numbered = ahead(df, ["k", "j"], ["pos"], slices(F.col("pos"), 64)).groupBy("k", "j").agg(F.max("before").alias("m"), F.count("*").alias("n")).collect()
+    numbered = ahead(df, ["k", "j"], ["pos"], slices(F.col("pos"), 64), bound=bound).groupBy("k", "j").agg(F.max("before").alias("m"), F.count("*").alias("n")).collect()
     assert all(r["m"] == r["n"] - 1 for r in numbered)
 
 
-def test_first_in_first_out_of_one_hot_question(spark):
+@pytest.mark.parametrize("bound", [0, 10**6])
+def test_first_in_first_out_of_one_hot_question(spark, bound):
     rng = random.Random(5)
     probes = [(rng.choice(["r1"] * 8 + ["r2", "r3"]), rng.choice([0] * 9 + [1]), k) for k in range(1500)]
     answers = [(rng.choice(["r1"] * 5 + ["r2", "r4", None]), rng.choice([0] * 9 + [1, None]), k, k * 10) for k in range(1600)]
     p = spark.createDataFrame(probes, "resolver string, question int, probe int")
     r = spark.createDataFrame(answers, "resolver string, question int, response int, ms int")
-    matched, left = evaluate.fifo_match(p, r, ["resolver"], ["question"], "probe", "response", width=100)
+    matched, left = evaluate.fifo_match(p, r, ["resolver"], ["question"], "probe", "response", width=100, bound=bound)
     pending, over = defaultdict(list), []
     for resolver, question, k in sorted(probes, key=lambda x: x[2]):
         pending[resolver, question].append(k)
