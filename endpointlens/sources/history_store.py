@@ -70,7 +70,8 @@ def write_table(df: DataFrame, base: str, table: str, job: str) -> dict[str, str
     if "run_date" not in shaped.columns:
         shaped.write.parquet(f"{base}/{target}")
         return {"": target}
-    shaped.withColumn("_day", F.col("run_date")).write.partitionBy("_day").parquet(f"{base}/{target}")
+    # the rows of a day go to few files: large days are split, small ones share a task
+    shaped.withColumn("_day", F.col("run_date")).hint("rebalance", "_day").write.partitionBy("_day").parquet(f"{base}/{target}")
     days = [p.rsplit("=", 1)[1] for p in paths(spark, f"{base}/{target}/_day=*")]
     return {day: f"{target}/_day={day}" for day in days}
 
