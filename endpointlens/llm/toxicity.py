@@ -30,11 +30,11 @@ from collections import Counter, deque
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import forget, settled
+from .common import forget, settled, written
 from .quality import fit_curve, labelled_sample
 
 WORDS = re.compile(r"[^\W\d_]+")
@@ -330,19 +330,35 @@ class ToxicityModel:
     def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
         if not self.terms:
             return docs.withColumn("score", F.lit(self.intercept))
-        logit = F.lit(self.slope) * self.margins(docs.sparkSession)(F.col(text)) + F.lit(self.intercept)
-        return docs.withColumn("score", self.floor + (1 - self.floor) / (1 + F.exp(-logit)))
+        return docs.withColumn("score", self.probability(self.margins(docs.sparkSession)(F.col(text))))
+
+    def probability(self, margin: Column) -> Column:
+        return self.floor + (1 - self.floor) / (1 + F.exp(-(F.lit(self.slope) * margin + F.lit(self.intercept))))
+
+    def of_places(self, votes: DataFrame) -> DataFrame:
+        """The documents of a table of votes with their score, from the places of their terms."""
+        sent = votes.sparkSession.sparkContext.broadcast(self.weights)
+
+        @F.pandas_udf("double")
+        def margin(places: pd.Series) -> pd.Series:
+            weights = sent.value
+            return pd.Series([float(weights[np.asarray(p, np.int64)].sum() + weights[-1]) for p in places], dtype="float64")
+
+        return votes.select("row.*", self.probability(margin("places")).alias("score"))
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
     sample: int = 4000, least: float = 2, evidence: float = 9.0, clear: float = 12.0, seed: int = 5,
-) -> ToxicityModel:
-    """Learn from the labelled rows given (doc_id, label in 0/1) and the texts of all docs."""
+) -> tuple[ToxicityModel, DataFrame | None]:
+    """Learn from the labelled rows given (doc_id, label in 0/1) and the texts of all docs.
+
+    Returns the model and the written votes of all docs (row: their other columns, places, pattern), None without terms.
+    """
     counts = {r["y"]: r["n"] for r in labels.groupBy(F.col(label).cast("int").alias("y")).agg(F.count("*").alias("n")).where("y in (0, 1)").collect()}
     total = sum(counts.values())
     if len(counts) < 2:
-        return ToxicityModel([], np.zeros(1), 0.0, counts.get(1, 0) / total if total else 0.0)
+        return ToxicityModel([], np.zeros(1), 0.0, counts.get(1, 0) / total if total else 0.0), None
     share = counts[1] / total
     chosen = F.broadcast(labelled_sample(labels, label, doc_id, sample, seed))
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
@@ -350,7 +366,7 @@ def fit(
     mined = mine_terms(rows.where("part < 7"), least, evidence)
     found = mined["term"].tolist()
     if not found:
-        return ToxicityModel([], np.zeros(1), 0.0, share)
+        return ToxicityModel([], np.zeros(1), 0.0, share), None
     lists = [x for x in lexicons(mined, clear) if x]
     sent = docs.sparkSession.sparkContext.broadcast((found, lists))
 
@@ -373,7 +389,9 @@ def fit(
     voters = len(lists) + len(PATTERNS)
     votes_of = lambda patterns: (np.asarray(patterns, np.int64)[:, None] >> np.arange(voters) & 1).astype(float)
     voted = lambda df, *more: df.select(vote("_text").alias("v"), *more).select("v.places", "v.pattern", *more)
-    facts = settled(voted(texts).groupBy("places", "pattern").agg(F.count("*").alias("n")), "votes")
+    others = F.struct(*[F.col(c) for c in docs.columns if c not in (text, "score")]).alias("row")
+    cast = written(voted(docs.select(F.col(text).alias("_text"), others), "row"), "votes")
+    facts = settled(cast.groupBy("places", "pattern").agg(F.count("*").alias("n")), "facts")
     seen = facts.groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").toPandas()  # at most 2 ** voters rows
     known = voted(rows, "y", "part").toPandas()  # at most 2 * sample ids
     # first rates from the labelled rows, as if voters were independent
@@ -390,11 +408,15 @@ def fit(
     margin = np.array([weights[np.asarray(p, np.int64)].sum() + weights[-1] for p in rest["places"]])
     y = rest["y"].to_numpy(float)
     if not len(y) or y.min() == y.max():
-        return ToxicityModel(found, weights, 1.0, 0.0)
+        return ToxicityModel(found, weights, 1.0, 0.0), cast
     weight = np.where(y == 1, share / y.sum(), (1 - share) / (1 - y).sum()) * len(y)
-    return ToxicityModel(found, weights, *calibrated(margin, y, weight))
+    return ToxicityModel(found, weights, *calibrated(margin, y, weight)), cast
 
 
 def judge(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """docs with `score`, the probability of label 1, learned from `labels` and from the votes on docs."""
-    return fit(docs, labels, label, doc_id, text, **options).score(docs, text)
+    """All columns of docs but the text, and `score`, the probability of label 1, learned from `labels` and from the votes on docs.
+
+    Texts are gone through once: the places of their terms are written with the votes, and scored from there.
+    """
+    model, cast = fit(docs, labels, label, doc_id, text, **options)
+    return model.of_places(cast) if cast else model.score(docs, text).drop(text)
