@@ -83,18 +83,47 @@ def mixed(x: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def weighted_fingerprints(hashes: np.ndarray, draws: int) -> list[int]:
-    """A fingerprint a draw: the shingles vote with weight 1 / u, u uniform by shingle and draw."""
-    out = []
-    for draw in range(draws):
-        votes = np.zeros(64)
-        for at in range(0, len(hashes), 1 << 12):
-            x = mixed(hashes[at : at + (1 << 12)], 2 * draw)
-            bits = np.unpackbits(mixed(x, 2 * draw + 1).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            weight = 1 / ((x >> np.uint64(11)).astype(np.float64) / 2**53 + 2.0**-54)
-            votes += 2 * (weight @ bits.astype(np.float64)) - weight.sum()
-        out.append(int(np.packbits(votes > 0, bitorder="little").view("<i8")[0]))
-    return out
+class WordHashes(dict):
+    """XXH64 of each word, kept until there are `most` of them."""
+
+    def __init__(self, seed: int, most: int = 300_000):
+        super().__init__()
+        self.seed, self.most = seed, most
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        made = self[word] = xxhash.xxh64_intdigest(word, self.seed)
+        return made
+
+
+def distinct_shingles(text: str | None, words: int, known: WordHashes) -> np.ndarray:
+    """A 64-bit number of each distinct shingle, sorted: the hashes of its words times an odd factor for each place."""
+    tokens = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    if len(tokens) <= words:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(tokens), known.seed)] if tokens else [], np.uint64)
+    hashes = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
+    n = len(tokens) - words + 1
+    total = np.zeros(n, np.uint64)
+    for k, factor in enumerate(mixed(np.arange(words, dtype=np.uint64), 1) | np.uint64(1)):
+        total += hashes[k : k + n] * factor
+    return np.unique(mixed(total, 0))
+
+
+def votes_of_draws(hashes: np.ndarray, draws: int, block: int = 400) -> np.ndarray:
+    """The plain fingerprint, then one a draw: the shingles vote with weight 1 / u, u uniform by shingle and draw.
+
+    All votes of a block are one product of weights and bits, small enough for one thread and in bounded memory.
+    """
+    factors = mixed(np.arange(draws, dtype=np.uint64), 2)[:, None] | np.uint64(1)
+    votes = np.zeros((draws + 1, 64))
+    for at in range(0, len(hashes), block):
+        part = hashes[at : at + block]
+        bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.float32)
+        weight = np.ones((draws + 1, len(part)), np.float32)
+        weight[1:] = np.float32(1 << 24) / (((part * factors) >> np.uint64(40)).astype(np.float32) + np.float32(0.5))
+        votes += 2 * (weight @ bits).astype(np.float64) - weight.sum(1, dtype=np.float64)[:, None]
+    return np.packbits(votes > 0, axis=1, bitorder="little").view("<i8")[:, 0]
 
 
 def embed(fps: np.ndarray, width: int) -> np.ndarray:
@@ -133,19 +162,18 @@ def spread(points: DataFrame, width: int) -> DataFrame:
 def hamming_links(points: DataFrame, crowd: int = 32) -> DataFrame:
     """(draw, a, b): the pairs of distinct fingerprints of a draw that differ in 2 or fewer bits."""
     found = []
+    close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)
     for width in (4, 2, 1):
         cells = written(spread(points, width), "cells")
-        few = cells
+        met = settled(cells.groupBy("draw", "cell").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "met-cells")
+        few = met.where(F.col("n") <= crowd) if width > 1 else met
+        # a cell of two holds its smallest and its largest member, so only cells of three or more are joined
+        more = settled(cells.join(few.where("n > 2").select("draw", "cell"), ["draw", "cell"], "left_semi"), "shared-cells")
+        pairs = more.withColumnRenamed("fp", "a").join(more.withColumnRenamed("fp", "b"), ["draw", "cell"]).select("draw", "a", "b").where(close)
+        found.append(settled(pairs.unionByName(few.where("n = 2").select("draw", "a", "b").where(close)).distinct(), "grid-links"))
         if width > 1:
-            full = settled(cells.groupBy("draw", "cell").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("draw", "cell"), "full-cells")
-            few = cells.join(full, ["draw", "cell"], "left_anti")
-        close = (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= 2)
-        same = (F.col("a.draw") == F.col("b.draw")) & (F.col("a.cell") == F.col("b.cell"))
-        pairs = few.alias("a").join(few.alias("b"), same & close).select("a.draw", F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct()
-        found.append(settled(pairs, "grid-links"))
-        if width > 1:
-            points = settled(cells.join(full, ["draw", "cell"], "left_semi").select("draw", "fp").distinct(), "crowded")
-        forget(cells)
+            points = settled(cells.join(met.where(F.col("n") > crowd).select("draw", "cell"), ["draw", "cell"], "left_semi").select("draw", "fp").distinct(), "crowded")
+        forget(cells, met, more)
         if width > 1 and points.isEmpty():
             break
     return reduce(DataFrame.unionByName, found).distinct()
@@ -189,14 +217,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def marks(docs: DataFrame, words: int, draws: int, seed: int) -> DataFrame:
     """docs (row, text) as (row, same, plain, fps): a digest of the words, the plain and the weighted fingerprints."""
 
+    known = WordHashes(seed)
+
     @F.pandas_udf("struct<same:binary,plain:long,fps:array<long>>")
     def mark(texts: pd.Series) -> pd.DataFrame:
         out = {"same": [], "plain": [], "fps": []}
         for t in texts:
-            hashes = np.unique(shingle_hashes(t, words, seed))
+            made = votes_of_draws(distinct_shingles(t, words, known), draws)
             out["same"].append(xxhash.xxh3_128_digest(b" ".join(t.encode("utf-8", "surrogatepass").lower().split()) if t else b""))
-            out["plain"].append(fingerprint(hashes))
-            out["fps"].append(weighted_fingerprints(hashes, draws))
+            out["plain"].append(int(made[0]))
+            out["fps"].append(made[1:])
         return pd.DataFrame(out)
 
     return docs.select("row", mark("text").alias("m")).select("row", "m.same", "m.plain", "m.fps")
@@ -239,9 +269,11 @@ def similar_documents(docs: DataFrame, row: str = "row", text: str = "text", wor
 def alike(docs: DataFrame, pairs: DataFrame, words: int, similarity: float, seed: int) -> DataFrame:
     """The pairs (a, b) of rows whose shingle sets have a Jaccard similarity of `similarity` or more."""
 
+    known = WordHashes(seed)
+
     @F.pandas_udf("array<long>")
     def shingles(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(shingle_hashes(t, words, seed)).view(np.int64) for t in texts])
+        return pd.Series([distinct_shingles(t, words, known).view(np.int64) for t in texts])
 
     asked = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
     sets = written(docs.join(asked, "row", "left_semi").select("row", shingles("text").alias("s")), "shingle-sets")
