@@ -22,8 +22,10 @@ def _shrunk(name: str, level: str, parent: str, low: float = 2.0, high: float =
 
 
 def _levels(host: str) -> str:
-    labels = f"string_split(regexp_replace({host}, ':[0-9]*$', ''), '.')"
-    return f"""{labels} AS ls, CASE WHEN len({labels}) >= 3 AND {labels}[-2] IN ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org') AND length({labels}[-1]) = 2 THEN 2 ELSE 1 END AS keep"""
+    bare = rf"regexp_replace({host}, '(?s)^.*@|\.?:[0-9]*\z|\.\z', '', 'g')"
+    labels = f"string_split({bare}, '.')"
+    return rf"""{labels} AS ls, CASE WHEN regexp_full_match({bare}, '[0-9]{{1,3}}(\.[0-9]{{1,3}}){{3}}') THEN 4
+  WHEN len({labels}) >= 3 AND {labels}[-2] IN ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org') AND length({labels}[-1]) = 2 THEN 2 ELSE 1 END AS keep"""
 
 
 def _named(source: str, name: str) -> str:
@@ -36,7 +38,7 @@ parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}',
 rules AS (SELECT verdict, text, split_part(text, '/', 1) AS h, substr(text, strpos(text, '/')) AS p
   FROM (VALUES ('allow', 'com/'), ('block', 'example.com/en/'), ('allow', 'www.example.com/en/'), ('block', 'net/es/'), ('block', 'net/fr/')) t(verdict, text)),
 fits AS (SELECT page_id, verdict, text FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(text) DESC, text) = 1),
-outcomes AS (SELECT host, CAST(1 - quality AS DOUBLE) AS bad FROM parts JOIN labels ON labels.doc_id = TRY_CAST(regexp_extract(path, '/([0-9]{{1,18}})', 1) AS BIGINT) WHERE quality IS NOT NULL),
+outcomes AS (SELECT host, CAST(1 - quality AS DOUBLE) AS bad FROM parts JOIN labels ON labels.doc_id = TRY_CAST(regexp_extract(path, '/([0-9]{{1,18}})/?\\z', 1) AS BIGINT) WHERE quality IS NOT NULL),
 counted AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, sum(bad) AS b FROM outcomes GROUP BY host),
 {_named("counted", "hosts")},
 domains AS (SELECT suffix, domain, sum(n) AS n, sum(b) AS b FROM hosts GROUP BY suffix, domain),

@@ -66,7 +66,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """(host, bad): a page's path ends in the id of the document it shows; that document's quality label is its outcome."""
-    number = F.regexp_extract(url_path(F.col("url")), r"/([0-9]{1,18})", 1)
+    number = F.regexp_extract(url_path(F.col("url")), r"/([0-9]{1,18})/?\z", 1)
     numbered = pages.select(url_host(F.col("url")).alias("host"), number.try_cast("long").alias("doc_id"))
     return numbered.join(labels.select("doc_id", "quality"), "doc_id").select("host", (1 - F.col("quality")).alias("bad"))
 

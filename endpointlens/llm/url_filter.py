@@ -8,6 +8,8 @@ blocked on evidence. Everything is built-in column functions, grouped counts and
 Defined results: a null url, or one without "://", has an empty host and path, fits no rule and is allowed. Hosts
 without labelled pages take the bound of their domain or suffix; without either they are allowed. Outcomes that are
 null are ignored, so empty outcomes allow every page that no rule blocks. Repeated pages are judged row by row.
+Columns of the pages come back unchanged whatever their names, but for those named like the added ones, which are
+replaced. Domain and suffix leave out user info, a port and a closing dot; an IPv4 host is its own domain and suffix.
 """
 
 from __future__ import annotations
@@ -61,11 +63,12 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column
 
 
 def with_levels(df: DataFrame) -> DataFrame:
-    """Adds `_domain` and `_suffix` of the column `_host` (a port is no part of either)."""
-    labels = F.split(F.regexp_replace("_host", r":\d*$", ""), r"\.")
+    """Adds `_domain` and `_suffix` of the column `_host`."""
+    bare = F.regexp_replace("_host", r"(?s)^.*@|\.?:[0-9]*\z|\.\z", "")
+    labels = F.split(bare, r"\.")
     two = F.size(labels) >= 3
     deep = two & F.element_at(labels, -2).isin(*REGISTRY_LABELS) & (F.length(F.element_at(labels, -1)) == 2)
-    keep = F.when(deep, 2).otherwise(1)
+    keep = F.when(bare.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}\z"), 4).when(deep, 2).otherwise(1)
     suffix = F.array_join(F.slice(labels, -keep, keep), ".")
     return df.withColumns(
         {
@@ -135,9 +138,10 @@ def filter_urls(
     pages keep their columns; columns named like the added ones are replaced.
     """
     suffixes, domains, hosts = host_reputation(outcomes, z)
-    judged = pages.drop("host", "path", "rule", "verdict", "bad_lower").withColumns(
-        {"_host": url_host(F.col(url)), "path": url_path(F.col(url))}
-    )
+    added = ("host", "path", "rule", "verdict", "bad_lower")
+    kept = [c for c in pages.columns if c not in added]
+    # the pages' own columns travel in one struct, so that no name of theirs meets a name used here
+    judged = pages.select(F.struct(*[pages[f"`{c}`"] for c in kept]).alias("page"), url_host(F.col(url)).alias("_host"), url_path(F.col(url)).alias("path"))
     # one lookup row per distinct host: the joins below it see each host once, whatever its share of the pages
     distinct = with_levels(judged.groupBy("_host").agg(F.count("*").alias("_n")))
     lookup = (
@@ -150,7 +154,7 @@ def filter_urls(
     found = found.withColumn("_fit", rule_for(F.col("_host"), F.col("path"), list(rules)))
     own = F.when(F.col("bad_lower") > limit, "block").otherwise("allow")
     return found.select(
-        *[c for c in found.columns if c in pages.columns and c not in ("host", "path", "rule", "verdict", "bad_lower")],
+        *[F.col("page").getField(c).alias(c) for c in kept],
         F.col("_host").alias("host"), "path", F.col("_fit.rule").alias("rule"),
         F.coalesce(F.col("_fit.verdict"), own).alias("verdict"), "bad_lower",
     )

@@ -1,5 +1,5 @@
-from endpointlens.llm.queries import URL_RULES
-from endpointlens.llm.url_filter import filter_urls, host_reputation, url_host, url_path
+from endpointlens.llm.queries import URL_RULES, page_outcomes
+from endpointlens.llm.url_filter import filter_urls, host_reputation, url_host, url_path, with_levels
 from pyspark.sql import functions as F
 
 
@@ -51,3 +51,20 @@ def test_reputation_needs_evidence(spark):
     df = spark.createDataFrame([(0, "http://bad.org/1"), (1, "http://once.org/"), (2, "http://m.bad.org/9"), (3, "http://good.org"), (4, "http://nowhere.xyz/"), (0, "http://bad.org/1")], "page_id long, url string")
     verdicts = sorted((r["page_id"], r["verdict"]) for r in filter_urls(df, outcomes).collect())
     assert verdicts == [(0, "block"), (0, "block"), (1, "allow"), (2, "block"), (3, "allow"), (4, "allow")]
+
+
+def test_names_and_levels_of_hosts(spark):
+    df = spark.createDataFrame([(1, "http://bad.org/1", "mine", 2, 3, "p", "r")], "page_id long, url string, _host string, _fit int, _n int, page string, rule string")
+    outcomes = spark.createDataFrame([("bad.org", 1)] * 40, "host string, bad int")
+    row = filter_urls(df, outcomes).first()
+    assert (row["_host"], row["_fit"], row["_n"], row["page"], row["rule"], row["verdict"]) == ("mine", 2, 3, "p", None, "block")
+    hosts = {"10.0.0.1:80": ("10.0.0.1", "10.0.0.1"), "u@h.com:80": ("h.com", "com"), "a.h.com.": ("h.com", "com"), "x.a.co.uk": ("a.co.uk", "co.uk"), "": ("", ""), "one": ("one", "one"), "a@b@c.d.net.:1": ("d.net", "net")}
+    got = {r["_host"]: (r["_domain"], r["_suffix"]) for r in with_levels(spark.createDataFrame([(h,) for h in hosts], "_host string")).collect()}
+    assert got == hosts
+
+
+def test_outcomes_take_the_id_at_the_end_of_the_path(spark):
+    urls = ["http://a.org/en/7", "http://a.org/en/7/", "http://a.org/7/about", "http://a.org/en/x7", "http://a.org/3/7?x=1", "http://a.org/1234567890123456789", None]
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    labels = spark.createDataFrame([(7, 0), (3, 1)], "doc_id long, quality int")
+    assert [(r["host"], r["bad"]) for r in page_outcomes(pages, labels).collect()] == [("a.org", 1)] * 3
