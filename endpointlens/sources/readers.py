@@ -84,13 +84,21 @@ def read_endpoint_records(rows: DataFrame, source: str = "manual") -> DataFrame:
 
 
 def discover(sources: list[tuple[DataFrame, DataFrame | None]]) -> tuple[DataFrame, DataFrame | None]:
-    """(candidates, rejected) of sources in order; the ordinal becomes (source index, own ordinal as text)."""
+    """(candidates, rejected) of sources in order; the ordinal becomes a struct of the source index and own ordinals.
+
+    A source's own ordinal keeps its type, so it is ordered as the source orders it (10 after 9): sources share one
+    field for each type of ordinal that there is, and a row has its value in the field of its source's type.
+    """
     columns = ["provider", "source", "transport", "endpoint_url", "host", "port", "path", "tls_server_name", "metadata"]
     kinds = {"port": "int", "metadata": "map<string,string>"}
+    frames = [df for pair in sources for df in pair if df is not None]
+    own = list(dict.fromkeys(df.schema["ordinal"].dataType.simpleString() for df in frames))
 
     def shaped(df: DataFrame, k: int, more: list[str]) -> DataFrame:
         has = lambda c: (F.col(c) if c in df.columns else F.lit(None)).cast(kinds.get(c, "string")).alias(c)
-        return df.select(*[has(c) for c in columns], F.struct(F.lit(k).alias("source_no"), F.to_json(F.struct("ordinal")).alias("own")).alias("ordinal"), *more)
+        kind = df.schema["ordinal"].dataType.simpleString()
+        places = [(F.col("ordinal") if kind == o else F.lit(None)).cast(o).alias(f"own_{n}") for n, o in enumerate(own)]
+        return df.select(*[has(c) for c in columns], F.struct(F.lit(k).alias("source_no"), *places).alias("ordinal"), *more)
 
     kept = union_all([shaped(df, k, []) for k, (df, _) in enumerate(sources)])
     out = [shaped(df, k, ["reason", "detail", "stage"]) for k, (_, df) in enumerate(sources) if df is not None]

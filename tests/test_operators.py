@@ -181,6 +181,15 @@ def test_discover_and_reject_trail(spark):
     assert reasons == ["duplicate_dns_candidate"] * 2 + ["duplicate_doh_candidate"] + ["invalid_dns_host"] * 2 + ["invalid_doh_url"]
 
 
+def test_discover_keeps_the_first_by_number(spark):
+    """Ordinals of sources are ordered as numbers: row 9 comes before row 10."""
+    hosts = spark.createDataFrame([(10, "b", " 192.0.2.1"), (9, "a", "192.0.2.1")], "ordinal long, provider string, host string").selectExpr("*", "53 AS port", "'dns-udp' AS transport")
+    urls = spark.createDataFrame([((10, 1), "HTTPS://d.example"), ((9, 2), "https://D.example/dns-query")], "ordinal struct<page:int,at:int>, endpoint_url string").selectExpr("*", "'doh' AS transport")
+    kept, out = pipelines.discover([(hosts, None), (urls, None), (hosts, None)])
+    assert [(r["provider"], r["ordinal"]["source_no"]) for r in kept.where("transport = 'dns-udp'").collect()] == [("a", 0)]
+    assert [r["endpoint_url"] for r in out.where("transport = 'doh'").collect()] == ["HTTPS://d.example"]
+
+
 def test_votes(spark):
     kind = "id string, seq int, check_no int, rcode string, answers array<string>, error string"
     rows = [("m", 1, 0, "NXDOMAIN", [], None), ("m", 2, 1, "NOERROR", ["x"], None), ("i", 1, 0, "SERVFAIL", [], None), ("n", 1, 0, "NXDOMAIN", [], None), ("n", 2, 0, "NXDOMAIN", [], None), ("f", 1, 0, None, None, "t")]
