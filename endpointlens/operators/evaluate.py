@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions.text import error_text, normalize_answers, probe_name, render_qname
 from ..plans.lineage import checkpointed
-from .ranks import ahead, largest, slices
+from .ranks import ahead, largest, same, slices
 
 
 def probe_plan(candidates: DataFrame, corpus: DataFrame, rounds: int = 3) -> DataFrame:
@@ -53,12 +53,18 @@ def transport_error(plain: bool, kind: Column, error: Column, code: Column | Non
 
 def baseline_consensus(observations: DataFrame, n_resolvers: int) -> DataFrame:
     """(qname, rdtype, agreed): the one sorted answer set of all baseline resolvers, null where they don't agree."""
-    ok = observations.where("error is null").withColumn("_a", F.array_sort("answers"))
-    # one row for each question, resolver and set, then for each question and resolver; no distinct count expands the rows
-    of_resolver = ok.groupBy("qname", "rdtype", "resolver", "_a").agg(F.lit(1).alias("_one")).groupBy("qname", "rdtype", "resolver").agg(F.min("_a").alias("_low"), F.max("_a").alias("_high"))
-    n = F.count(F.when(F.col("resolver").isNotNull(), 1))
-    seen = of_resolver.groupBy("qname", "rdtype").agg(n.alias("_n"), F.min("_low").alias("_set"), F.max("_high").alias("_other"))
-    return seen.select("qname", "rdtype", F.when((F.col("_set") == F.col("_other")) & (F.col("_n") == n_resolvers), F.col("_set")).alias("agreed"))
+    ok = observations.where("error is null").select("qname", "rdtype", "resolver", F.array_sort("answers").alias("_a"))
+    question = ["qname", "rdtype"]
+    # the few sets of a question are made distinct before anything is sorted; resolvers are only counted where there is one
+    # set. The cut keeps the optimizer from dropping the distinct sets, which would sort all observations
+    sets = ok.groupBy(*question, "_a").agg(F.lit(1).alias("_one")).groupBy(*question).agg(F.count("_a").alias("_sets"), F.max("_a").alias("_set"))
+    sets = checkpointed(sets)
+    one = sets.where("_sets = 1").select(F.col("qname").alias("_q"), F.col("rdtype").alias("_t"))
+    of_one = same([F.col("qname"), F.col("rdtype")], [F.col("_q"), F.col("_t")])
+    named = ok.where("resolver is not null").join(one, of_one, "left_semi").groupBy(*question, "resolver").agg(F.lit(1).alias("_one"))
+    n = named.groupBy(F.col("qname").alias("_q"), F.col("rdtype").alias("_t")).agg(F.count("*").alias("_n"))
+    agreed = F.when(F.col("_n") == n_resolvers, F.col("_set"))
+    return sets.join(n, of_one, "left").select(*question, agreed.alias("agreed"))
 
 
 def evaluate_positive(plan: DataFrame, observations: DataFrame, baseline: DataFrame | None = None) -> DataFrame:

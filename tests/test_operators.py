@@ -190,6 +190,17 @@ def test_discover_keeps_the_first_by_number(spark):
     assert [r["endpoint_url"] for r in out.where("transport = 'doh'").collect()] == ["HTTPS://d.example"]
 
 
+def test_baseline_sorts_no_observation(spark):
+    """Only the few sets of a question are sorted, not all observations, and resolvers are counted where there is one set."""
+    kind = "qname string, rdtype string, resolver string, answers array<string>, error string"
+    rows = [("a", "A", r, ["x", "y"] if r == "1" else ["y", "x"], None) for r in "12" for _ in range(50)] + [("b", "A", r, [r], None) for r in "12"] + [("c", "A", "1", ["x"], None), ("c", "A", None, ["x"], None)]
+    rows += [(None, "A", r, ["n"], None) for r in "12"] + [("e", "A", "1", None, None), ("e", "A", "2", ["x"], None), ("f", "A", "1", ["x"], "late")]
+    seen = spark.createDataFrame(rows, kind)
+    out = evaluate.baseline_consensus(seen, 2)
+    assert {r["qname"]: r["agreed"] for r in out.collect()} == {"a": ["x", "y"], "b": None, "c": None, None: ["n"], "e": ["x"]}
+    assert "SortAggregate" not in out._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_votes(spark):
     kind = "id string, seq int, check_no int, rcode string, answers array<string>, error string"
     rows = [("m", 1, 0, "NXDOMAIN", [], None), ("m", 2, 1, "NOERROR", ["x"], None), ("i", 1, 0, "SERVFAIL", [], None), ("n", 1, 0, "NXDOMAIN", [], None), ("n", 2, 0, "NXDOMAIN", [], None), ("f", 1, 0, None, None, "t")]
