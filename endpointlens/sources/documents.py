@@ -84,19 +84,30 @@ def broken(m: Column, rule: Rule) -> Column:
     return F.when(there & ~ok, f"invalid {NAMES[rule.kind]} field")
 
 
-def found(rows: DataFrame, level: Level, strict: bool) -> DataFrame:
-    """(file, path, field, error) of rows (file, path, m) of a level."""
-    m = F.col("m")
+def problems(m: Column, level: Level, strict: bool) -> Column:
+    """The errors (field, error) of an object of a level, as an array."""
     error = lambda name, text: F.when(text.isNotNull(), F.struct(F.lit(name).alias("field"), text.alias("error")))
     checks = [error(r.name, broken(m, r)) for r in level.rules]
     checks += [error(name, F.when(F.coalesce(bad(m), F.lit(False)), text)) for name, bad, text in level.between]
     if strict:
         extra = F.array_sort(F.array_except(F.map_keys(m), F.array(*[F.lit(r.name) for r in level.rules])))
         checks.append(error("", F.when(F.size(extra) > 0, F.concat(F.lit("unsupported fields: "), F.array_join(extra, ", ")))))
-    whole = F.when(m.isNull(), F.array(F.struct(F.lit("").alias("field"), F.lit("must be a JSON object").alias("error")))).otherwise(F.array_compact(F.array(*checks)))
+    none = F.array(F.struct(F.lit("").alias("field"), F.lit("must be a JSON object").alias("error")))
+    return F.when(m.isNull(), none).otherwise(F.array_compact(F.array(*checks)))
+
+
+def found(rows: DataFrame, whole: Column) -> DataFrame:
+    """(file, path, field, error) of rows (file, path, m) and the errors of each."""
     return rows.select("file", "path", F.explode(whole).alias("e")).select("file", "path", "e.*")
 
 
+def dealt(raw: DataFrame) -> DataFrame:
+    """Documents (file, value) over all tasks: a small file of them is much work, and its reader would leave it to one task."""
+    spark = raw.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return raw.select("file", "value").repartition(n, "file")
+
+
 def objects(raw: DataFrame) -> DataFrame:
     """(file, path, m) of documents (file, value); m is null where the text is no JSON object."""
     v = F.try_parse_json("value")
@@ -115,7 +126,7 @@ def entries(rows: DataFrame, name: str) -> DataFrame:
 
 def errors(rows: DataFrame, level: Level, strict: bool = True) -> DataFrame:
     """All errors of a level and of the levels below it."""
-    out = found(rows, level, strict)
+    out = found(rows, problems(F.col("m"), level, strict))
     for name, below in level.lists.items():
         out = out.unionByName(errors(entries(rows, name), below, strict))
     return out
@@ -180,15 +191,16 @@ SEEDS = Level(
 
 
 def corpus_errors(raw: DataFrame, version: int | None = None, strict: bool = True) -> DataFrame:
-    """Errors of corpus documents (file, value), by the rules of their own version."""
-    rows = objects(raw)
-    second = F.coalesce(F.try_variant_get(value(F.col("m"), "schema_version"), "$", "int"), F.lit(0)) >= 2
-    return errors(rows.where(second), corpus_level(version, True), strict).unionByName(errors(rows.where(~second), corpus_level(version, False), strict))
+    """Errors of corpus documents (file, value), by the rules of their own version; a document's own rules and those of its probes are a pass each."""
+    rows, m = objects(dealt(raw)), F.col("m")
+    second = F.coalesce(F.try_variant_get(value(m, "schema_version"), "$", "int"), F.lit(0)) >= 2
+    whole = F.when(second, problems(m, corpus_level(version, True), strict)).otherwise(problems(m, corpus_level(version, False), strict))
+    return found(rows, whole).unionByName(errors(entries(rows, "probes"), PROBE, strict))
 
 
 def seed_errors(raw: DataFrame) -> DataFrame:
     """Errors of seed documents (file, value); further fields are allowed."""
-    return errors(objects(raw), SEEDS, strict=False)
+    return errors(objects(dealt(raw)), SEEDS, strict=False)
 
 
 def corpus_probes(raw: DataFrame) -> DataFrame:

@@ -129,3 +129,13 @@ def test_sources_in_order(spark):
     kept, out = readers.read_sources([("lines", lines)], [("records", records)])
     assert sorted((r["ordinal"]["source_no"], r["transport"], r["host"]) for r in kept.collect()) == [(0, "dns-tcp", "192.0.2.1"), (0, "dns-udp", "192.0.2.1"), (1, "doh", "h")]
     assert {r["reason"] for r in out.collect()} == {"invalid_dns_host"}
+
+
+def test_documents_of_a_small_file_go_to_all_tasks(spark, tmp_path):
+    """One file with many documents is read by one task; its rules run in many, in one pass a level."""
+    path = str(tmp_path / "raw")
+    spark.range(64).selectExpr("CAST(id AS string) AS file", "'{\"probes\": [{}]}' AS value").repartition(1).write.parquet(path)
+    out = documents.corpus_errors(spark.read.parquet(path), 2)
+    assert out.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert out._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 2
+    assert {r["file"] for r in out.collect()} == {str(k) for k in range(64)}
