@@ -37,11 +37,11 @@ def joined(c: str) -> Column:
 def history_upsert(s, d):
     """All runs, then again the first run of each day as one of the next day, with half of its endpoints."""
     base, last = new_folder(s, "history"), v.last_day(s, d)
-    runs, status = v.runs(s, d).select("run_id", "run_date"), v.run_status(s, d)
-    pipelines.update_history(s, base, runs, status, last)
+    runs, status = checkpointed(v.runs(s, d).select("run_id", "run_date")), checkpointed(v.run_status(s, d))  # read by both jobs
+    pipelines.update_history(s, base, runs, status, last, cut=True)
     moved = runs.where(F.col("run_id").endswith("-0") & (F.col("run_date") < last)).withColumn("run_date", F.date_add("run_date", 1))
     half = F.substring_index("resolver_key", "|", -1).cast("long") % 2 == 0
-    pipelines.update_history(s, base, moved, status.where(half).join(moved.select("run_id"), "run_id", "left_semi"), last)
+    pipelines.update_history(s, base, moved, status.where(half).join(moved.select("run_id"), "run_id", "left_semi"), last, cut=True)
     daily = readers.read_history(s, base, "daily")
     return daily.select(text_of("run_date"), "resolver_key", "host", "transport", "day_status", "runs", "successful_runs", "failed_runs", "flapped_within_day", "reasons_signature")
 

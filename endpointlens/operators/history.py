@@ -18,7 +18,7 @@ def daily_rollup(runs: DataFrame, run_status: DataFrame) -> DataFrame:
     accepted, failed, total = F.count_if(F.col("status") == "accepted"), F.count_if(F.col("status") == "rejected"), F.count("*")
     day = rows.groupBy("run_date", "resolver_key").agg(
         F.min("host").alias("host"), F.min("transport").alias("transport"), union_reasons(F.col("reasons")).alias("reasons"),
-        total.alias("runs"), accepted.alias("successful_runs"), failed.alias("failed_runs"), F.count_distinct("status").alias("_kinds"),
+        total.alias("runs"), accepted.alias("successful_runs"), failed.alias("failed_runs"), F.size(F.collect_set("status")).alias("_kinds"),
         F.max(is_severe(F.col("reasons"))).alias("_severe"), F.avg("p50_latency_ms").alias("avg_p50"), F.avg("p95_latency_ms").alias("avg_p95"), F.avg("jitter_ms").alias("avg_jitter"),
     )
     status = (

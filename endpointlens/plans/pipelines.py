@@ -77,7 +77,7 @@ def validate_corpus(probes: DataFrame, minimums: dict[str, int] = corpus.MINIMUM
     return corpus.logic_errors(probes).where(F.size("errors") > 0)
 
 
-def update_history(spark: SparkSession, base: str, runs: DataFrame, run_status: DataFrame, run_date: Column, days: int = 30, keep: int = 2) -> None:
+def update_history(spark: SparkSession, base: str, runs: DataFrame, run_status: DataFrame, run_date: Column, days: int = 30, keep: int = 2, cut: bool = False) -> None:
     """Puts runs into the history, rebuilds the rollups of their days, drops old days and moves the quarantine on.
 
     runs (run_id, run_date, ...) and run_status (run_id, ...) replace those of the same run ids, whatever day those had:
@@ -86,11 +86,12 @@ def update_history(spark: SparkSession, base: str, runs: DataFrame, run_status:
     hosts' outcomes of that day and their streak of 14 rejected days. All of it takes effect in one commit at the end:
     a job that fails earlier changes nothing, and repeating a job leaves the tables as they are. Two rows of one
     run id are the caller's fault; the days of a job and of the history are few, so they are listed on the driver.
+    cut: the rows are checkpointed already, or as cheap to read again.
     """
     today = spark.range(1).select(run_date.alias("d")).first()["d"]
     first = str(today - timedelta(days=days - 1))
     number, commit = store.head(spark, base)
-    runs, run_status = checkpointed(runs), checkpointed(run_status)
+    runs, run_status = (runs, run_status) if cut else (checkpointed(runs), checkpointed(run_status))
     new_ids = runs.select("run_id").distinct()
     before = store.read_table(spark, base, commit, "runs").select("run_id", "run_date").join(F.broadcast(new_ids) if runs.count() <= 100_000 else new_ids, "run_id", "left_semi")
     touched = {str(r["run_date"]) for r in before.select("run_date").unionByName(runs.select("run_date")).distinct().collect()}

@@ -201,6 +201,18 @@ def test_baseline_sorts_no_observation(spark):
     assert "SortAggregate" not in out._jdf.queryExecution().sparkPlan().toString()
 
 
+def test_rollup_takes_one_aggregate(spark):
+    """Kinds of status are counted in the aggregate of the day, without a round of their own."""
+    from endpointlens.operators import history
+
+    runs = spark.createDataFrame([("r1", "2024-01-01"), ("r2", "2024-01-01")], "run_id string, run_date string").selectExpr("run_id", "date(run_date) AS run_date")
+    kind = "run_id string, resolver_key string, host string, transport string, status string, reasons array<string>, p50_latency_ms double, p95_latency_ms double, jitter_ms double"
+    rows = [("r1", "k", "h", "doh", "accepted", [], 1.0, 1.0, 0.0), ("r2", "k", "h", "doh", "candidate", [], 1.0, 1.0, 0.0), ("r1", "l", "h", "doh", "accepted", [], 1.0, 1.0, 0.0), ("r2", "l", "h", "doh", None, [], 1.0, 1.0, 0.0)]
+    out = history.daily_rollup(runs, spark.createDataFrame(rows, kind))
+    assert {r["resolver_key"]: r["flapped_within_day"] for r in out.collect()} == {"k": True, "l": False}
+    assert out._jdf.queryExecution().sparkPlan().toString().count("Aggregate(") == 2  # partial and final
+
+
 def test_votes(spark):
     kind = "id string, seq int, check_no int, rcode string, answers array<string>, error string"
     rows = [("m", 1, 0, "NXDOMAIN", [], None), ("m", 2, 1, "NOERROR", ["x"], None), ("i", 1, 0, "SERVFAIL", [], None), ("n", 1, 0, "NXDOMAIN", [], None), ("n", 2, 0, "NXDOMAIN", [], None), ("f", 1, 0, None, None, "t")]
