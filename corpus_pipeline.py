@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from endpointlens.llm import quality
-from endpointlens.llm.common import WORD, fold_of, read, written
+from endpointlens.llm.common import WORD, fold_of, forget, read, settled, written
 from endpointlens.llm.line_dedup import dedup_lines
 from endpointlens.llm.mixing import mix
 from endpointlens.llm.packing import pack
@@ -55,7 +55,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = pieces.groupBy("_row", "pass").agg(F.max("last").alias("_words"), F.max("size").alias("_size"), F.min("slot").alias("_slot"))
     cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1, F.col("_words").cast("int")), "")
     text = F.when(F.col("_words") < F.col("_size"), cut).otherwise(F.col("text"))
-    mixed = rows.join(taken, "_row").withColumn("text", text).orderBy("_slot", "_row", "pass")
+    # written before it is sorted, so that the shuffle files of the join are gone by then
+    mixed = settled(rows.join(taken, "_row").withColumn("text", text), "mixed").orderBy("_slot", "_row", "pass")
     return mixed.withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
 
 
@@ -79,7 +80,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = written(docs, f"stage-{k}")
+            docs = settled(docs, f"stage-{k}")
+            if k:  # the first stage reads the given table
+                forget(before)
     return docs

@@ -245,7 +245,8 @@ def similar_documents(docs: DataFrame, row: str = "row", text: str = "text", wor
     # texts with one fingerprint in a draw meet the smallest of them, and so do the groups of the grid's links
     heads = written(drawn.groupBy("draw", "fp").agg(F.min(F.struct("node", "plain")).alias("head"), F.count("*").alias("n")), "heads")
     stars = drawn.join(heads.where("n > 1"), ["draw", "fp"]).select("draw", "fp", F.col("head.node").alias("a"), F.col("node").alias("b"), F.col("head.plain").alias("pa"), F.col("plain").alias("pb")).where("a <> b")
-    links = hamming_links(heads.select("draw", "fp"), crowd)
+    # two draws at a time: cells and their shuffles take disk in proportion to the fingerprints that go through the grid
+    links = reduce(DataFrame.unionByName, [hamming_links(heads.where(F.col("draw").between(k, k + 1)).select("draw", "fp"), crowd) for k in range(0, draws, 2)])
     one, two = (heads.select("draw", F.col("fp").alias(c), F.col("head.node").alias(f"n{c}"), F.col("head.plain").alias(f"p{c}")) for c in ("a", "b"))
     met = links.join(one, ["draw", "a"]).join(two, ["draw", "b"]).select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"), "pa", "pb")
     close = F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= spare

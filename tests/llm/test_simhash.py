@@ -117,3 +117,19 @@ def test_similar_documents(spark):
     linked = [k for k in got if want[k] != k]
     assert sum(got[k] == want[k] for k in linked) >= 0.98 * len(linked)
     assert similar_documents(df.limit(0)).count() == 0
+
+
+def test_few_draws_go_through_the_grid_at_once(spark, monkeypatch):
+    """Cells of all draws never lie on disk together: the grid gets two draws at a time, and every draw once."""
+    from endpointlens.llm import simhash
+
+    seen, whole = [], simhash.hamming_links
+
+    def watched(points, crowd):
+        seen.append(sorted(r["draw"] for r in points.select("draw").distinct().collect()))
+        return whole(points, crowd)
+
+    monkeypatch.setattr(simhash, "hamming_links", watched)
+    docs = spark.createDataFrame([(k, " ".join(f"w{k}x{i}" for i in range(9))) for k in range(4)], "row long, text string")
+    assert simhash.similar_documents(docs, draws=3).count() == 4
+    assert seen == [[0, 1], [2]]
