@@ -6,9 +6,10 @@
 2. Descriptors go into eight Hamming tables, one for each slice of 28 bits, a slice beginning every 32 bits: two
    descriptors at distance 7 or less agree in a slice. Corners of a cell match if their whole descriptors differ in
    `near` or fewer bits, and pictures meet if two corners or more of either match. A cell of more than `crowd` members
-   is split by the other slices, each member entering the cells of two slices. In a cell that is full even then - a
-   patch that many pictures share to the bit, or a large group of copies - members meet the smallest picture, and
-   those that aren't copies of it meet the other members.
+   is split by the other slices, each member entering the cells of two slices; matches that agree in no second slice
+   are found by bringing parts of `crowd` members together, each part with each. In a cell that is full even when
+   split - a patch that many pictures share to the bit, or a large group of copies - members meet the smallest
+   picture, and those that aren't copies of it meet the other members.
 3. Pictures that met are compared as a whole: corners whose descriptors are each other's nearest vote for similarity
    transforms, and the pictures are linked if enough of them agree on one in place, scale and turn, and make up enough
    of all matches.
@@ -235,8 +236,9 @@ def split_cells(members: DataFrame) -> DataFrame:
 
 
 def full_cells(cells: DataFrame, crowd: int) -> DataFrame:
-    """(cell, head): cells of more than `crowd` members and their smallest node."""
-    return settled(cells.groupBy("cell").agg(F.count("*").alias("n"), F.min("node").alias("head")).where(F.col("n") > crowd).select("cell", "head"), "full-cells")
+    """(cell, head, parts): cells of more than `crowd` members, their smallest node and in how many parts of `crowd` they go."""
+    counted = cells.groupBy("cell").agg(F.count("*").alias("n"), F.min("node").alias("head")).where(F.col("n") > crowd)
+    return settled(counted.select("cell", "head", F.ceil(F.col("n") / max(crowd, 1)).alias("parts")), "full-cells")
 
 
 def matches(cells: DataFrame, near: int) -> DataFrame:
@@ -247,6 +249,27 @@ def matches(cells: DataFrame, near: int) -> DataFrame:
     return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.corner").alias("i"), F.col("y.corner").alias("j"))
 
 
+def lone_matches(members: DataFrame, near: int) -> DataFrame:
+    """(a, b, i, j): matches among members (cell, parts, ...) of full cells that agree in the cell's slice alone, which no split cell holds.
+
+    Every part of a cell meets every other and itself, each in a group of its own: a group holds two parts, however
+    many members the cell has.
+    """
+    part = members.withColumn("part", F.pmod(F.xxhash64("node", "corner"), "parts")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    part = part.withColumns({"p": F.least("part", "other"), "q": F.greatest("part", "other")}).select("cell", "p", "q", "part", "node", "corner", *BITS)
+    x, y = part.where("part = p").alias("x"), part.where("part = q").alias("y")
+    differ = [F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}")) for c in BITS]
+    rest = [(F.shiftrightunsigned(differ[k // 2], 32) if k % 2 else differ[k // 2]).bitwiseAND(F.lit((1 << SLICE) - 1)) != 0 for k in range(1, TABLES)]
+    once = F.when(F.col("x.p") == F.col("x.q"), F.col("x.node") < F.col("y.node")).otherwise(F.col("x.node") != F.col("y.node"))
+    close = reduce(Column.__add__, [F.bit_count(d) for d in differ]) <= near
+    same_group = reduce(Column.__and__, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("cell", "p", "q")])
+    found = x.join(y, same_group & once & close & reduce(Column.__and__, rest))
+    first = F.col("x.node") < F.col("y.node")
+    ends = lambda c: (F.when(first, F.col(f"x.{c}")).otherwise(F.col(f"y.{c}")), F.when(first, F.col(f"y.{c}")).otherwise(F.col(f"x.{c}")))
+    (a, b), (i, j) = ends("node"), ends("corner")
+    return found.select(a.alias("a"), b.alias("b"), i.alias("i"), j.alias("j"))
+
+
 def met(found: DataFrame) -> DataFrame:
     """(a, b): pairs of nodes of which two corners or more of either match."""
     ends = [f(c).alias(f"{f.__name__}_{c}") for c in "ij" for f in (F.min, F.max)]
@@ -266,14 +289,24 @@ def verified(described: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(same("pa", "da", "pb", "db")).select("a", "b")
 
 
-def picture_links(described: DataFrame, least: int, crowd: int, near: int) -> DataFrame:
-    """(a, b): links among pictures that keep every group of copies whole."""
-    cells = table_cells(described.where(F.col("n_corners") >= least))
+def meetings(cells: DataFrame, crowd: int, near: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs, members): the pairs (a, b) with two matching corners or more, and the members (cell, head, node) of cells that stay full when split.
+
+    A match of a full cell is found by the split cell of a second slice that it agrees in, or else part by part. Cells
+    that stay full make no pairs; their members are returned instead.
+    """
     full = full_cells(cells, crowd)
-    split = split_cells(cells.join(full, "cell", "left_semi"))
+    crowded = cells.join(full, "cell").drop("head")
+    split = split_cells(crowded)
     fuller = full_cells(split, crowd)
-    pairs = met(matches(cells.join(full, "cell", "left_anti"), near).unionByName(matches(split.join(fuller, "cell", "left_anti"), near)))
-    members = settled(split.select("cell", "node").distinct().join(fuller, "cell").where("node <> head"), "members")
+    found = [matches(cells.join(full, "cell", "left_anti"), near), matches(split.join(fuller, "cell", "left_anti"), near), lone_matches(crowded, near)]
+    members = settled(split.select("cell", "node").distinct().join(fuller, "cell").where("node <> head").select("cell", "head", "node"), "members")
+    return met(reduce(DataFrame.unionByName, found)), members
+
+
+def picture_links(described: DataFrame, least: int, crowd: int, near: int) -> DataFrame:
+    """(a, b): links among pictures that keep every group of copies whole."""
+    pairs, members = meetings(table_cells(described.where(F.col("n_corners") >= least)), crowd, near)
     stars = members.select(F.col("head").alias("a"), F.col("node").alias("b"))
     first = settled(pairs.unionByName(stars).distinct(), "met")
     links = settled(verified(described, first, least), "picture-links")

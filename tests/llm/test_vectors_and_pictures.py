@@ -3,7 +3,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from endpointlens.llm.media import copies, decode, describe, picture_copies
+from endpointlens.llm.media import copies, decode, describe, meetings, picture_copies, table_cells
 from endpointlens.llm.nearest import nearest
 from endpointlens.llm.pictures import KINDS, draw, edited, kind_of, pgm, render
 
@@ -85,6 +85,29 @@ def test_copies_as_by_brute_force(spark, crowd):
     assert picture_copies(df.limit(0)).count() == 0
 
 
+def test_full_cells_lose_no_match(spark):
+    """Corners that agree in the slice of a full cell alone, corners that agree in a second one too, and corners too far apart."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2, (2, 256)).astype(np.uint8)
+    rows = []
+    for node in range(9):
+        own = base.copy()
+        for t in range(1, 8):
+            if not (node in (3, 4) and t == 5):
+                own[:, 32 * t + node] ^= 1
+        if node == 8:
+            own[:, 74:80] ^= 1
+            own[:, 106:112] ^= 1
+        rows.append((node, bytearray(np.packbits(own, axis=1, bitorder="little").tobytes())))
+    cells = table_cells(spark.createDataFrame(rows, "node long, bits binary").repartition(2))
+    want = {(a, b) for a in range(8) for b in range(a + 1, 8)}
+    for crowd in (1000, 8, 5, 2):
+        pairs, members = meetings(cells, crowd, 24)
+        assert members.isEmpty()
+        got = [(r["a"], r["b"]) for r in pairs.collect()]
+        assert len(got) == len(set(got)) and set(got) == want, crowd
+
+
 def test_no_random_pair_is_a_copy():
     found = [describe(decode(pgm(p))) for p in pictures(450, 9)]
     pairs = [(i, j) for i in range(len(found)) for j in range(i)]
