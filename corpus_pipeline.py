@@ -56,8 +56,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1, F.col("_words").cast("int")), "")
     text = F.when(F.col("_words") < F.col("_size"), cut).otherwise(F.col("text"))
     # written before it is sorted, so that the shuffle files of the join are gone by then
-    mixed = settled(rows.join(taken, "_row").withColumn("text", text), "mixed").orderBy("_slot", "_row", "pass")
-    return mixed.withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
+    mixed = settled(rows.join(taken, "_row").withColumn("text", text), "mixed")
+    forget(rows)
+    return mixed.orderBy("_slot", "_row", "pass").withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -162,18 +162,21 @@ def spread(points: DataFrame, width: int) -> DataFrame:
 def hamming_links(points: DataFrame, crowd: int = 32) -> DataFrame:
     """(draw, a, b): the pairs of distinct fingerprints of a draw that differ in 2 or fewer bits."""
     found = []
-    close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)
+    close = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= 2
     for width in (4, 2, 1):
-        cells = written(spread(points, width), "cells")
-        met = settled(cells.groupBy("draw", "cell").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "met-cells")
-        few = met.where(F.col("n") <= crowd) if width > 1 else met
+        # most cells hold one fingerprint, so all of them are shuffled once: the counts and the members read one exchange
+        cells = spread(points, width).repartition("draw", "cell")
+        met = cells.groupBy("draw", "cell").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where((F.col("n") > 2) | ((F.col("n") == 2) & close("a", "b")))
         # a cell of two holds its smallest and its largest member, so only cells of three or more are joined
-        more = settled(cells.join(few.where("n > 2").select("draw", "cell"), ["draw", "cell"], "left_semi"), "shared-cells")
-        pairs = more.withColumnRenamed("fp", "a").join(more.withColumnRenamed("fp", "b"), ["draw", "cell"]).select("draw", "a", "b").where(close)
-        found.append(settled(pairs.unionByName(few.where("n = 2").select("draw", "a", "b").where(close)).distinct(), "grid-links"))
+        members = cells.join(met.hint("shuffle_hash"), ["draw", "cell"]).where("n > 2 or fp = a").select("draw", "cell", "fp", "n", F.when(F.col("n") == 2, F.col("b")).alias("other"))
+        shared = settled(members, "shared-cells")
+        few = shared.where((F.col("n") > 2) & (F.col("n") <= crowd if width > 1 else F.lit(True)))
+        x, y = few.select("draw", "cell", F.col("fp").alias("a")), few.select("draw", "cell", F.col("fp").alias("b"))
+        pairs = x.join(y, ["draw", "cell"]).where((F.col("a") < F.col("b")) & close("a", "b")).select("draw", "a", "b")
+        found.append(settled(pairs.unionByName(shared.where("n = 2").select("draw", F.col("fp").alias("a"), F.col("other").alias("b"))).distinct(), "grid-links"))
         if width > 1:
-            points = settled(cells.join(met.where(F.col("n") > crowd).select("draw", "cell"), ["draw", "cell"], "left_semi").select("draw", "fp").distinct(), "crowded")
-        forget(cells, met, more)
+            points = settled(shared.where((F.col("n") > 2) & (F.col("n") > crowd)).select("draw", "fp").distinct(), "crowded")
+        forget(shared)
         if width > 1 and points.isEmpty():
             break
     return reduce(DataFrame.unionByName, found).distinct()

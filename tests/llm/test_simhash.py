@@ -69,6 +69,29 @@ def test_links_are_all_pairs_in_light_and_crowded_cells(spark):
         assert len(got) == len(set(got)) and set(got) == near, crowd
 
 
+def test_cells_are_shuffled_once(spark):
+    """Not once to be counted and again to be joined with their counts, which made the shuffle grow faster than the input."""
+    rng = np.random.default_rng(5)
+    fps = rng.integers(-(2**63), 2**63 - 1, 2000)
+    df = spark.createDataFrame([(0, int(f) ^ k) for f in fps for k in (0, 1)], "draw int, fp long")
+    cells = sum(len(cells_of(np.array([f, f ^ 1], np.int64), 4)[1]) for f in fps)
+    store, none = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0)
+
+    def records():
+        stages = store.stageList(None, False, False, none, None)
+        return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = records()
+        assert hamming_links(df).count() == 2000
+        written = records() - before
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # every cell once; the rest are members of the shared ones (44 of the 60-odd cells of a pair of fingerprints are)
+    assert written < 2.5 * cells, (written, cells)
+
+
 def test_components_chain_and_star(spark):
     edges = [(k, k + 1) for k in range(1, 40)] + [(100, k) for k in range(101, 130)] + [(7, 7)]
     out = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
