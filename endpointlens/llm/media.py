@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled, written
+from .common import forget, settled, written
 from .simhash import components
 
 SCALES = (1.0, 1.5, 2.25)
@@ -225,14 +225,16 @@ def table_cells(described: DataFrame) -> DataFrame:
     return described.select("node", "bits").mapInArrow(run, "cell long, node long, corner int, " + ", ".join(f"{c} long" for c in BITS))
 
 
+def slice_of(words: list[Column], k: int) -> Column:
+    """Slice k of four words of a turned descriptor."""
+    return (F.shiftrightunsigned(words[k // 2], 32) if k % 2 else words[k // 2]).bitwiseAND(F.lit((1 << SLICE) - 1))
+
+
 def split_cells(members: DataFrame) -> DataFrame:
-    """Members of full cells in the cells of their own and one other slice."""
-    others = []
-    for k in range(1, TABLES):
-        word = F.col(BITS[k // 2])
-        others.append(F.struct(F.lit(k).alias("k"), (F.shiftrightunsigned(word, 32) if k % 2 else word).bitwiseAND(F.lit((1 << SLICE) - 1)).alias("slice")))
+    """Members of full cells in the cells of their own and one other slice, whose number ends the cell's."""
+    others = [F.struct(F.lit(k).alias("k"), slice_of([F.col(c) for c in BITS], k).alias("slice")) for k in range(1, TABLES)]
     split = members.select("cell", "node", "corner", *BITS, F.explode(F.array(*others)).alias("o"))
-    return split.select(F.xxhash64("cell", "o.k", "o.slice").alias("cell"), "node", "corner", *BITS)
+    return split.select(F.shiftleft(F.xxhash64("cell", "o.slice"), 3).bitwiseOR(F.col("o.k")).alias("cell"), "node", "corner", *BITS)
 
 
 def full_cells(cells: DataFrame, crowd: int) -> DataFrame:
@@ -241,11 +243,27 @@ def full_cells(cells: DataFrame, crowd: int) -> DataFrame:
     return settled(counted.select("cell", "head", F.ceil(F.col("n") / max(crowd, 1)).alias("parts")), "full-cells")
 
 
-def matches(cells: DataFrame, near: int) -> DataFrame:
-    """(a, b, i, j): corners i of node a and j of node b that share a cell and differ in `near` or fewer bits."""
+def in_table(k: int) -> Column:
+    """Whether slice k of a turned descriptor is that of an earlier table than its cell's."""
+    return F.shiftright("x.cell", 32) + k >= TABLES
+
+
+def in_split(k: int) -> Column:
+    """Whether slice k splits a full cell before the slice of this split cell."""
+    return F.col("x.cell").bitwiseAND(7) > k
+
+
+def matches(cells: DataFrame, near: int, earlier: Callable[[int], Column]) -> DataFrame:
+    """(a, b, i, j): corners i of node a and j of node b that share a cell and differ in `near` or fewer bits.
+
+    Corners that agree in an earlier slice too are left to that slice's cell, so a match comes once, not once a slice.
+    If that cell is full its split cells have the match, and if they stay full, both nodes are members of one.
+    """
     x, y = cells.alias("x"), cells.alias("y")
-    apart = reduce(Column.__add__, [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in BITS])
-    found = x.join(y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.node") < F.col("y.node")) & (apart <= near))
+    differ = [F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}")) for c in BITS]
+    apart = reduce(Column.__add__, [F.bit_count(d) for d in differ])
+    first = reduce(Column.__and__, [(slice_of(differ, k) != 0) | ~earlier(k) for k in range(1, TABLES)])
+    found = x.join(y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.node") < F.col("y.node")) & (apart <= near) & first)
     return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.corner").alias("i"), F.col("y.corner").alias("j"))
 
 
@@ -259,7 +277,7 @@ def lone_matches(members: DataFrame, near: int) -> DataFrame:
     part = part.withColumns({"p": F.least("part", "other"), "q": F.greatest("part", "other")}).select("cell", "p", "q", "part", "node", "corner", *BITS)
     x, y = part.where("part = p").alias("x"), part.where("part = q").alias("y")
     differ = [F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}")) for c in BITS]
-    rest = [(F.shiftrightunsigned(differ[k // 2], 32) if k % 2 else differ[k // 2]).bitwiseAND(F.lit((1 << SLICE) - 1)) != 0 for k in range(1, TABLES)]
+    rest = [slice_of(differ, k) != 0 for k in range(1, TABLES)]
     once = F.when(F.col("x.p") == F.col("x.q"), F.col("x.node") < F.col("y.node")).otherwise(F.col("x.node") != F.col("y.node"))
     close = reduce(Column.__add__, [F.bit_count(d) for d in differ]) <= near
     same_group = reduce(Column.__and__, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("cell", "p", "q")])
@@ -271,9 +289,14 @@ def lone_matches(members: DataFrame, near: int) -> DataFrame:
 
 
 def met(found: DataFrame) -> DataFrame:
-    """(a, b): pairs of nodes of which two corners or more of either match."""
-    ends = [f(c).alias(f"{f.__name__}_{c}") for c in "ij" for f in (F.min, F.max)]
-    return found.groupBy("a", "b").agg(*ends).where("min_i < max_i and min_j < max_j").select("a", "b")
+    """(a, b): pairs of nodes of which two corners or more of either match.
+
+    Few pairs have a second match, so matches are dealt as short rows and not added up before.
+    """
+    dealt = found.select("a", "b", F.shiftleft(F.col("i").cast("long"), 32).bitwiseOR(F.col("j").cast("long")).alias("ij")).repartition("a", "b")
+    corner = {"i": F.shiftright("ij", 32), "j": F.col("ij").bitwiseAND(F.lit((1 << 32) - 1))}
+    ends = [f(corner[c]).alias(f"{f.__name__}_{c}") for c in "ij" for f in (F.min, F.max)]
+    return dealt.groupBy("a", "b").agg(*ends).where("min_i < max_i and min_j < max_j").select("a", "b")
 
 
 def verified(described: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
@@ -299,9 +322,15 @@ def meetings(cells: DataFrame, crowd: int, near: int) -> tuple[DataFrame, DataFr
     crowded = cells.join(full, "cell").drop("head")
     split = split_cells(crowded)
     fuller = full_cells(split, crowd)
-    found = [matches(cells.join(full, "cell", "left_anti"), near), matches(split.join(fuller, "cell", "left_anti"), near), lone_matches(crowded, near)]
+    rest = cells.join(full, "cell", "left_anti")
+    # half of the tables at a time: their cells are gone before matches are dealt to pairs
+    halves = [rest.where(F.shiftright("cell", 32).between(t, t + TABLES // 2 - 1)) for t in (0, TABLES // 2)]
+    found = [settled(matches(half, near, in_table), "matches") for half in halves]
+    found += [matches(split.join(fuller, "cell", "left_anti"), near, in_split), lone_matches(crowded, near)]
     members = settled(split.select("cell", "node").distinct().join(fuller, "cell").where("node <> head").select("cell", "head", "node"), "members")
-    return met(reduce(DataFrame.unionByName, found)), members
+    pairs = settled(met(reduce(DataFrame.unionByName, found)), "pairs")
+    forget(*found[:2])
+    return pairs, members
 
 
 def picture_links(described: DataFrame, least: int, crowd: int, near: int) -> DataFrame:

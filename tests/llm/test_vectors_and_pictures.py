@@ -3,7 +3,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from endpointlens.llm.media import copies, decode, describe, meetings, picture_copies, table_cells
+from endpointlens.llm.media import copies, decode, describe, in_table, matches, meetings, picture_copies, table_cells
 from endpointlens.llm.nearest import nearest
 from endpointlens.llm.pictures import KINDS, draw, edited, kind_of, pgm, render
 
@@ -108,6 +108,23 @@ def test_full_cells_lose_no_match(spark):
         assert len(got) == len(set(got)) and set(got) == want, crowd
 
 
+def test_a_match_of_many_slices_comes_once(spark):
+    """Equal corners agree in all eight slices, others in some; every match is one row, and pairs need two corners."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2, (3, 256)).astype(np.uint8)
+    rows = []
+    for node in range(5):
+        own = base.copy()
+        for t in range(node + 1):
+            own[:, 32 * t + node] ^= 1
+        rows.append((node, bytearray(np.packbits(own[: 1 if node == 4 else 3], axis=1, bitorder="little").tobytes())))
+    cells = table_cells(spark.createDataFrame(rows, "node long, bits binary").repartition(2))
+    got = [tuple(r) for r in matches(cells, 24, in_table).collect()]
+    want = {(a, b, i, i) for a in range(5) for b in range(a + 1, 5) for i in range(1 if b == 4 else 3)}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {tuple(r) for r in meetings(cells, 1000, 24)[0].collect()} == {(a, b) for a in range(4) for b in range(a + 1, 4)}
+
+
 def test_no_random_pair_is_a_copy():
     found = [describe(decode(pgm(p))) for p in pictures(450, 9)]
     pairs = [(i, j) for i in range(len(found)) for j in range(i)]
