@@ -7,7 +7,8 @@
    descriptors at distance 7 or less agree in a slice. Corners of a cell match if their whole descriptors differ in
    `near` or fewer bits, and pictures meet if two corners or more of either match. A cell of more than `crowd` members
    is split by the other slices, each member entering the cells of two slices; matches that agree in no second slice
-   are found by bringing parts of `crowd` members together, each part with each. In a cell that is full even when
+   are found by bringing parts of `crowd` members together, each part with each. A match comes from the first slice
+   in which its corners agree. In a cell that is full even when
    split - a patch that many pictures share to the bit, or a large group of copies - members meet the smallest
    picture, and those that aren't copies of it meet the other members.
 3. Pictures that met are compared as a whole: corners whose descriptors are each other's nearest vote for similarity
