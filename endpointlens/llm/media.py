@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, settled, written
+from .common import few_at_once, forget, settled, written
 from .simhash import components
 
 SCALES = (1.0, 1.5, 2.25)
@@ -339,18 +339,21 @@ def picture_links(described: DataFrame, least: int, crowd: int, near: int) -> Da
     pairs, members = meetings(table_cells(described.where(F.col("n_corners") >= least)), crowd, near)
     stars = members.select(F.col("head").alias("a"), F.col("node").alias("b"))
     first = settled(pairs.unionByName(stars).distinct(), "met")
-    links = settled(verified(described, first, least), "picture-links")
+    with few_at_once(described.sparkSession):
+        links = settled(verified(described, first, least), "picture-links")
     # in full cells, members that aren't copies of the head meet the others
     lost = members.join(links.select(F.col("a").alias("head"), F.col("b").alias("node")), ["head", "node"], "left_anti")
     again = lost.alias("x").join(members.alias("y"), (F.col("x.cell") == F.col("y.cell")) & (F.col("x.node") != F.col("y.node")))
     again = again.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    return links.unionByName(settled(verified(described, again, least), "picture-links"))
+    with few_at_once(described.sparkSession):
+        return links.unionByName(settled(verified(described, again, least), "picture-links"))
 
 
 def picture_copies(pictures: DataFrame, media_id: str = "media_id", media: str = "image", least: int = 5, crowd: int = 4096, near: int = 24) -> DataFrame:
     """(media_id, n_corners, copy_id): copy_id is the smallest id of the picture's group of copies."""
     own = pictures.select(F.monotonically_increasing_id().alias("row"), F.col(media_id).alias("media_id"), F.col(media).alias("_data"))
-    described = written(descriptors(own), "corners")
+    with few_at_once(own.sparkSession):
+        described = written(descriptors(own), "corners")
     same = F.coalesce("digest", F.concat(F.lit("null-"), F.col("row").cast("string")))
     ids = described.select(same.alias("media"), "row", "media_id", "n_corners")
     nodes = ids.groupBy("media").agg(F.min("row").alias("node"))

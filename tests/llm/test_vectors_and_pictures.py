@@ -3,6 +3,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from endpointlens.llm import media
 from endpointlens.llm.media import copies, decode, describe, in_table, matches, meetings, picture_copies, table_cells
 from endpointlens.llm.nearest import nearest
 from endpointlens.llm.pictures import KINDS, draw, edited, kind_of, pgm, render
@@ -125,6 +126,19 @@ def test_a_match_of_many_slices_comes_once(spark):
     assert {tuple(r) for r in meetings(cells, 1000, 24)[0].collect()} == {(a, b) for a in range(4) for b in range(a + 1, 4)}
 
 
+def test_pictures_go_to_python_few_at_a_time(spark, monkeypatch):
+    """A row is a picture or two sets of corners; 10,000 of them a batch took 3 GB of an executor."""
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    usual = spark.conf.get(key)
+    for name in ("written", "settled"):
+        write = getattr(media, name)
+        monkeypatch.setattr(media, name, lambda df, table, write=write: seen.append((table, int(spark.conf.get(key)))) or write(df, table))
+    images = [(k, bytearray(pgm(p))) for k, p in enumerate(pictures(3))]
+    assert picture_copies(spark.createDataFrame(images, "media_id long, image binary"), crowd=0).count() == 3
+    assert {t for t, _ in seen} >= {"corners", "picture-links"} and all(n <= 128 for t, n in seen if t in ("corners", "picture-links"))
+    assert spark.conf.get(key) == usual
+
+
 def test_no_random_pair_is_a_copy():
     found = [describe(decode(pgm(p))) for p in pictures(450, 9)]
     pairs = [(i, j) for i in range(len(found)) for j in range(i)]
