@@ -12,7 +12,8 @@ frequent with it as without, and can't diverge. So copies of long passages don't
 The tree grows with the corpus, so no process ever holds it: nothing is broadcast or collected but totals. Texts are
 held in blocks of about `block_tokens` words, in a bucketed table that no round shuffles. A block sends the 64-bit keys
 of its strings, each once, packed by key range; the range adds up what all blocks sent and tells each block those of
-its keys that are frequent. The same way, a round adds up what the followers of each context come to, from which the
+its keys that are frequent. What a round tells goes to a table in the same buckets, so that later rounds read it where
+the blocks are. The same way, a round adds up what the followers of each context come to, from which the
 range makes the context's test and weight. A string is added up in the smallest block that has it. No join sees a
 row per token.
 
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +37,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled, shared_dir
+from .common import holding, shared_dir
 
 #: No word holds white space, so this names the end symbol alone.
 END = b" end "
 SMOOTH = 0.1
 BLOCK = "block long, tokens long, ids binary, lengths binary, held binary, codes binary, hashes binary"
-ANSWER = "block long, kind int, at int, values binary, first binary"
+ANSWER = "block long, kind int, at int, values binary, first binary, distinct long, own long"
 
 
 def encode_block(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -88,24 +89,35 @@ def to_blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
 BLOCK_ARROW = pa.schema([("block", pa.int64()), ("tokens", pa.int64()), *((c, pa.binary()) for c in ("ids", "lengths", "held", "codes", "hashes"))])
 
 
-def in_buckets(blocks: DataFrame, buckets: int) -> DataFrame:
-    """Blocks written to the shared folder in buckets of their id, so that joins on it leave them where they are."""
-    spark, name = blocks.sparkSession, f"blocks_{uuid.uuid4().hex}"
+def in_buckets(rows: DataFrame, buckets: int, name: str) -> DataFrame:
+    """A row a block, written to the shared folder in buckets of its id, so that joins on it leave rows where they are."""
+    spark, name = rows.sparkSession, f"{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/{name}"
-    blocks.write.bucketBy(buckets, "block").option("path", path).option("compression", "none").saveAsTable(name)
+    with holding(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        rows.write.bucketBy(buckets, "block").option("path", path).option("compression", "none").saveAsTable(name)
     made = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the name only: the files stay until they are forgotten
     return made
 
 
+@cache
+def compressor(level: int) -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=level)
+
+
+@cache
+def decompressor() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
+
+
 def squeezed(a: np.ndarray, level: int = 1) -> bytes:
     """Compressed, byte by byte of the numbers."""
     planes = a.view(np.uint8).reshape(len(a), a.itemsize).T if len(a) else np.zeros(0, np.uint8)
-    return zstandard.ZstdCompressor(level=level).compress(np.ascontiguousarray(planes).tobytes())
+    return compressor(level).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def spread(a: bytes, kind: type) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(a), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    planes = np.frombuffer(decompressor().decompress(a), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
@@ -118,6 +130,24 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(spread(data, np.uint64), dtype=np.uint64)
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys (uint64) in order, the first place of each, each key's place among them).
+
+    Plain numbers sort several times faster than places by a key, so the places lie in the low bits of what is sorted.
+    """
+    low = np.uint64((1 << max(len(keys) - 1, 0).bit_length()) - 1)
+    order = (np.sort((keys & ~low) | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    found = keys[order]
+    if (found[1:] < found[:-1]).any():  # keys that differ in the low bits alone
+        order = np.argsort(keys, kind="stable")
+        found = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = found[1:] != found[:-1]
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return found[new], order[new], place
+
+
 def longer(strings: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Keys (uint64) of strings with a word appended."""
     x = strings * np.uint64(0x9E3779B97F4A7C15) + ((words << np.uint64(31)) | (words >> np.uint64(33)))
@@ -151,6 +181,7 @@ class Strings:
         self.at, self.keys, self.counts, self.above, self.added = at, keys, counts, above, added
 
     def where(self, keep: np.ndarray) -> "Strings":
+        keep = np.flatnonzero(keep)
         return Strings(self.at[keep], self.keys[keep], self.counts[keep], self.above[keep], self.added[keep])
 
 
@@ -167,13 +198,14 @@ class Block:
         self.held = np.frombuffer(row["held"], np.uint8).astype(bool)
         self.codes, self.hashes = spread(row["codes"], np.int32), np.frombuffer(row["hashes"], np.uint64)
         self.told: dict[int, list] = {}
-        for r in sorted(row["told"] or [], key=lambda r: r["at"]):
+        told = [r for rows in row.get("told") or [] for r in rows]
+        for r in sorted(told, key=lambda r: r["at"]):
             self.told.setdefault(r["kind"], []).append(r)
         self.words = self.hashes[self.codes]
         self.before = np.arange(len(self.codes)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
         self.train = np.repeat(~self.held, self.lengths)  # which tokens are of training texts
         self.totals = np.zeros(len(self.hashes), np.int64)
-        if row["told"]:
+        if told:
             self.totals[np.argsort(self.hashes)] = self.answer(2)[0]
         self.root = ((self.totals + SMOOTH) / (tokens + SMOOTH * (distinct + 1)))[self.codes]
 
@@ -185,7 +217,8 @@ class Block:
     def places(self, strings: Strings, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(distinct keys in order, the place of each string's key); words are told apart by their codes."""
         if size > 1:
-            return np.unique(strings.keys, return_inverse=True)
+            keys, _, place = distinct(strings.keys)
+            return keys, place
         codes = np.flatnonzero(self.totals >= self.least)
         codes = codes[np.argsort(self.hashes[codes])]
         place = np.zeros(len(self.hashes), np.int64)
@@ -204,7 +237,7 @@ class Block:
     def next(self, own: Strings, size: int) -> Strings:
         """The frequent strings of `size` words, from those of size - 1."""
         found, asked = self.candidates(own, size)
-        keys, place = np.unique(found.keys[asked], return_inverse=True)
+        keys, _, place = distinct(found.keys[asked])
         total, first = self.answer(2 * size)
         found.counts[asked] = total[place]
         one = np.zeros(len(keys), np.int64)
@@ -234,6 +267,12 @@ class Block:
         return p, own, shorter
 
 
+def each(rows: pa.RecordBatch) -> Iterator[dict]:
+    """One row after the other, since a row is a whole block."""
+    for k in range(rows.num_rows):
+        yield rows.slice(k, 1).to_pylist()[0]
+
+
 def by_range(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
     """The runs of sorted uint64 keys that lie in each range."""
     place = ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
@@ -243,18 +282,18 @@ def by_range(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
             yield int(place[start]), slice(int(start), int(stop))
 
 
-def exchange(blocks: DataFrame, ask: Callable, kinds: list[tuple[int, Callable]], ranges: int, name: str) -> DataFrame:
-    """Each block's questions answered by key range: (block, kind, at, values, first, distinct, own), written.
+def exchange(blocks: DataFrame, ask: Callable, kinds: list[tuple[int, Callable]], ranges: int, buckets: int) -> DataFrame:
+    """Each block's questions answered by key range: (block, told: array of (kind, at, values, first), distinct, own, nodes), written.
 
     ask(row) gives, for each kind of question, a block's sorted keys and arrays of the same length. A kind's
     add_up(places, first, arrays) gives an array for the distinct keys of a range from the arrays of all blocks, how
     many of them count, and the range's own sum. `values` holds it for the block's keys in their order, `first` is 1
-    where no smaller block has the key; distinct and own are the range's numbers, once.
+    where no smaller block has the key; distinct and own add up to all ranges' numbers, nodes to those of weights.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in b.to_pylist():
+            for row in each(b):
                 for which, (keys, arrays) in enumerate(ask(row)):
                     for at, run in by_range(keys, ranges):
                         values = [[squeezed(a[run]) for a in arrays]]
@@ -268,7 +307,7 @@ def exchange(blocks: DataFrame, ask: Callable, kinds: list[tuple[int, Callable]]
         kind, add_up = kinds[part["at"][0].as_py() // ranges]
         sent = [unpacked(k) for k in part["keys"].to_pylist()]
         ends = np.cumsum([len(k) for k in sent])
-        _, first, places = np.unique(np.concatenate(sent), return_index=True, return_inverse=True)
+        _, first, places = distinct(np.concatenate(sent))
         values, kept, own = add_up(places, first, part["arrays"].to_pylist())
         fresh = np.zeros(ends[-1], bool)
         fresh[first] = True
@@ -280,7 +319,9 @@ def exchange(blocks: DataFrame, ask: Callable, kinds: list[tuple[int, Callable]]
         })
 
     sent = blocks.mapInArrow(send, "at int, block long, keys binary, arrays array<binary>")
-    return settled(sent.groupBy("at").applyInArrow(answer, ANSWER + ", distinct long, own long"), name)
+    told = sent.groupBy("at").applyInArrow(answer, ANSWER).groupBy("block")
+    sums = F.sum("distinct").alias("distinct"), F.sum("own").alias("own"), F.sum(F.when(F.col("kind") % 2 == 1, F.col("distinct"))).alias("nodes")
+    return in_buckets(told.agg(F.collect_list(F.struct("kind", "at", "values", "first")).alias("told"), *sums), buckets, "answers")
 
 
 def counts_of(least: int) -> Callable:
@@ -315,22 +356,23 @@ def score_texts(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text"))
     spark = docs.sparkSession
     wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = in_buckets(to_blocks(rows, block_tokens), max(wide, 2 * rows.rdd.getNumPartitions()))
+    buckets = max(wide, 8 * rows.rdd.getNumPartitions())  # a task holds all blocks of a bucket, so that few have two
+    blocks = in_buckets(to_blocks(rows, block_tokens), buckets, "blocks")
     size = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()["n"]
     ranges = max(wide, size // range_tokens + 1)
     answers: list[DataFrame] = []
 
     def with_told() -> DataFrame:
-        told = F.collect_list(F.struct("kind", "at", "values", "first")).alias("told")
-        every = reduce(DataFrame.unionByName, [a.drop("distinct", "own") for a in answers]).groupBy(F.col("block").alias("_b")).agg(told)
-        return blocks.join(every.hint("shuffle_hash"), F.col("block") == F.col("_b"), "left").drop("_b")
+        every = reduce(DataFrame.unionByName, [a.select(F.col("block").alias("_b"), "told") for a in answers])  # still in buckets
+        told = every.groupBy("_b").agg(F.collect_list("told").alias("told"))
+        return blocks.join(told.hint("shuffle_hash"), F.col("block") == F.col("_b"), "left").drop("_b")
 
     def ask_words(row: dict) -> list:
-        block = Block({**row, "told": None}, 0, 0, least, discount)
+        block = Block(row, 0, 0, least, discount)
         own, order = np.bincount(block.codes[block.train], minlength=len(block.hashes)), np.argsort(block.hashes)
         return [(block.hashes[order], [own[order].astype(np.int32)])]
 
-    answers.append(exchange(blocks, ask_words, [(2, counts_of(1))], ranges, "word-counts"))
+    answers.append(exchange(blocks, ask_words, [(2, counts_of(1))], ranges, buckets))
     known = answers[0].agg(F.coalesce(F.sum("own"), F.lit(0)).alias("n"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("v")).first()
     facts = known["n"], known["v"], least, discount
     deepest = depth
@@ -342,7 +384,7 @@ def score_texts(
             p, own, shorter = block.walk(k, weigh)
             if count:
                 found, asked = block.candidates(own, k + 1)
-                keys, place = np.unique(found.keys[asked], return_inverse=True)
+                keys, _, place = distinct(found.keys[asked])
                 out.append((keys, [np.bincount(place, block.train[found.at[asked]], len(keys)).astype(np.int32)]))
             if weigh:
                 keys, place = block.places(shorter, k - 1)
@@ -355,15 +397,15 @@ def score_texts(
             return out
 
         kinds = [(2 * k + 2, counts_of(least))] * count + [(2 * k - 1, weights_of(discount, strict))] * weigh
-        answers.append(exchange(with_told(), ask, kinds, ranges, f"answers-{k}"))
-        if weigh and not answers[-1].where(F.col("kind") % 2 == 1).agg(F.sum("distinct")).first()[0]:
+        answers.append(exchange(with_told(), ask, kinds, ranges, buckets))
+        if weigh and not answers[-1].agg(F.sum("nodes")).first()[0]:
             deepest = k - 2  # no context of k - 1 words diverges from its suffix
             break
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in b.to_pylist():
+            for row in each(b):
                 block = Block(row, *facts)
                 p, own, contexts = block.walk(deepest + 1, True)
                 p = block.after(p, contexts, own, deepest) if deepest else p

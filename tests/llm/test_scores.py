@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 from endpointlens.llm import quality, toxicity
-from endpointlens.llm.suffix_tree import score_texts
+from endpointlens.llm.suffix_tree import distinct, score_texts
 from pyspark.sql import functions as F
 
 SYLLABLES = ["ka", "lo", "mi", "ren", "tu", "sol", "ver", "nd"]
@@ -228,6 +228,23 @@ def test_language_model_equals_a_slow_tree(spark):
             assert abs(want - got[k]) < 1e-5 * len(t), (depth, k)
 
 
+def test_told_answers_are_not_shuffled_again(spark):
+    """What rounds told lies in the buckets of its blocks; shuffling all of it again in each round took the disk."""
+    df = spark.createDataFrame([(k, f"a b c{k % 3} d a b") for k in range(40)], "doc_id long, text string").repartition(2)
+    plan = score_texts(df, F.col("doc_id") % 10 == 0, block_tokens=50)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "answers_" in plan
+
+
+def test_distinct_keys():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    wide = rng.integers(0, 2**64, 3000, dtype=np.uint64)
+    for keys in (wide[:0], wide[:1], wide, rng.choice(wide[:200], 5000), rng.integers(0, 40, 1000).astype(np.uint64), np.array([9, 8, 9, 8, 1], np.uint64)):
+        for got, want in zip(distinct(keys), np.unique(keys, return_index=True, return_inverse=True)):
+            assert (got == want).all()
+
+
 def test_slow_tree_is_a_distribution():
     rng = random.Random(2)
     stream = chained(rng, [f"w{k}" for k in range(8)], 3, 3000)
