@@ -3,20 +3,19 @@
 1. Corners are found at several scales: every point that is the strongest within `REACH` pixels, so their number grows
    with the picture and a crop keeps those inside it. Each gets the orientation of its patch's intensity centroid, and
    256 binary tests turned by it make its descriptor.
-2. Descriptors go into eight Hamming tables, one for each slice of 28 bits, a slice beginning every 32 bits: two
-   descriptors at distance 7 or less agree in a slice. Corners of a cell match if their whole descriptors differ in
-   `near` or fewer bits, and pictures meet if two corners or more of either match. A cell of more than `crowd` members
-   is split by the other slices, each member entering the cells of two slices; matches that agree in no second slice
-   are found by bringing parts of `crowd` members together, each part with each. A match comes from the first slice
-   in which its corners agree. In a cell that is full even when
-   split - a patch that many pictures share to the bit, or a large group of copies - members meet the smallest
+2. Pictures meet if pairs of corners of one match pairs of the other, of three corners or more on either side. A pair of
+   corners of a picture, at most `SIGHT` apart, is a key in each of sixteen tables: 16 bits of either descriptor, both
+   angles against the line between them, and their distance in units of their scale, so a key holds under turns and
+   changes of size. Members of a key's cell match if 48 other bits of either corner differ in `apart` or fewer. The keys
+   of one table, or of a part of one, are in the shuffle at a time. A member that matches more than `crowd` others in a
+   cell - a patch that many pictures share, or a large group of copies - makes them a star: they meet the smallest
    picture, and those that aren't copies of it meet the other members.
 3. Pictures that met are compared as a whole: corners whose descriptors are each other's nearest vote for similarity
    transforms, and the pictures are linked if enough of them agree on one in place, scale and turn, and make up enough
    of all matches.
 
-Equal pictures are one node from the start. Pairs come from cells of bounded size or from one member of a cell each;
-nothing gathers a hot group.
+Equal pictures are one node from the start. The members of a cell go to one task, 26 bytes each, which compares each
+with each and gives out those that match.
 
 Pictures are binary columns with raw PGM or PPM data (P5 or P6, 8 bits). Defined results: null, empty or unreadable
 data has no corners and is linked only to equal data (null to nothing). Repeated ids are pictures of their own and
@@ -43,9 +42,10 @@ from .simhash import components
 SCALES = (1.0, 1.5, 2.25)
 #: A corner is the strongest within REACH pixels and as far from the edge.
 REACH = 11
-TABLES = 8
-#: Bits of a descriptor's slice that make its cell.
-SLICE = 28
+#: Tables of pairs of corners: slices of 16 bits, and as many bins of a turn and of a factor e in distance.
+PAIR_TABLES, TURNS, STRETCH = 16, 24, 2
+#: How far apart the corners of a pair are, in units of their scale.
+SIGHT = (4.0, 128.0)
 #: A test is 1 only if the second point is brighter by this much, so that noise on flat areas leaves it at 0.
 MARGIN = 1.0
 _rng = np.random.default_rng(2024)
@@ -205,6 +205,11 @@ def descriptors(pictures: DataFrame) -> DataFrame:
     return pictures.select("row", "media_id", "_data").mapInArrow(run, f"row long, media_id {kind}, digest string, n_corners int, places binary, bits binary")
 
 
+# Meetings by single corners, up to `meetings`: every pair with two matching corners. Matches of unrelated corners grow
+# with the square of the pictures, so `picture_links` takes pairs of corners instead; tests hold those against these.
+
+#: Tables of single corners, and the bits of a descriptor's slice that make its cell.
+TABLES, SLICE = 8, 28
 BITS = ("b0", "b1", "b2", "b3")
 
 
@@ -334,31 +339,200 @@ def meetings(cells: DataFrame, crowd: int, near: int) -> tuple[DataFrame, DataFr
     return pairs, members
 
 
-def picture_links(described: DataFrame, least: int, crowd: int, near: int) -> DataFrame:
+def neighbours(counts: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j): all pairs of corners i < j of one picture, about `most` at a time; counts: corners of each picture."""
+    left = np.repeat(np.cumsum(counts), counts) - np.arange(counts.sum()) - 1
+    upto, start = np.cumsum(left), 0
+    while start < len(left):
+        stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + most, "right")))
+        own = left[start:stop]
+        i = np.repeat(np.arange(start, stop), own)
+        yield i, i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(own) - own, own)
+        start = stop
+
+
+def pair_keys(places: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray, table: int, part: int = 0, parts: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pair, key, check) of the pairs (i, j) that are near enough: their places in i, 64 mixed bits, and 96 other bits of the two descriptors as three words.
+
+    places: corners x (x, y, scale, angle); bits: corners x 32 bytes. The corner with the smaller slice is the first.
+    part: which of `parts` equal parts of all keys.
+    """
+    slices = bits.view("<u2")
+    first = slices[:, table].astype(np.uint32)
+    pair = np.flatnonzero(((first[i] ^ first[j]) * np.uint32(0x9E3779B1) >> np.uint32(16)) % parts == part)
+    i, j = i[pair], j[pair]
+    d = places[j, :2] - places[i, :2]
+    far = np.hypot(d[:, 0], d[:, 1]) / np.sqrt(places[i, 2] * places[j, 2])
+    near = np.flatnonzero((far >= SIGHT[0]) & (far <= SIGHT[1]))
+    i, j, d, far, pair = i[near], j[near], d[near], far[near], pair[near]
+    own = first << np.uint32(16) | slices[:, (table + 1) % 16]
+    swap = own[i] > own[j]
+    line = np.arctan2(d[:, 1], d[:, 0]) + np.pi * swap
+    a, b = np.where(swap, j, i), np.where(swap, i, j)
+    turn_a, turn_b = (np.floor((places[c, 3] - line) / (2 * np.pi) % 1 * TURNS).astype(np.uint64) for c in (a, b))
+    key = first[a].astype(np.uint64) << np.uint64(16) | first[b]
+    key = ((key * TURNS + turn_a) * TURNS + turn_b) << np.uint64(8) | np.floor(np.log(far) * STRETCH).astype(np.uint64)
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        key = (key ^ (key >> np.uint64(33))) * np.uint64(factor)
+    others = np.ascontiguousarray(slices[:, [(table + k) % 16 for k in (4, 5, 6)]])
+    return pair, key ^ (key >> np.uint64(33)), np.concatenate([others[a], others[b]], 1).view("<u4")
+
+
+#: What a bucket's row holds of each key, flat: its lower bits, the picture, the number of the pair in it, the check.
+FLAT = {"keys": "<u4", "nodes": "<i8", "pairs": "<u2", "checks": "<u4"}
+
+
+def pair_cells(described: DataFrame, table: int, part: int, parts: int, buckets: int, flush: int = 1 << 20) -> DataFrame:
+    """(bucket, keys, nodes, pairs, checks): keys of one table or of a part of it, dealt to buckets; a row has many."""
+
+    def dealt(held: list) -> pa.RecordBatch:
+        node, pair, key, check = (np.concatenate(x) for x in zip(*held))
+        bucket = (key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
+        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+        columns = [x[order].astype(kind) for x, kind in zip((key & np.uint64((1 << 32) - 1), node, pair, check), FLAT.values())]
+        flat = [pa.array([x[s:e].tobytes() for s, e in zip(cuts[:-1], cuts[1:])], pa.binary()) for x in columns]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]].astype(np.int64)), *flat], names=["bucket", *FLAT])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in pieces_of(batches):
+            bits = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint8).reshape(-1, 32)
+            places = np.frombuffer(b"".join(b.column(1).to_pylist()), "<f4").reshape(-1, 4)
+            counts = np.array([len(x) // 32 for x in b.column(2).to_pylist()])
+            node, start = np.repeat(np.asarray(b.column(0), np.int64), counts), np.repeat(np.cumsum(counts) - counts, counts)
+            for i, j in neighbours(counts):
+                pair, key, check = pair_keys(places, bits, i, j, table, part, parts)
+                i, j = i[pair], j[pair]
+                held.append((node[i], ((i - start[i]) * 256 + j - start[i]) % 65521, key, check))
+                n += len(key)
+                if n > flush:
+                    yield dealt(held)
+                    held, n = [], 0
+        if n:
+            yield dealt(held)
+
+    return described.select("node", "places", "bits").mapInArrow(run, "bucket long, " + ", ".join(f"{c} binary" for c in FLAT))
+
+
+def cell_matches(keys: np.ndarray, nodes: np.ndarray, checks: np.ndarray, crowd: int, apart: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """(x, y, star): places of members that match in a cell; a star's members y with its head. Rows are in order of keys and nodes."""
+    close = lambda x, y: (np.bitwise_count(checks[x] ^ checks[y]).sum(-1, dtype=np.int32) <= apart) & (nodes[x] != nodes[y])
+    cuts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True])
+    size = np.diff(cuts)
+    end = np.repeat(np.where(size <= crowd + 1, cuts[1:], cuts[:-1]), size)  # cells too small for a star: all at once
+    x, lag = np.arange(len(keys)), 1
+    while len(x := x[x + lag < end[x]]):
+        good = x[close(x, x + lag)]
+        yield good, good + lag, False
+        lag += 1
+    for k in np.flatnonzero(size > crowd + 1):
+        star, outside = np.full(size[k], -1), {-1: np.arange(cuts[k], cuts[k + 1])}
+        for x in range(cuts[k], cuts[k + 1]):  # members of a star have met; they are compared with the others only
+            y = outside[star[x - cuts[k]]]
+            y = y[np.searchsorted(y, x + 1) :]
+            y = y[close(x, y)]
+            if full := len(y) > crowd:
+                star[x - cuts[k]] = star[y - cuts[k]] = x
+                outside[x] = cuts[k] + np.flatnonzero(star != x)
+            yield np.full(len(y), x), y, full
+
+
+def by_pair(rows: np.ndarray) -> np.ndarray:
+    """Rows (a, b, least pair of a, largest, least pair of b, largest), one for each (a, b)."""
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    first = np.flatnonzero(np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(1)]) if len(rows) else np.zeros(0, int)
+    ends = [f.reduceat(rows[:, c], first) for f, c in ((np.minimum, 2), (np.maximum, 3), (np.minimum, 4), (np.maximum, 5))] if len(rows) else [np.zeros(0, int)] * 4
+    return np.column_stack([rows[first, :2], *ends])
+
+
+MATCHED = ("a", "b", "low_a", "high_a", "low_b", "high_b")
+
+
+def pair_matches(described: DataFrame, table: int, part: int, parts: int, buckets: int, crowd: int, apart: int) -> DataFrame:
+    """(a, b, low_a, high_a, low_b, high_b, star): nodes that match, the least and largest numbers of the pairs by which they do; star: the star of a, its head, and b, or null."""
+
+    def found(bucket: int, rows: list) -> pa.RecordBatch:
+        keys, nodes, pairs, checks = (np.frombuffer(b"".join(r[k].as_py() for r in rows), kind) for k, kind in enumerate(FLAT.values()))
+        order = np.lexsort((nodes, keys))
+        keys, nodes, pairs, checks = keys[order], nodes[order], pairs[order].astype(np.int64), checks.reshape(-1, 3)[order]
+        stars, held, n, most = [], [np.zeros((0, 6), np.int64)], 0, 1 << 20
+        for x, y, star in cell_matches(keys, nodes, checks, crowd, apart):
+            own = np.column_stack([nodes[x], nodes[y], pairs[x], pairs[x], pairs[y], pairs[y]])
+            if star:
+                stars.append((f"{table}-{part}-{bucket}-{x[0]}", by_pair(own)))
+            elif len(x):
+                held.append(own)
+                n += len(x)
+                if n > most:  # copies match by many pairs
+                    held = [by_pair(np.concatenate(held))]
+                    n, most = 0, max(most, len(held[0]))
+        every = [*stars, (None, by_pair(np.concatenate(held)))]
+        ends = np.concatenate([x for _, x in every])
+        names = pa.array([name for name, x in every for _ in x], pa.string())
+        return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(c)) for c in ends.T), names], names=[*MATCHED, "star"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, rows = None, []
+        for b in batches:
+            for k, own in enumerate(b.column(0).to_pylist()):
+                if own != bucket and rows:
+                    yield found(bucket, rows)
+                    rows = []
+                bucket = own
+                rows.append([b.column(c)[k] for c in range(1, 5)])
+        if rows:
+            yield found(bucket, rows)
+
+    cells = pair_cells(described, table, part, parts, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    return cells.mapInArrow(run, ", ".join(f"{c} long" for c in MATCHED) + ", star string")
+
+
+def pair_meetings(described: DataFrame, crowd: int, apart: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs, members): the pairs (a, b) that match by pairs of three corners or more, or are in a star with its head; the members (cell, head, node) of stars."""
+    n = described.agg(F.sum(F.col("n_corners") * F.least(F.lit(100), "n_corners") / 2)).first()[0] or 0
+    parts = 1 + min(3, int(n / 4_000_000))
+    buckets = 1 + int(n / 500_000 / parts)
+    with few_at_once(described.sparkSession):  # one after the other: the keys of one are gone before the next one's come
+        tables = [settled(pair_matches(described, t, p, parts, buckets, crowd, apart), "matches") for t in range(PAIR_TABLES) for p in range(parts)]
+    found = reduce(DataFrame.unionByName, tables)
+    stars = found.where("star is not null").select(F.col("star").alias("cell"), F.col("a").alias("head"), F.col("b").alias("node"))
+    ends = [f(c).alias(c) for f, c in ((F.min, "low_a"), (F.max, "high_a"), (F.min, "low_b"), (F.max, "high_b"))]
+    three = found.groupBy("a", "b").agg(*ends, F.count("star").alias("stars")).where("stars > 0 or low_a < high_a and low_b < high_b")
+    pairs, members = settled(three.select("a", "b"), "pairs"), settled(stars, "members")
+    forget(*tables)
+    return pairs, members
+
+
+def picture_links(described: DataFrame, least: int, crowd: int, apart: int) -> DataFrame:
     """(a, b): links among pictures that keep every group of copies whole."""
-    pairs, members = meetings(table_cells(described.where(F.col("n_corners") >= least)), crowd, near)
-    stars = members.select(F.col("head").alias("a"), F.col("node").alias("b"))
-    first = settled(pairs.unionByName(stars).distinct(), "met")
+    first, members = pair_meetings(described.where(F.col("n_corners") >= least), crowd, apart)
     with few_at_once(described.sparkSession):
         links = settled(verified(described, first, least), "picture-links")
-    # in full cells, members that aren't copies of the head meet the others
+    # in stars, members that aren't copies of the head meet the others
     lost = members.join(links.select(F.col("a").alias("head"), F.col("b").alias("node")), ["head", "node"], "left_anti")
     again = lost.alias("x").join(members.alias("y"), (F.col("x.cell") == F.col("y.cell")) & (F.col("x.node") != F.col("y.node")))
     again = again.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     with few_at_once(described.sparkSession):
-        return links.unionByName(settled(verified(described, again, least), "picture-links"))
+        late = settled(verified(described, again, least), "picture-links")
+    forget(first, members)
+    return links.unionByName(late)
 
 
-def picture_copies(pictures: DataFrame, media_id: str = "media_id", media: str = "image", least: int = 5, crowd: int = 4096, near: int = 24) -> DataFrame:
+def picture_copies(pictures: DataFrame, media_id: str = "media_id", media: str = "image", least: int = 5, crowd: int = 4096, apart: int = 10) -> DataFrame:
     """(media_id, n_corners, copy_id): copy_id is the smallest id of the picture's group of copies."""
     own = pictures.select(F.monotonically_increasing_id().alias("row"), F.col(media_id).alias("media_id"), F.col(media).alias("_data"))
     with few_at_once(own.sparkSession):
         described = written(descriptors(own), "corners")
     same = F.coalesce("digest", F.concat(F.lit("null-"), F.col("row").cast("string")))
-    ids = described.select(same.alias("media"), "row", "media_id", "n_corners")
+    ids = settled(described.select(same.alias("media"), "row", "media_id", "n_corners"), "ids")
     nodes = ids.groupBy("media").agg(F.min("row").alias("node"))
-    one = described.withColumnRenamed("row", "node").join(nodes.select("node"), "node", "left_semi").select("node", "n_corners", "places", "bits")
-    roots = components(picture_links(one, least, crowd, near))
+    one = settled(described.withColumnRenamed("row", "node").join(nodes.select("node"), "node", "left_semi").select("node", "n_corners", "places", "bits"), "nodes")
+    forget(described)
+    links = picture_links(one, least, crowd, apart)
+    forget(one)
+    roots = components(links)
     placed = nodes.join(roots, "node", "left").select("media", F.coalesce("root", "node").alias("root"))
     named = ids.join(placed, "media")
     smallest = named.groupBy("root").agg(F.min("media_id").alias("copy_id"))
